@@ -6,16 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints
+from . import bpe, fingerprints
 from .common import table
 
 
+def tokenizer(name: str) -> str:
+    """The file of a public tokenizer on this machine; operators take any such path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op4_bpe": op4_bpe,
 }
 
 ORACLES: dict[str, str] = {}
