@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, fingerprints
+from . import bpe, fingerprints, langid, media
 from .common import table
 
 
@@ -25,9 +26,22 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digests(media.media_columns(table(spark, sf_dir, "documents")))
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    profiles = langid.learn(documents.where(langid.training(F.col("doc_id"))))
+    held_out = F.coalesce(~langid.training(F.col("doc_id")), F.lit(False))
+    return langid.predict(documents.select("doc_id", held_out.alias("held_out"), "text"), profiles)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op4_bpe": op4_bpe,
+    "op7_media": op7_media,
+    "op9_langid": op9_langid,
 }
 
 ORACLES: dict[str, str] = {}
