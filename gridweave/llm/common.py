@@ -66,3 +66,21 @@ def id_bucket(column, modulus: int):
 
 def crc_of(value: int) -> int:
     return zlib.crc32(str(value).encode())
+
+
+def labelled(labels: DataFrame, label: str, bound: int, where=None) -> DataFrame:
+    """(doc_id, label int): at most ``bound`` labelled documents, chosen by hash; one row each, the greatest label of repeated ones.
+
+    Rows without id or label are left out.  The bound is a parameter of the
+    learners, so their sample may be broadcast and fitted on the driver.
+    """
+    kept = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    if where is not None:
+        kept = kept.where(where)
+    one = kept.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
+def with_labels(documents: DataFrame, sample: DataFrame) -> DataFrame:
+    """(doc_id, text, label) of the sample's documents."""
+    return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, media
+from . import bpe, fingerprints, langid, media, quality, toxicity
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.predict(documents, toxicity.learn(documents, table(spark, sf_dir, "labels")))
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.media_columns(table(spark, sf_dir, "documents")))
 
@@ -37,11 +42,20 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents.select("doc_id", held_out.alias("held_out"), "text"), profiles)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    scorer = quality.learn(documents, labels.where(~out))
+    return quality.predict(documents.select("doc_id", F.coalesce(out, F.lit(False)).alias("held_out"), "text"), scorer)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
     "op7_media": op7_media,
     "op9_langid": op9_langid,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
