@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, media, neardup, packing, quality, toxicity
-from .common import table
+from . import bpe, fingerprints, langid, media, neardup, packing, quality, shards, toxicity
+from .common import scratch, table
 
 
 def tokenizer(name: str) -> str:
@@ -43,6 +43,13 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.media_columns(table(spark, sf_dir, "documents")))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each sequence of the shards is, read back from them."""
+    to = scratch(spark, "shards")
+    shards.write(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), to)
+    return shards.read(spark, to).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     profiles = langid.learn(documents.where(langid.training(F.col("doc_id"))))
@@ -64,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
     "op7_media": op7_media,
+    "op8_shards": op8_shards,
     "op9_langid": op9_langid,
     "op10_quality": op10_quality,
 }
