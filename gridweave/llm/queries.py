@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, media, neardup, packing, quality, shards, toxicity
+from . import bpe, fingerprints, langid, media, neardup, packing, pages, quality, shards, toxicity
 from .common import scratch, table
 
 
@@ -39,6 +39,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(documents, toxicity.learn(documents, table(spark, sf_dir, "labels")))
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(media.media_columns(table(spark, sf_dir, "documents")))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
+    "op6_pages": op6_pages,
     "op7_media": op7_media,
     "op8_shards": op8_shards,
     "op9_langid": op9_langid,
