@@ -50,10 +50,13 @@ def equal_area_inverse(x: Column, y: Column) -> tuple[Column, Column]:
 def mollweide(lon: Column, lat: Column, radius: float = SEMI_MAJOR, steps: int = 8) -> tuple[Column, Column]:
     """(x, y) in Mollweide's projection of the sphere, by Newton steps on the auxiliary angle."""
     phi = F.radians(lat)
-    t = phi
-    for _ in range(steps):
+
+    def newton(t: Column, _: Column) -> Column:
         slope = 2 + 2 * F.cos(2 * t)
-        t = F.when(slope < 1e-12, t).otherwise(t - (2 * t + F.sin(2 * t) - math.pi * F.sin(phi)) / slope)
+        return F.when(slope < 1e-12, t).otherwise(t - (2 * t + F.sin(2 * t) - math.pi * F.sin(phi)) / slope)
+
+    # A fold, so that the expression does not double with every step.
+    t = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), phi, newton)
     return radius * 2 * math.sqrt(2) / math.pi * F.radians(lon) * F.cos(t), radius * math.sqrt(2) * F.sin(t)
 
 
