@@ -13,9 +13,9 @@ def spread_of(x: str) -> list[Column]:
     return [F.avg(x).alias(f"{x}_mean"), F.min(x).alias(f"{x}_min"), F.max(x).alias(f"{x}_max"), (F.max(x) - F.min(x)).alias(f"{x}_range")]
 
 
-def at_maximum(value: str, by: str, order: str) -> Column:
-    """The value where ``by`` is greatest, of ties the first by ``order`` (a timestamp or number)."""
-    return F.max_by(value, F.when(F.col(by).isNotNull(), F.struct(F.col(by), (-F.col(order).cast("double")).alias("o"))))
+def at_maximum(value: str, by: str, ts: str) -> Column:
+    """The value where ``by`` is greatest, of ties the earliest."""
+    return F.max_by(value, F.when(F.col(by).isNotNull(), F.struct(F.col(by), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("o"))))
 
 
 def daily(hours: DataFrame, need: int | None = None, keys: tuple[str, ...] = ("src_id",)) -> DataFrame:
