@@ -10,7 +10,7 @@ from ..plans import serving
 from .aggregates import _SCORED, scored
 from .base import ECUBE, PLOT, WIDE, ecube, query, r, table
 
-_NEAR = f"""WITH {ECUBE}, c AS (SELECT day, cell, is_fire * CASE WHEN cell % 3 = 0 AND CAST(day AS DATE) <> DATE '2024-01-07' THEN 1 ELSE 0 END AS e, coalesce(mean, 0) / 10 AS u, -n::DOUBLE AS v FROM ecube),
+_NEAR = f"""WITH {ECUBE}, c AS (SELECT day, cell, is_fire * CASE WHEN cell % 3 = 0 AND CAST(day AS DATE) <> DATE '2024-01-07' THEN 1 ELSE 0 END AS e, coalesce(mean, 0) / 10 AS u, -n::DOUBLE AS v FROM ecube WHERE cell < 160),
 d AS (SELECT c.day, c.cell, c.u, c.v, o.cell AS near, ((c.cell % 10 - o.cell % 10) * (c.cell % 10 - o.cell % 10) + (c.cell // 10 - o.cell // 10) * (c.cell // 10 - o.cell // 10)) AS d2 FROM c LEFT JOIN (SELECT day, cell FROM c WHERE e = 1) o ON o.day = c.day),
 k AS (SELECT *, row_number() OVER (PARTITION BY day, cell ORDER BY d2, near) AS k FROM d)"""
 
@@ -18,7 +18,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY day, cell ORDER BY d2, near) AS
 def _burning(spark, sf):
     """A third of the cells' events, none at all on one day, with a wind of its own."""
     some = (F.col("cell") % 3 == 0) & (F.col("day") != F.lit("2024-01-07").cast("date"))
-    return ecube(spark, sf).select("day", "cell", (F.col("is_fire") * F.when(some, 1).otherwise(0)).alias("is_fire"), (F.coalesce("mean", F.lit(0.0)) / 10).alias("wind_u"), (-F.col("n")).cast("double").alias("wind_v"))
+    return ecube(spark, sf).where("cell < 160").select("day", "cell", (F.col("is_fire") * F.when(some, 1).otherwise(0)).alias("is_fire"), (F.coalesce("mean", F.lit(0.0)) / 10).alias("wind_u"), (-F.col("n")).cast("double").alias("wind_v"))
 
 
 @query(f"{_NEAR} SELECT day, cell, round(coalesce(sqrt(d2) * 2, sqrt(10 * 10 + 16 * 16) * 2), 6) + 0.0 AS dist_km, CAST(near AS INTEGER) AS nearest FROM k WHERE k = 1")
@@ -97,7 +97,7 @@ def polygon_cells(spark, sf):
     return G.polygon_cells(p, grid).select("id", "cell")
 
 
-@query(f"""{_NEAR.replace("FROM ecube),", "FROM ecube), al AS (SELECT day, cell FROM c WHERE u > 9),", 1)},
+@query(f"""{_NEAR.replace("FROM ecube WHERE cell < 160),", "FROM ecube WHERE cell < 160), al AS (SELECT day, cell FROM c WHERE u > 9),", 1)},
 q AS (SELECT day, cell, sqrt(d2) * 2 AS d FROM k WHERE k = 1), ev2 AS (SELECT day, cell FROM c WHERE e = 1),
 b AS (SELECT e.day, e.cell, min((e.cell % 10 - a.cell % 10) * (e.cell % 10 - a.cell % 10) + (e.cell // 10 - a.cell // 10) * (e.cell // 10 - a.cell // 10)) AS d2 FROM ev2 e LEFT JOIN al a ON a.day = e.day GROUP BY 1, 2)
 SELECT (SELECT round(avg(CASE WHEN coalesce(q.d, 1e9) <= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) + 0.0 FROM q JOIN al ON al.day = q.day AND al.cell = q.cell) AS alerts_near, (SELECT round(avg(CASE WHEN coalesce(sqrt(d2) * 2, 1e9) <= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) + 0.0 FROM b) AS events_near""")
@@ -114,7 +114,7 @@ def localization(spark, sf):
 @query()
 def danger_areas(spark, sf):
     """Watershed areas of the risk surface; tests hold them against small rasters."""
-    return serving.region_areas(G.danger_areas(scored(spark, sf), WIDE)).select("day", "area", r("p_any").alias("p_any"), "peak_cell", "radius_m", "n_cells", "regime", "region", "place")
+    return serving.region_areas(G.danger_areas(scored(spark, sf).where("cell < 160"), WIDE)).select("day", "area", r("p_any").alias("p_any"), "peak_cell", "radius_m", "n_cells", "regime", "region", "place")
 
 
 @query(f"{_SCORED}, a AS (SELECT DISTINCT cell FROM scored UNION SELECT CAST(c_custkey AS INTEGER) FROM customer WHERE c_custkey < 160), d AS (SELECT cell, p, regime FROM scored WHERE day = DATE '2024-01-15') SELECT a.cell, coalesce(d.p, 0.0::DOUBLE) AS p, CAST(coalesce(d.regime, 0) AS INTEGER) AS regime FROM a LEFT JOIN d ON d.cell = a.cell")
