@@ -47,10 +47,15 @@ class Automaton:
         self.made = [-1] * size  # the merge that made a token
         self.state = [0] * size  # where an arc on the token leads
         self.parent, self.born = [0], [-1]
-        self.owners = {0: len(labels)}
+        self.owners = {0: len(labels) + 1}  # and the start of a word
         self.lost: dict[int, int] = {}
+        merged, never = set(), {w for _, _, w in merges}
         for k, (u, v, w) in enumerate(merges):
+            if u in never or v in never or not self.arc(self.state[u], v, k - 1):
+                continue  # the two never meet, so nothing is merged
             self.left[w], self.made[w] = u, k
+            merged.add(w)
+            never.discard(w)
             was = self.state[u]
             self.owners[self.state[w]] -= 1
             self.state[w] = self.state[v]
@@ -62,7 +67,6 @@ class Automaton:
                 self.parent.append(was)
                 self.born.append(k)
             self.lost.setdefault(self.state[u] << 20 | v, k)
-        merged = {w for _, _, w in merges}
         self.ids = {labels[i]: i for i in range(size) if len(labels[i]) == 1 or i in merged}
         self.reach: dict[bytes, int] = {}  # the longest label with these first two bytes
         for label in self.ids:
@@ -86,9 +90,8 @@ class Automaton:
             until = min(until, self.born[state] - 1)
             state = self.parent[state]
 
-    def arc(self, state: int, token: int) -> bool:
-        """Whether an arc on the token leaves the state in the finished automaton."""
-        until = len(self.left) + len(self.lost)
+    def arc(self, state: int, token: int, until: int = 1 << 60) -> bool:
+        """Whether an arc on the token leaves the state, in the finished automaton or after a merge."""
         while token >= 0:
             if self._lost(state, token, until):
                 return False

@@ -107,7 +107,8 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n_rows: int, width: int = 5)
         left = count[rows] - (np.arange(len(hashes)) - first[rows]) if len(hashes) else np.zeros(0, np.int64)
         for k, p in enumerate(powers(0xD6E8FEB86659FD93, width)):
             shifted = np.zeros(len(hashes), np.uint64)
-            shifted[: len(hashes) - k] = hashes[k:] if k else hashes
+            if k < len(hashes):
+                shifted[: len(hashes) - k] = hashes[k:]
             combined += np.where(left > k, (shifted + U64(k + 1)) * p, U64(0))
         keep = (left >= width) | (left == count[rows])
         # The length tells a short row's only run from a full one.
