@@ -57,6 +57,10 @@ _SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0  -     　]+")
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that hold others and must be closed; the rest may be left open.
 _HOLDERS = frozenset("article aside blockquote body button dialog details div dl fieldset figure footer form head header html main menu nav ol section table ul".split())
+#: Elements without content.
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Elements that a sibling of their kind closes.
+_SIBLINGS = frozenset("li tr td th dd dt option".split())
 _DROPPED = frozenset("nav footer aside form menu head dialog button".split())
 _WORDS = re.compile(r"^(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|sidebar\w*|side|menu\w*|nav\w*|topnav|footer\w*|header|masthead|cookies?\w*|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|respond|breadcrumbs?|pagination|pager|widget\w*|login|search|toolbar|navigation|contentinfo|complementary|copyright|legal|disclaimer|tracking|paywall)$", re.I)
 
@@ -95,12 +99,12 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
             if "&" in joined:
                 joined = entities.unescape(joined)
             text = _SPACE.sub(" ", joined).strip(" ")
-            if text and not (stack and stack[-1][1]):
+            if text:
                 (kept if stack and stack[-1][2] else open_).append(text)
             parts.clear()
 
     for m in _TOKEN.finditer(page):
-        if m.start() > at:
+        if m.start() > at and not (stack and stack[-1][1]):
             parts.append(page[at : m.start()])
         at = m.end()
         if not m[3]:
@@ -110,24 +114,29 @@ def blocks(page: str) -> tuple[list[str], list[str], bool]:
             flush()
         elif tag == "br":
             parts.append(" ")
-        if tag not in _HOLDERS:
+        if tag in _VOID:
             continue
         if m[2]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
                     break
-        elif not m[4].endswith("/"):
-            dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            dropped = dropped or _unwanted(tag, m[4], inside)
-            if tag in ("article", "main") and not dropped:
+            continue
+        if stack and (stack[-1][0] == "p" and tag in _BLOCKS or stack[-1][0] == tag and tag in _SIBLINGS):
+            stack.pop()
+        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        # Other elements may be left open; they only count where they are unwanted.
+        unwanted = dropped or _unwanted(tag, m[4], inside)
+        if (tag in _HOLDERS or unwanted) and not m[4].endswith("/"):
+            if tag in ("article", "main") and not unwanted:
                 inside = found = True
-            stack.append((tag, dropped, inside))
+            stack.append((tag, unwanted, inside))
     if at < len(page):
         # A tag that never closes is no text.
         rest = page[at:]
         cut = re.search(r"<[a-zA-Z/!?]", rest)
-        parts.append(rest[: cut.start()] if cut else rest)
+        if not (stack and stack[-1][1]):
+            parts.append(rest[: cut.start()] if cut else rest)
     flush()
     return kept, open_, found
 

@@ -371,6 +371,23 @@ def test_pages_by_markup(spark):
     assert pages.main_text(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("<p>a</p><p class='ad'>b<p>c", "a\n\nc"),
+        ("<p>a <span class=\"ad-label\">b <span>c</span> d</span> e</p>", "a e"),
+        ("<ul><li>a<li class='comment'><p>b</p><p>c</p><li>d</ul>", "a\n\nd"),
+        ("<p>a</p><img class='ad' src='x'><p>b</p>", "a\n\nb"),
+        ("<header><h1>a</h1></header><p>b &lt;i&gt; &eacute;</p>", "a\n\nb <i> é"),
+        ("<div class='article-header'>a</div><div class='share-bar'>b</div><p hidden>c</p><p>d", "a\n\nd"),
+        ("<!-- x --><p>a<!-- <p>b --></p><noscript>c</noscript>", "a"),
+    ],
+)
+def test_unwanted_elements(inner, text):
+    kept, _, found = pages.blocks(f"<body><article>{inner}</article></body>")
+    assert found and "\n\n".join(kept) == text
+
+
 def test_suffix_runs_equal_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(20):
