@@ -22,8 +22,8 @@ fewer words: the whole sequence).  Documents are linked where
    in the shared folder.
 
 Nothing is capped: a large group has more blocks.  Nothing that grows with the
-documents reaches the driver or is broadcast; candidate ids are broadcast only
-up to ``BROADCAST_IDS`` of them, else joined by shuffle.
+documents reaches the driver; candidate ids and groups' block counts are
+broadcast only up to ``BROADCAST_IDS`` of them, else joined by shuffle.
 
 Edge cases: a document without words is a component of its own, as is one
 without id; rows of one id are linked with each other as far as their sets
@@ -217,6 +217,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sizes = lists.select("member", "n").distinct()
     group, group_path = written(pairs.join(sizes, "member"), "groups")
     total = group.groupBy("centre").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCUMENTS), F.lit(1)).cast("int").alias("blocks"))
+    total, total_path = written(total, "blocks")
+    if total.count() <= BROADCAST_IDS:
+        # So that a large group's members stay spread over all tasks.
+        total = F.broadcast(total)
     placed = group.join(total, "centre").withColumn("block", F.pmod(F.hash("member"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = placed.select("centre", "member", "block", other).select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "member", "block")
@@ -233,7 +237,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ready = loaded.select("centre", "i", "j", "member", "block", "found").repartition(n, "centre", "i", "j").sortWithinPartitions("centre", "i", "j")
     found, found_path = written(ready.mapInArrow(_groups, "a long, b long"), "links")
     component, component_paths = components(found)
-    removed(spark, bucket_path, group_path, chosen_path, found_path)
+    removed(spark, bucket_path, group_path, total_path, chosen_path, found_path)
     named = classes.join(component, classes.rep == component.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
     named, named_path = written(named, "named")
     removed(spark, class_path, *component_paths)
