@@ -234,5 +234,5 @@ def predicted_and_actual(spark, sf):
 def coarse_centres(spark, sf):
     """A block's centre is the mean of its cells' centres."""
     c = F.col("cell")
-    s = table(spark, sf, "supplier").where("s_suppkey < 100").select(F.col("s_suppkey").cast("int").alias("cell"))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("int").alias("cell"))
     return s.select(PLOT.block(c, 2).alias("block"), PLOT.easting(c).alias("x"), PLOT.northing(c).alias("y")).groupBy("block").agg(F.avg("x").alias("x_m"), F.avg("y").alias("y_m"))

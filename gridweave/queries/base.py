@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def plot(cells: DataFrame, least: Grid = PLOT) -> Grid:
+    """``least`` with as many rows as the greatest of ``cells`` needs, and never fewer rows than it has."""
+    top = cells.agg(F.max("cell")).first()[0]
+    return least if top is None else replace(least, ny=max(least.ny, int(top) // least.nx + 1))
+
+
 def r(x: Column | str, digits: int = 6) -> Column:
     """Rounded, without a negative zero."""
     return F.round(F.col(x) if isinstance(x, str) else x, digits) + F.lit(0.0)

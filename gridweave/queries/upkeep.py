@@ -129,7 +129,7 @@ def edge_equals_batch(spark, sf):
 
 def _full(spark, sf):
     """A cube with all raw variables of the feature chain, on the events' days."""
-    c = ecube(spark, sf).where("cell < 160").withColumn("m", F.coalesce("mean", F.lit(0.0)))
+    c = ecube(spark, sf).withColumn("m", F.coalesce("mean", F.lit(0.0)))
     k = F.pmod("cell", F.lit(7))
     return c.select("day", "cell", "is_fire", (F.col("m") / 50).alias("total_precipitation_mean"), (15 + k + F.col("m") / 10).alias("t2m_max"), (60 - F.col("m") / 5).alias("RH_min"), (k / 2 + F.col("n")).alias("wind_speed_max"), (k - 3).cast("double").alias("wind_u_mean"), (3 - k).cast("double").alias("wind_v_mean"), (0.3 + k / 20).alias("NDVI"), (1 + k / 5).alias("LAI"))
 
@@ -137,9 +137,9 @@ def _full(spark, sf):
 @query()
 def engineered_features(spark, sf):
     """The whole feature chain; tests hold its parts against plain loops and its edge against the whole."""
-    from .base import WIDE
+    from .base import WIDE, plot
 
-    out = features.engineered(_full(spark, sf), WIDE)
+    out = features.engineered(_full(spark, sf), plot(events(spark, sf), WIDE))
     return rounded(out.select("day", "cell", "dist_to_fire", "fire_upwind_exposure", "precip_sum_7d", "precip_sum_365d", "time_since_last_fire", "burn_frequency_365d", "spi_90d", "kbdi", "emc_peak", "ffwi", "vpd_peak", "hdw", "fvc", "doy_sin", "dow_cos_tp1"))
 
 
