@@ -6,7 +6,7 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..grid import Grid
@@ -147,30 +147,82 @@ def regridded(field: DataFrame, weights: DataFrame, value: str = "value", keys:
     return joined.groupBy(*keys, "cell").agg(F.when(whole, F.sum(F.col("w") * F.col(value))).otherwise(best).alias(value))
 
 
-def interpolated(points: DataFrame, targets: DataFrame, k: int = 12, power: float = 2.0, value: str = "value", keys: tuple[str, ...] = (), reach: float | None = None, step: float | None = None) -> DataFrame:
+#: Points up to which they are sent to all tasks.
+FEW_POINTS = 10_000
+
+
+def interpolated(points: DataFrame, targets: DataFrame, k: int = 12, power: float = 2.0, value: str = "value", keys: tuple[str, ...] = (), reach: float | None = None, step: float | None = None, few: int = FEW_POINTS) -> DataFrame:
     """(keys, cell, value): inverse distance weighting of the k nearest of (keys, src_id, px, py, value), for targets (cell, tx, ty).
 
-    With ``step`` and ``reach``, places meet by squares of that size within
-    reach of each other, which is for many points; without, the points (few
-    stations) are sent to all tasks after their number is checked.
+    Up to ``few`` points are sent to all tasks; with more, or with ``step`` or
+    ``reach`` (either the size of the first squares), places meet by squares,
+    which widen until the k nearest are certain.  Both find the same points.
+    Points and targets without a place and points without a value take no part.
     """
-    if step and reach:
-        span = int(-(-reach // step))
-        box = lambda a, b: (F.floor(F.col(a) / step).alias("bx"), F.floor(F.col(b) / step).alias("by"))
-        near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-span, span + 1) for j in range(-span, span + 1)])).alias("o")
-        asked = targets.select("cell", "tx", "ty", *box("tx", "ty"), near).withColumns({"bx": F.col("bx") + F.col("o.i"), "by": F.col("by") + F.col("o.j")})
-        pairs = asked.join(points.select("*", *box("px", "py")), ["bx", "by"])
-    else:
-        if points.select("src_id").distinct().count() > 10_000:
-            raise ValueError("too many points to send to all tasks: give step and reach")
-        pairs = targets.join(F.broadcast(points))
-    distance = F.greatest(F.hypot(F.col("tx") - F.col("px"), F.col("ty") - F.col("py")), F.lit(1.0))
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(*keys, "cell").orderBy("d", "src_id")
-    best = pairs.where(F.col(value).isNotNull()).withColumn("d", distance).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+    # Of points of one place only the first k can be among the k nearest.
+    place = Window.partitionBy(*keys, "px", "py").orderBy("src_id")
+    known = points.where(F.col(value).isNotNull() & F.col("px").isNotNull() & F.col("py").isNotNull()).withColumn("_r", F.row_number().over(place)).where(F.col("_r") <= k).select(*keys, "src_id", "px", "py", value)
+    asked = targets.select("cell", "tx", "ty").where("tx is not null and ty is not null")
+    if not (step or reach) and known.count() <= few:
+        best = _nearest(asked.join(F.broadcast(known)), k, keys)
+        return best.groupBy(*keys, "cell").agg(_weighted(value, power).alias(value))
+    return _by_squares(known, asked, k, power, value, keys, step or reach)
+
+
+def _nearest(pairs: DataFrame, k: int, keys: tuple[str, ...]) -> DataFrame:
+    order = Window.partitionBy(*keys, "cell").orderBy(F.col("d").asc_nulls_last(), "src_id")
+    distance = F.hypot(F.col("tx") - F.col("px"), F.col("ty") - F.col("py"))
+    return pairs.withColumn("d", F.when(distance.isNotNull(), F.greatest(distance, F.lit(1.0)))).withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
+
+
+def _weighted(value: str, power: float) -> Column:
     weight = 1 / F.pow(F.col("d"), F.lit(power))
-    return best.groupBy(*keys, "cell").agg((F.sum(weight * F.col(value)) / F.sum(weight)).alias(value))
+    return F.sum(weight * F.col(value)) / F.sum(weight)
+
+
+def _by_squares(known: DataFrame, asked: DataFrame, k: int, power: float, value: str, keys: tuple[str, ...], step: float | None) -> DataFrame:
+    """The same by rounds: a target sees the points of its square and the eight around it.
+
+    All points within one square's size are among those, so that a target is
+    done if its k-th is no farther; for the others the next round's squares are
+    twice as large, until nine hold everything.  A round's rows, one a target,
+    are cached for the next; only their number reaches the driver.
+    """
+    ends = lambda c: (F.min(c).alias(f"{c}0"), F.max(c).alias(f"{c}1"))
+    p = known.agg(F.count("*").alias("n"), *ends("px"), *ends("py")).first()
+    t = asked.agg(*ends("tx"), *ends("ty")).first()
+    if not p.n or t.tx0 is None:
+        return asked.join(known.limit(0)).select(*keys, "cell", value)
+    x0, y0 = min(p.px0, t.tx0), min(p.py0, t.ty0)
+    extent = max(max(p.px1, t.tx1) - x0, max(p.py1, t.ty1) - y0)
+    wide, high = p.px1 - p.px0, p.py1 - p.py0
+    # About k points a square; distances below 1 count as 1, so smaller squares decide nothing.
+    size = max(step or ((wide * high * k / p.n) ** 0.5 or max(wide, high) * k / p.n), 1.001)
+    square = lambda x, y: (F.floor((F.col(x) - x0) / size).alias("bx"), F.floor((F.col(y) - y0) / size).alias("by"))
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
+    todo = asked.join(F.broadcast(known.select(*keys).distinct())) if keys else asked
+    done = []
+    while True:
+        last = size > extent
+        a = todo.select("*", *square("tx", "ty"), around).withColumns({"bx": F.col("bx") + F.col("o.i"), "by": F.col("by") + F.col("o.j")}).alias("a")
+        b = known.select("*", *square("px", "py")).alias("b")
+        same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, "bx", "by")]
+        seen = a.join(b, same, "left").select(*[f"a.{c}" for c in (*keys, "cell", "tx", "ty")], *[f"b.{c}" for c in ("src_id", "px", "py", value)])
+        sure = F.lit(True) if last else (F.count("d") >= k) & (F.max("d") <= size * (1 - 1e-9))
+        found = _nearest(seen, k, keys).groupBy(*keys, "cell", "tx", "ty").agg(_weighted(value, power).alias(value), sure.alias("sure"))
+        if last:
+            done.append(found)
+            break
+        found = found.persist()
+        done.append(found.where("sure"))
+        todo = found.where("not sure").drop(value, "sure")
+        if todo.isEmpty():
+            break
+        size *= 2
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.select(*keys, "cell", value)
 
 
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:

@@ -179,6 +179,34 @@ def test_interpolation_by_squares_equals_all_points(spark):
     assert near == {c: pytest.approx(v) for c, v in whole.items()}
 
 
+def test_interpolation_switches_to_squares_and_stays_exact(spark):
+    rng = np.random.default_rng(2)
+    # A dense cluster, copies of one place, a few far points, and targets far from all.
+    places = np.vstack([rng.uniform(0, 10, (60, 2)), np.full((20, 2), 4.5), rng.uniform(500, 900, (6, 2))])
+    rows = [(i % 2, i, float(x), float(y), None if i % 13 == 0 else float(i * i % 31)) for i, (x, y) in enumerate(places)]
+    rows += [(2, 500, 1.0, 1.0, 7.0), (None, 501, 2.0, 2.0, 9.0)]
+    points = spark.createDataFrame(rows, "run int, src_id int, px double, py double, value double")
+    targets = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-40, 40, (25, 2)))] + [(90, 4.5, 4.5), (91, 700.0, 700.0), (92, -300.0, 0.0)], "cell int, tx double, ty double")
+    for keys in ((), ("run",)):
+        options = {"few": 10} if keys else {"reach": 20.0, "step": 20.0}
+        run = lambda **o: {(*[r[k] for k in keys], r.cell): r.value for r in spatial.interpolated(points, targets, k=5, keys=keys, **o).collect()}  # noqa: B023, E731
+        whole = run()
+        assert len(whole) == 28 * (4 if keys else 1)
+        assert run(**options) == {c: pytest.approx(v) for c, v in whole.items()}
+
+
+def test_more_points_than_are_sent_to_all_tasks(spark):
+    n = 10_100
+    points = spark.range(n).selectExpr("cast(id as int) as src_id", "cast(id % 101 as double) as px", "cast(id div 101 as double) as py", "cast(id as double) as value")
+    targets = spark.createDataFrame([(0, 50.2, 50.1), (1, -300.0, 12.0)], "cell int, tx double, ty double")
+    got = {r.cell: r.value for r in spatial.interpolated(points, targets, k=4).collect()}
+    at = np.arange(n)
+    for cell, x, y in ((0, 50.2, 50.1), (1, -300.0, 12.0)):
+        d = np.maximum(np.hypot(at % 101 - x, at // 101 - y), 1)
+        near = np.lexsort((at, d))[:4]
+        assert got[cell] == pytest.approx((near / d[near] ** 2).sum() / (1 / d[near] ** 2).sum())
+
+
 def test_regions_and_areas(spark):
     mask = np.array([[1, 0, 1], [1, 0, 1], [0, 1, 0]], bool)
     assert spatial.labelled_regions(mask).tolist() == [[1, 0, 2], [1, 0, 2], [0, 3, 0]]
