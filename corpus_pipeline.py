@@ -21,11 +21,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of no language (null texts and texts without a letter); it learns from the documents given."""
-    profiles = langid.learn(docs.where(langid.training(F.col("doc_id"))))
-    if not profiles.langs:
-        return docs
-    return langid.predict(docs, profiles, keep=True)
+    """Drops null texts, texts without a letter and, if there is a language to learn from the documents given, those without an n-gram of any."""
+    return langid.predict(docs, langid.learn(docs.where(langid.training(F.col("doc_id")))), keep=True, told=True)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

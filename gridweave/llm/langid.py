@@ -13,7 +13,8 @@ that grows with the documents reaches the driver: profiles hold at most
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; a
 text whose n-grams no profile knows goes to the first language with score 0;
-without training rows everything is ``und``.  Rows without language, text or id
+without training rows everything is ``und``.  With ``told`` a filter drops all
+texts of score 0, or without training rows those without a letter.  Rows without language, text or id
 are not learned from; a null id is not held out.  Repeated rows count repeatedly.
 """
 
@@ -163,6 +164,10 @@ class Profiles:
         known = index >= 0
         return index[known], places[known]
 
+    def told(self, offsets: np.ndarray, body: np.ndarray) -> np.ndarray:
+        """Whether each text has an n-gram that a profile knows, or a letter if there are no profiles."""
+        return self.nearest(offsets, body)[1] > 0 if self.langs else spread(offsets, body)[2] > 0
+
     def nearest(self, offsets: np.ndarray, body: np.ndarray) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text."""
         n, size = len(offsets) - 1, len(self.grams)
@@ -212,14 +217,17 @@ def training(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 3 != 1
 
 
-def predict(df: DataFrame, profiles: Profiles, text_col: str = "text", keep: bool = False) -> DataFrame:
-    """df with lang_pred and score; with ``keep``, df's own columns, without the rows of no language."""
+def predict(df: DataFrame, profiles: Profiles, text_col: str = "text", keep: bool = False, told: bool = False) -> DataFrame:
+    """df with lang_pred and score; with ``keep``, df's own columns, without the rows of no language or, with ``told``, those that no profile tells anything of."""
     names = df.columns
     at = names.index(text_col)
     schema = df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, body in slices(batches, text_col):
+            if keep and told:
+                yield rows.filter(pa.array(profiles.told(offsets, body)))
+                continue
             langs, scores = profiles.nearest(offsets, body)
             if keep:
                 yield rows.filter(pa.array([x != UNKNOWN for x in langs]))

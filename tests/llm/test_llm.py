@@ -532,6 +532,16 @@ def test_quality_edges(spark):
 # pipeline
 
 
+def test_language_stage_drops_what_no_profile_knows(spark):
+    import corpus_pipeline as cp
+
+    rows = [(i, "the cat sat on the mat", "en", "s", 22) for i in range(6)] + [(10, "キリル", "ja", "s", 3), (11, None, None, "s", 0), (12, "12 !", None, "s", 4), (13, "ЖЩЭ", None, "s", 3)]
+    taught = spark.createDataFrame([(r[0], r[1], r[2] if r[0] < 6 else None, *r[3:]) for r in rows], DOCUMENTS)
+    ids = lambda df: {r.doc_id for r in cp.spoken(spark, df, "").collect()}
+    assert ids(taught) == set(range(6))
+    assert ids(taught.withColumn("lang", F.lit(None).cast("string"))) == {*range(6), 10, 13}
+
+
 def test_pipeline_stages(spark, small):
     import corpus_pipeline as cp
 
