@@ -230,7 +230,7 @@ def predicted_and_actual(spark, sf):
     return scores(spark, sf).agg(F.count_if(F.col("p") >= 0.5).alias("predicted"), r(F.avg(F.col("y").cast("double"))).alias("actual"))
 
 
-@query("WITH s AS (SELECT CAST(s_suppkey AS INTEGER) AS cell FROM supplier WHERE s_suppkey < 100) SELECT CAST((cell // 10) // 2 * 5 + (cell % 10) // 2 AS INTEGER) AS block, avg(2000.0::DOUBLE * (cell % 10)) AS x_m, avg(-2000.0::DOUBLE * (cell // 10)) AS y_m FROM s GROUP BY 1")
+@query("WITH s AS (SELECT CAST(s_suppkey AS INTEGER) AS cell FROM supplier) SELECT CAST((cell // 10) // 2 * 5 + (cell % 10) // 2 AS INTEGER) AS block, avg(2000.0::DOUBLE * (cell % 10)) AS x_m, avg(-2000.0::DOUBLE * (cell // 10)) AS y_m FROM s GROUP BY 1")
 def coarse_centres(spark, sf):
     """A block's centre is the mean of its cells' centres."""
     c = F.col("cell")

@@ -107,11 +107,11 @@ def warm_start(spark, sf):
     return J.warm_start(c.where("day between date'2001-06-01' and date'2001-06-10'"), c.where("rain is not null").withColumnRenamed("rain", "value"))
 
 
-@query(f"WITH {ECUBE}, w AS (SELECT day, cell FROM ecube WHERE cell % 7 = 0 UNION ALL SELECT DATE '2030-01-01', 1) SELECT w.day, w.cell, e.n FROM w JOIN ecube e ON e.day = w.day AND e.cell = w.cell")
+@query(f"WITH {ECUBE}, w AS (SELECT day, cell FROM ecube WHERE is_fire = 1 UNION ALL SELECT DATE '2030-01-01', 1) SELECT w.day, w.cell, e.n FROM w JOIN ecube e ON e.day = w.day AND e.cell = w.cell")
 def point_extract(spark, sf):
     """Values at listed (day, cell) places; days that the axis lacks are skipped."""
     c = ecube(spark, sf)
-    wanted = c.where("cell % 7 = 0").select("day", "cell").unionByName(spark.sql("select date'2030-01-01' as day, 1 as cell"))
+    wanted = c.where("is_fire = 1").select("day", "cell").unionByName(spark.sql("select date'2030-01-01' as day, 1 as cell"))
     return wanted.join(c, ["day", "cell"]).select("day", "cell", "n")
 
 
@@ -181,17 +181,17 @@ def stride_days(spark, sf):
     return sampling.every(ecube(spark, sf), 4).select("day", "cell", "n")
 
 
-@query("WITH w AS (SELECT CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY)) AS DATE) AS day), h AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0) SELECT day FROM w WHERE day NOT IN (SELECT day FROM h)")
+@query("WITH w AS (SELECT CAST(unnest(generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY)) AS DATE) AS day), h AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O') SELECT day FROM w WHERE day NOT IN (SELECT day FROM h)")
 def antijoin_missing(spark, sf):
     want = spark.sql("select explode(sequence(date'1998-01-01', date'1998-12-31')) as day")
-    have = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' and o_orderkey % 3 = 0").select(F.to_date("o_orderdate").alias("day"))
+    have = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'O'").select(F.to_date("o_orderdate").alias("day"))
     return maintain.missing_days(want, have)
 
 
-@query("SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 50 = 0 INTERSECT SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_orderkey % 50 = 1")
+@query("SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderstatus = 'P' INTERSECT SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag = 'R'")
 def both_feeds(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderkey % 50 = 0").select(F.to_date("o_orderdate").alias("day"))
-    li = table(spark, sf, "lineitem").where("l_orderkey % 50 = 1").select(F.to_date("l_shipdate").alias("day"))
+    o = table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.to_date("o_orderdate").alias("day"))
+    li = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.to_date("l_shipdate").alias("day"))
     return maintain.both_feeds(o, li)
 
 

@@ -10,7 +10,8 @@ from ..plans import serving
 from .aggregates import _SCORED, scored
 from .base import ECUBE, WIDE, ecube, events, plot, query, r, table
 
-_NEAR = f"""WITH {ECUBE}, c AS (SELECT day, cell, is_fire * CASE WHEN cell % 3 = 0 AND CAST(day AS DATE) <> DATE '2024-01-07' THEN 1 ELSE 0 END AS e, coalesce(mean, 0) / 10 AS u, -n::DOUBLE AS v FROM ecube WHERE cell < 160),
+_NEAR = f"""WITH {ECUBE}, c AS (SELECT day, cell, is_fire * CASE WHEN cell % 3 = 0 AND CAST(day AS DATE) <> DATE '2024-01-07' THEN 1 ELSE 0 END AS e, coalesce(mean, 0) / 10 AS u, -n::DOUBLE AS v FROM ecube),
+ny AS (SELECT greatest(16, max(cell) // 10 + 1) AS ny FROM ecube),
 d AS (SELECT c.day, c.cell, c.u, c.v, o.cell AS near, ((c.cell % 10 - o.cell % 10) * (c.cell % 10 - o.cell % 10) + (c.cell // 10 - o.cell // 10) * (c.cell // 10 - o.cell // 10)) AS d2 FROM c LEFT JOIN (SELECT day, cell FROM c WHERE e = 1) o ON o.day = c.day),
 k AS (SELECT *, row_number() OVER (PARTITION BY day, cell ORDER BY d2, near) AS k FROM d)"""
 
@@ -32,7 +33,7 @@ def _burning(spark, sf):
     return ecube(spark, sf).select("day", "cell", (F.col("is_fire") * F.when(some, 1).otherwise(0)).alias("is_fire"), (F.coalesce("mean", F.lit(0.0)) / 10).alias("wind_u"), (-F.col("n")).cast("double").alias("wind_v"))
 
 
-@query(f"{_NEAR} SELECT day, cell, round(coalesce(sqrt(d2) * 2, sqrt(10 * 10 + 16 * 16) * 2), 6) + 0.0 AS dist_km, CAST(near AS INTEGER) AS nearest FROM k WHERE k = 1")
+@query(f"{_NEAR} SELECT day, cell, round(coalesce(sqrt(d2) * 2, sqrt(10 * 10 + (SELECT ny * ny FROM ny)) * 2), 6) + 0.0 AS dist_km, CAST(near AS INTEGER) AS nearest FROM k WHERE k = 1")
 def nearest_event(spark, sf):
     return G.nearest_events(_burning(spark, sf), _wide(spark, sf)).select("day", "cell", r("dist_km").alias("dist_km"), "nearest")
 
@@ -48,14 +49,14 @@ def distance_without_events(spark, sf):
     return G.nearest_events(_burning(spark, sf), _wide(spark, sf), none_km=1000.0).select("day", "cell", r("dist_km").alias("dist_km"))
 
 
-@query("WITH b AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, s_acctbal / 10000 > 0.5 AS built FROM supplier WHERE s_suppkey < 100) SELECT b.cell, round(min(sqrt((b.cell % 10 - o.cell % 10) * (b.cell % 10 - o.cell % 10) + (b.cell // 10 - o.cell // 10) * (b.cell // 10 - o.cell // 10)) * 2), 6) + 0.0 AS dist_to_urban FROM b, b o WHERE o.built GROUP BY b.cell")
+@query("WITH b AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, s_acctbal / 10000 > 0.5 AS built FROM supplier) SELECT b.cell, round(min(sqrt((b.cell % 10 - o.cell % 10) * (b.cell % 10 - o.cell % 10) + (b.cell // 10 - o.cell // 10) * (b.cell // 10 - o.cell // 10)) * 2), 6) + 0.0 AS dist_to_urban FROM b, b o WHERE o.built GROUP BY b.cell")
 def dist_to_urban(spark, sf):
     s, grid = _suppliers(spark, sf)
     b = s.select(F.lit(0).alias("k"), "cell", (F.col("s_acctbal") / 10000 > 0.5).cast("int").alias("is_fire"), F.lit(0.0).alias("wind_u"), F.lit(0.0).alias("wind_v"))
     return G.nearest_events(b, grid, keys=("k",)).select("cell", r("dist_km").alias("dist_to_urban"))
 
 
-_RELIEF = "h AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, CASE WHEN s_suppkey % 11 = 3 THEN NULL ELSE s_acctbal END AS e FROM supplier WHERE s_suppkey < 100)"
+_RELIEF = "h AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, CASE WHEN s_suppkey % 11 = 3 THEN NULL ELSE s_acctbal END AS e FROM supplier), last AS (SELECT greatest(9, max(cell) // 10) AS last FROM h)"
 
 
 def _relief(spark, sf):
@@ -64,7 +65,7 @@ def _relief(spark, sf):
 
 
 def _near(radius: int) -> str:
-    return f"o AS (SELECT a.i AS dy, b.i AS dx FROM range(-{radius}, {radius + 1}) a(i), range(-{radius}, {radius + 1}) b(i)), m AS (SELECT h.cell, avg(n.e) AS mean FROM h CROSS JOIN o JOIN h n ON n.cell = least(greatest(h.cell // 10 + dy, 0), 9) * 10 + least(greatest(h.cell % 10 + dx, 0), 9) GROUP BY h.cell)"
+    return f"o AS (SELECT a.i AS dy, b.i AS dx FROM range(-{radius}, {radius + 1}) a(i), range(-{radius}, {radius + 1}) b(i)), m AS (SELECT h.cell, avg(n.e) AS mean FROM h CROSS JOIN o JOIN h n ON n.cell = least(greatest(h.cell // 10 + dy, 0), (SELECT last FROM last)) * 10 + least(greatest(h.cell % 10 + dx, 0), 9) GROUP BY h.cell)"
 
 
 @query(f"WITH {_RELIEF}, {_near(2)} SELECT h.cell, round(h.e - m.mean, 6) + 0.0 AS tpi FROM h JOIN m ON m.cell = h.cell")
@@ -72,7 +73,7 @@ def tpi5(spark, sf):
     return G.position_index(*_relief(spark, sf), "e").select("cell", r("tpi").alias("tpi"))
 
 
-@query(f"WITH {_RELIEF}, o(dy, dx) AS (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)), m AS (SELECT h.cell, sum(coalesce(n.e, 0)) AS s FROM h CROSS JOIN o JOIN h n ON n.cell = least(greatest(h.cell // 10 + dy, 0), 9) * 10 + least(greatest(h.cell % 10 + dx, 0), 9) GROUP BY h.cell) SELECT h.cell, round(s - 4 * coalesce(h.e, 0), 4) + 0.0 AS curvature FROM h JOIN m ON m.cell = h.cell")
+@query(f"WITH {_RELIEF}, o(dy, dx) AS (VALUES (-1, 0), (1, 0), (0, -1), (0, 1)), m AS (SELECT h.cell, sum(coalesce(n.e, 0)) AS s FROM h CROSS JOIN o JOIN h n ON n.cell = least(greatest(h.cell // 10 + dy, 0), (SELECT last FROM last)) * 10 + least(greatest(h.cell % 10 + dx, 0), 9) GROUP BY h.cell) SELECT h.cell, round(s - 4 * coalesce(h.e, 0), 4) + 0.0 AS curvature FROM h JOIN m ON m.cell = h.cell")
 def laplacian(spark, sf):
     return G.curvature(*_relief(spark, sf), "e").select("cell", r("curvature", 4).alias("curvature"))
 
@@ -82,7 +83,7 @@ def neigh_mean(spark, sf):
     return G.neighbourhood_mean(*_relief(spark, sf), "e", 3).select("cell", r("mean").alias("mean"))
 
 
-@query("WITH f AS (SELECT CAST(s_suppkey AS INTEGER) AS src, s_acctbal AS v FROM supplier WHERE s_suppkey < 100), t AS (SELECT c_custkey AS cell, (c_custkey % 90)::DOUBLE / 10 + 0.03 AS gx, (c_custkey % 83)::DOUBLE / 10 + 0.01 AS gy FROM customer), w AS (SELECT *, CAST(floor(gx) AS INTEGER) AS i, CAST(floor(gy) AS INTEGER) AS j FROM t), a AS (SELECT *, gx - i AS a, gy - j AS b FROM w), x AS (SELECT a.cell, a.a, a.b, p.v AS v00, q.v AS v01, r.v AS v10, s.v AS v11 FROM a JOIN f p ON p.src = j * 10 + i JOIN f q ON q.src = j * 10 + i + 1 JOIN f r ON r.src = (j + 1) * 10 + i JOIN f s ON s.src = (j + 1) * 10 + i + 1) SELECT CAST(cell AS INTEGER) AS cell, round(CASE WHEN a >= b THEN (1 - a) * v00 + (a - b) * v01 + b * v11 ELSE (1 - b) * v00 + (b - a) * v10 + a * v11 END, 4) + 0.0 AS value FROM x")
+@query("WITH f AS (SELECT CAST(s_suppkey AS INTEGER) AS src, s_acctbal AS v FROM supplier), t AS (SELECT c_custkey AS cell, (c_custkey % 90)::DOUBLE / 10 + 0.03 AS gx, (c_custkey % 83)::DOUBLE / 10 + 0.01 AS gy FROM customer), w AS (SELECT *, CAST(floor(gx) AS INTEGER) AS i, CAST(floor(gy) AS INTEGER) AS j FROM t), a AS (SELECT *, gx - i AS a, gy - j AS b FROM w), x AS (SELECT a.cell, a.a, a.b, p.v AS v00, q.v AS v01, r.v AS v10, s.v AS v11 FROM a JOIN f p ON p.src = j * 10 + i JOIN f q ON q.src = j * 10 + i + 1 JOIN f r ON r.src = (j + 1) * 10 + i JOIN f s ON s.src = (j + 1) * 10 + i + 1) SELECT CAST(cell AS INTEGER) AS cell, round(CASE WHEN a >= b THEN (1 - a) * v00 + (a - b) * v01 + b * v11 ELSE (1 - b) * v00 + (b - a) * v10 + a * v11 END, 4) + 0.0 AS value FROM x")
 def regrid_weights_apply(spark, sf):
     """A field on a regular mesh to scattered places, by weights that are made once."""
     k = F.col("c_custkey")
@@ -93,7 +94,7 @@ def regrid_weights_apply(spark, sf):
     return G.regridded(field, weights, keys=()).select("cell", r("value", 4).alias("value"))
 
 
-@query("WITH s AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, s_acctbal AS v FROM supplier WHERE s_suppkey < 100), k AS (SELECT CAST(range AS INTEGER) AS k FROM range(4)) SELECT CAST(((cell // 10) * 2 + k // 2) * 20 + (cell % 10) * 2 + k % 2 AS INTEGER) AS cell, v FROM s, k")
+@query("WITH s AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, s_acctbal AS v FROM supplier), k AS (SELECT CAST(range AS INTEGER) AS k FROM range(4)) SELECT CAST(((cell // 10) * 2 + k // 2) * 20 + (cell % 10) * 2 + k % 2 AS INTEGER) AS cell, v FROM s, k")
 def refine(spark, sf):
     s, grid = _suppliers(spark, sf)
     return G.refine(s.withColumnRenamed("s_acctbal", "v"), grid, 2)
@@ -109,7 +110,7 @@ def polygon_cells(spark, sf):
     return G.polygon_cells(p, grid).select("id", "cell")
 
 
-@query(f"""{_NEAR.replace("FROM ecube WHERE cell < 160),", "FROM ecube WHERE cell < 160), al AS (SELECT day, cell FROM c WHERE u > 9),", 1)},
+@query(f"""{_NEAR}, al AS (SELECT day, cell FROM c WHERE u > 9),
 q AS (SELECT day, cell, sqrt(d2) * 2 AS d FROM k WHERE k = 1), ev2 AS (SELECT day, cell FROM c WHERE e = 1),
 b AS (SELECT e.day, e.cell, min((e.cell % 10 - a.cell % 10) * (e.cell % 10 - a.cell % 10) + (e.cell // 10 - a.cell // 10) * (e.cell // 10 - a.cell // 10)) AS d2 FROM ev2 e LEFT JOIN al a ON a.day = e.day GROUP BY 1, 2)
 SELECT (SELECT round(avg(CASE WHEN coalesce(q.d, 1e9) <= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) + 0.0 FROM q JOIN al ON al.day = q.day AND al.cell = q.cell) AS alerts_near, (SELECT round(avg(CASE WHEN coalesce(sqrt(d2) * 2, 1e9) <= 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) + 0.0 FROM b) AS events_near""")
@@ -129,15 +130,15 @@ def danger_areas(spark, sf):
     return serving.region_areas(G.danger_areas(scored(spark, sf), _wide(spark, sf))).select("day", "area", r("p_any").alias("p_any"), "peak_cell", "radius_m", "n_cells", "regime", "region", "place")
 
 
-@query(f"{_SCORED}, a AS (SELECT DISTINCT cell FROM scored UNION SELECT CAST(c_custkey AS INTEGER) FROM customer WHERE c_custkey < 160), d AS (SELECT cell, p, regime FROM scored WHERE day = DATE '2024-01-15') SELECT a.cell, coalesce(d.p, 0.0::DOUBLE) AS p, CAST(coalesce(d.regime, 0) AS INTEGER) AS regime FROM a LEFT JOIN d ON d.cell = a.cell")
+@query(f"{_SCORED}, a AS (SELECT DISTINCT cell FROM scored UNION SELECT CAST(c_custkey AS INTEGER) FROM customer), d AS (SELECT cell, p, regime FROM scored WHERE day = DATE '2024-01-15') SELECT a.cell, coalesce(d.p, 0.0::DOUBLE) AS p, CAST(coalesce(d.regime, 0) AS INTEGER) AS regime FROM a LEFT JOIN d ON d.cell = a.cell")
 def scatter_back(spark, sf):
     """Scores of land cells back on the whole grid."""
     s = scored(spark, sf)
-    cells = s.select("cell").union(table(spark, sf, "customer").where("c_custkey < 160").select(F.col("c_custkey").cast("int"))).distinct()
+    cells = s.select("cell").union(table(spark, sf, "customer").select(F.col("c_custkey").cast("int"))).distinct()
     return serving.scattered(cells, s.where("day = date'2024-01-15'"))
 
 
-@query("SELECT CAST(s_suppkey AS INTEGER) AS cell, CAST(s_suppkey // 10 AS INTEGER) AS y, CAST(s_suppkey % 10 AS INTEGER) AS x, 2000.0::DOUBLE * (s_suppkey % 10) AS x_m, -2000.0::DOUBLE * (s_suppkey // 10) + 0.0 AS y_m FROM supplier WHERE s_suppkey < 100")
+@query("SELECT CAST(s_suppkey AS INTEGER) AS cell, CAST(s_suppkey // 10 AS INTEGER) AS y, CAST(s_suppkey % 10 AS INTEGER) AS x, 2000.0::DOUBLE * (s_suppkey % 10) AS x_m, -2000.0::DOUBLE * (s_suppkey // 10) + 0.0 AS y_m FROM supplier")
 def grid_cells(spark, sf):
     s, grid = _suppliers(spark, sf)
     return grid.cells(spark).join(s, "cell", "left_semi").withColumn("y_m", F.col("y_m") + 0.0)

@@ -16,10 +16,10 @@ def json_props(spark, sf):
     return events(spark, sf).select("event_id", F.from_json("props", "k int").k.alias("k"))
 
 
-@query("SELECT CAST(user_id AS INTEGER) AS src_id, ts, value AS t2m FROM events WHERE user_id < 20")
+@query("SELECT CAST(user_id AS INTEGER) AS src_id, ts, value AS t2m FROM events")
 def hourly_payload(spark, sf):
     """Series in one JSON document a station, parsed into rows."""
-    e = events(spark, sf).where("cell < 20").groupBy(F.col("cell").alias("src_id")).agg(F.array_sort(F.collect_list(F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t"), "value"))).alias("s"))
+    e = events(spark, sf).groupBy(F.col("cell").alias("src_id")).agg(F.array_sort(F.collect_list(F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t"), "value"))).alias("s"))
     payload = e.select("src_id", F.to_json(F.struct(F.transform("s", lambda x: x.t).alias("time"), F.transform("s", lambda x: x.value).alias("t2m"))).alias("payload"))
     return readers.hourly_payload(payload, ["t2m"]).select("src_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "t2m")
 
@@ -64,9 +64,9 @@ def latest_partitions(spark, sf):
     return readers.last_partitions(events(spark, sf), "day", 3).groupBy("day").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {LCUBE} SELECT cell, day, rain FROM lcube WHERE day <= DATE '2001-11-04' - 6 AND day > DATE '2001-10-01'")
+@query(f"WITH {LCUBE} SELECT cell, day, rain FROM lcube WHERE day <= DATE '2001-11-04' - 6")
 def settled_only(spark, sf):
-    return maintain.settled(lcube(spark, sf), F.lit("2001-11-04").cast("date")).where("day > date'2001-10-01'").select("cell", "day", "rain")
+    return maintain.settled(lcube(spark, sf), F.lit("2001-11-04").cast("date")).select("cell", "day", "rain")
 
 
 @query("WITH c AS (SELECT DATE '2001-11-04' - 60 AS cut) SELECT CAST(l_shipdate AS DATE) AS day, 'archive' AS feed, count(*) AS n FROM lineitem, c WHERE l_returnflag = 'A' AND CAST(l_shipdate AS DATE) <= cut GROUP BY 1 UNION ALL SELECT CAST(l_shipdate AS DATE), 'recent', count(*) FROM lineitem, c WHERE l_returnflag = 'R' AND CAST(l_shipdate AS DATE) > cut GROUP BY 1")
@@ -83,10 +83,10 @@ def completeness_gate(spark, sf):
     return e.select("event_id", maintain.usable_day(F.col("ts")).alias("usable"), maintain.fetched_again(F.col("day"), F.lit("2024-01-30").cast("date"), F.col("event_id") % 3 != 0).alias("fetch")).withColumnRenamed("usable", "day")
 
 
-@query("WITH o AS (SELECT o_orderkey, o_totalprice AS v FROM orders WHERE o_orderkey % 2 = 0), n AS (SELECT o_orderkey, -o_totalprice AS v FROM orders WHERE o_orderkey % 3 = 0) SELECT * FROM n UNION ALL SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)")
+@query("WITH o AS (SELECT o_orderkey, o_totalprice AS v FROM orders WHERE o_orderstatus <> 'P'), n AS (SELECT o_orderkey, -o_totalprice AS v FROM orders WHERE o_orderpriority = '1-URGENT') SELECT * FROM n UNION ALL SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM n)")
 def upsert_by_key(spark, sf):
     o = table(spark, sf, "orders")
-    return maintain.upserted(o.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_totalprice").alias("v")), o.where("o_orderkey % 3 = 0").select("o_orderkey", (-F.col("o_totalprice")).alias("v")), ["o_orderkey"])
+    return maintain.upserted(o.where("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_totalprice").alias("v")), o.where("o_orderpriority = '1-URGENT'").select("o_orderkey", (-F.col("o_totalprice")).alias("v")), ["o_orderkey"])
 
 
 @query("WITH p(satellite, minute) AS (VALUES ('NOAA-21', 100), ('NOAA-21', 750), ('NOAA-20', 125), ('NOAA-20', 775), ('Suomi NPP', 150), ('Suomi NPP', 800)), s AS (SELECT *, TIMESTAMP '2024-01-15 00:00:00' + to_minutes(minute + 210) AS settles FROM p) SELECT satellite, CAST(minute AS INTEGER) AS minute, CASE WHEN TIMESTAMP '2024-01-15 16:30:00' < settles THEN 'later' WHEN TIMESTAMP '2024-01-15 06:00:00' >= settles THEN 'in' ELSE 'miss' END AS state FROM s")
@@ -107,9 +107,9 @@ def static_layers(spark, sf):
     return sinks.narrowed(sinks.static_layers(c, ["region", "height"]))
 
 
-@query(f"WITH {LCUBE} SELECT day, cell, CAST(coalesce((rain - 25) / 10, 0) AS FLOAT) AS a, CAST((tmax - 18) / 12 AS FLOAT) AS b FROM lcube WHERE day < DATE '1995-02-01'")
+@query(f"WITH {LCUBE} SELECT day, cell, CAST(coalesce((rain - 25) / 10, 0) AS FLOAT) AS a, CAST((tmax - 18) / 12 AS FLOAT) AS b FROM lcube")
 def training_stack(spark, sf):
-    c = sinks.stacked(lcube(spark, sf).where("day < date'1995-02-01'"), ["rain", "tmax"], {"rain": (25.0, 10.0), "tmax": (18.0, 12.0)})
+    c = sinks.stacked(lcube(spark, sf), ["rain", "tmax"], {"rain": (25.0, 10.0), "tmax": (18.0, 12.0)})
     return c.select("day", "cell", F.col("x")[0].alias("a"), F.col("x")[1].alias("b"))
 
 
