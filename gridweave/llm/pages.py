@@ -1,35 +1,42 @@
-"""Main text of HTML pages, with a host suffix array for what the markup leaves open.
-
-A page is cut into blocks at block elements.  Markup decides most of them:
-
-* dropped: script, style, head, navigation, headers and footers of the page,
-  sidebars, forms, and elements whose class, id or role names an advert, notice,
-  menu, share bar, related links or reader comments;
-* kept: what else stands in an ``article`` (or ``main``).  Passages that articles
-  share are text and stay; by repetition alone a copied article would be lost.
-
-Where a page has neither article nor main, its remaining blocks are open.  The
-token streams of a host's open pages are concatenated, a suffix array over them
-finds runs of at least ``RUN`` tokens that occur on distinct pages, tokens that
-such runs cover are boilerplate, and a block stays if it keeps a unique run,
-that is if at least half of its tokens are not covered.
-
-A host's suffix array is sorted to the depth of ``RUN`` tokens.  A host with more
-than ``HOST_PAGES`` open pages is not gathered in one task: its suffixes are
-grouped by the hash of their first RUN tokens over all tasks, which finds the
-same runs.
-
-Blocks have white space turned into single spaces, character references decoded
-and are joined by two line feeds.
+"""Main text of HTML pages: markup as evidence, and a suffix array over the token streams of a host.
+
+A page is parsed once, in linear time, into blocks in page order, each of a zone:
+
+* *dropped* by markup: navigation, the page's headers and footers, sidebars,
+  forms, and elements whose class, id or role is a name for a menu, header,
+  footer, sidebar, notice, advert or reader comments.  Scripts, styles, frames'
+  and templates' raw content and comments are no text at all;
+* *article*: what else stands in an ``article`` (or ``main``); an article's own
+  ``header`` holds its title and stays;
+* *open*: the rest, of which markup says nothing.
+
+Token streams of a host's pages (their open blocks, and their dropped ones, end
+to end) are entered into a suffix array that is sorted to the depth of ``RUN``
+tokens: a suffix's entry is the hash of its host and first RUN tokens, and
+entries meet by shuffle, so that an array of any size is spread over all tasks
+and equal entries are combined before they are sent.  A run that open blocks hold on
+two or more distinct pages of the host, or in dropped blocks of two, is repeated
+and covers its tokens; an open block stays if it keeps a unique run, that is if at
+least half of its tokens are uncovered.  This holds on every page, with an article
+or without.  A block of an article stays whatever it repeats: articles share
+passages and lines with each other and with adverts, and all of them are text.
+
+A name counts if all of its words are known ones (``share-bar``, not
+``share-price``); ids of headings are targets of links and do not count.
+White space within a block is turned into single spaces, character references
+are decoded, and blocks are joined by two line feeds.
 
 Edge cases: null and empty pages have the empty text; unclosed elements end with
-the page; a null url is a host of its own name; repeated rows are pages of their
-own, but copies of one page_id count as one page for repetition; extra columns
-are not read.
+the page; a tag, comment or script that never closes is no text, nor is what
+follows it; a null url is a host of its own name.  Pages are told apart by their
+content, so repeated rows and copies count as one page for repetition and keep
+their text, null and repeated ids included; extra columns are not read.  Memory
+follows the longest page; runs are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -39,234 +46,275 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from . import textvec as tv
+from .common import scratch
 
 RUN = 8
-HOST_PAGES = 4096
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|textarea|title|select)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
-_SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0  -     　]+")
+DROPPED, OPEN, ARTICLE = 0, 1, 2
+#: Marked rows up to which the marks are sent to all tasks.
+BROADCAST_ROWS = 200_000
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_END = re.compile(r"=[ \t\r\n\f]*[\"']|>")
+_CLOSING = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in ("script", "style", "noscript", "template", "iframe", "textarea", "title")}
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_SPACE = re.compile(r"[ \t\n\r\f\v\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Elements that end a block.
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements that hold others and must be closed; the rest may be left open.
-_HOLDERS = frozenset("article aside blockquote body button dialog details div dl fieldset figure footer form head header html main menu nav ol section table ul".split())
+_HOLDERS = frozenset("article aside blockquote body details dialog div dl fieldset figure footer form head header html main menu nav ol section table ul".split())
 #: Elements without content.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements that a sibling of their kind closes.
 _SIBLINGS = frozenset("li tr td th dd dt option".split())
-_DROPPED = frozenset("nav footer aside form menu head dialog button".split())
-_WORDS = re.compile(r"^(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|sidebar\w*|side|menu\w*|nav\w*|topnav|footer\w*|header|masthead|cookies?\w*|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|respond|breadcrumbs?|pagination|pager|widget\w*|login|search|toolbar|navigation|contentinfo|complementary|copyright|legal|disclaimer|tracking|paywall)$", re.I)
+_UNWANTED = frozenset("nav footer aside form menu head".split())
+_ROLES = frozenset("navigation menu menubar contentinfo complementary search form".split())
+# Names of what is no main text, and words that only tell where or how such a thing stands.
+_NAMES = re.compile(r"ads?|advert|advertisement|advertising|adsense|banner|promo|promotion|sponsor|sponsored|sidebar|menu|nav|navbar|navigation|topnav|footer|header|masthead|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|recommendations|comments?|commentlist|disqus|replies|respond|breadcrumbs?|pagination|pager|login|search|toolbar|copyright|disclaimer|paywall", re.I)
+_PLACES = re.compile(r"bar|bars|box|block|section|container|wrapper|wrap|list|area|items?|links?|panel|widgets?|inner|outer|top|bottom|left|right|side|label|content|site|page|main|global|primary|secondary|form|buttons?|icons?|unit|slot|text|title|group|row|col|column|thread|reader|user|post|article|entry|blog|overlay|\d+", re.I)
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
+
+
+def _named(name: str) -> bool:
+    """Whether all words of a class or id (joined by hyphens, underscores or capitals) are known, one at least as a name."""
+    words = _WORDS.findall(name)
+    known = [bool(_NAMES.fullmatch(w)) for w in words]
+    return any(known) and all(k or _PLACES.fullmatch(w) for k, w in zip(known, words, strict=True))
 
 
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in _DROPPED or (tag == "header" and not inside):
+    if tag in _UNWANTED or (tag == "header" and not inside):
         return True
-    if not attributes or not attributes.strip():
+    if not attributes or tag in ("body", "html", "article", "main"):
         return False
-    if _HIDDEN.search(attributes):
-        return True
     for m in _ATTRIBUTE.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "role" and value.lower() == "banner" and not inside:
-            return True
-        for name in value.split() if m[1].lower() != "aria-label" else ():
-            # Names are words joined by hyphens, underscores or capitals; the first or last word tells.
-            parts = [x for x in re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", name) if x]
-            if parts and any(_WORDS.match(x) for x in (parts[0], parts[-1])):
-                return not (inside and name.lower() in ("header", "article-header", "entry-header", "post-header"))
+        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if kind == "role":
+            if value.lower() in _ROLES or (value.lower() == "banner" and not inside):
+                return True
+        elif kind == "class" or tag not in ("h1", "h2", "h3", "h4", "h5", "h6"):
+            for name in value.split():
+                # The header of an article is its own.
+                if _named(name) and not (inside and name.lower().endswith("header")):
+                    return True
     return False
 
 
-def blocks(page: str) -> tuple[list[str], list[str], bool]:
-    """(blocks in an article or main, blocks that the markup leaves open, whether there is an article or main)."""
-    kept: list[str] = []
-    open_: list[str] = []
+def _closed(page: str, at: int) -> int:
+    """Where the tag ends whose attributes begin at ``at``: its ``>`` outside quotes; -1 if it has none, -2 if a quote stays open."""
+    while True:
+        m = _END.search(page, at)
+        if not m:
+            return -1
+        if m[0] == ">":
+            return m.start()
+        at = page.find(m[0][-1], m.end()) + 1
+        if not at:
+            return -2
+
+
+def blocks(page: str) -> list[tuple[int, str]]:
+    """(zone, text) of every block, in page order.  The page is gone through once: a search that fails ends it or is not made again."""
+    out: list[tuple[int, str]] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, dropped, inside an article or main
-    parts: list[str] = []
-    found = False
-    at = 0
+    depth: dict[str, int] = {}
+    wanted: list[str] = []
+    dropped_: list[str] = []
+    quotes = True
+    at, size = 0, len(page)
+    dropped = inside = False
 
     def flush() -> None:
-        if parts:
-            joined = "".join(parts)
-            if "&" in joined:
-                joined = entities.unescape(joined)
-            text = _SPACE.sub(" ", joined).strip(" ")
-            if text:
-                (kept if stack and stack[-1][2] else open_).append(text)
-            parts.clear()
-
-    for m in _TOKEN.finditer(page):
-        if m.start() > at and not (stack and stack[-1][1]):
-            parts.append(page[at : m.start()])
-        at = m.end()
-        if not m[3]:
+        for parts, zone in ((dropped_, DROPPED), (wanted, ARTICLE if inside else OPEN)):
+            if parts:
+                joined = "".join(parts)
+                if "&" in joined:
+                    joined = entities.unescape(joined)
+                text = _SPACE.sub(" ", joined).strip(" ")
+                if text:
+                    out.append((zone, text))
+                parts.clear()
+
+    def pop() -> None:
+        nonlocal dropped, inside
+        depth[stack.pop()[0]] -= 1
+        _, dropped, inside = stack[-1] if stack else ("", False, False)
+
+    def keep(a: int, b: int) -> None:
+        if b > a:
+            (dropped_ if dropped else wanted).append(page[a:b])
+
+    begun = 0
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            keep(begun, size)
+            break
+        m = _TAG.match(page, at)
+        if not m:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                end = end + 2 if end >= 0 else -1
+            elif page.startswith(("<!", "<?", "</"), at):
+                end = page.find(">", at)
+            else:
+                at += 1
+                continue
+            keep(begun, at)
+            if end < 0:
+                break
+            at = begun = end + 1
+            continue
+        keep(begun, at)
+        end = _closed(page, m.end()) if quotes else page.find(">", m.end())
+        if end == -2 or (quotes and end == -1):
+            # From here on quotes are plain characters, which a search for ">" alone settles.
+            quotes = False
+            end = page.find(">", m.end())
+        if end < 0:
+            break
+        closing, tag, attributes = m[1], m[2].lower(), page[m.end() : end]
+        at = begun = end + 1
+        if not closing and tag in _CLOSING:
+            after = _CLOSING[tag].search(page, at)
+            end = page.find(">", after.start()) if after else -1
+            if end < 0:
+                break
+            at = begun = end + 1
             continue
-        tag = m[3].lower()
         if tag in _BLOCKS:
             flush()
         elif tag == "br":
-            parts.append(" ")
+            (dropped_ if dropped else wanted).append(" ")
         if tag in _VOID:
             continue
-        if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+        if closing:
+            if depth.get(tag):
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
             continue
         if stack and (stack[-1][0] == "p" and tag in _BLOCKS or stack[-1][0] == tag and tag in _SIBLINGS):
-            stack.pop()
-        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            pop()
         # Other elements may be left open; they only count where they are unwanted.
-        unwanted = dropped or _unwanted(tag, m[4], inside)
-        if (tag in _HOLDERS or unwanted) and not m[4].endswith("/"):
-            if tag in ("article", "main") and not unwanted:
-                inside = found = True
-            stack.append((tag, unwanted, inside))
-    if at < len(page):
-        # A tag that never closes is no text.
-        rest = page[at:]
-        cut = re.search(r"<[a-zA-Z/!?]", rest)
-        if not (stack and stack[-1][1]):
-            parts.append(rest[: cut.start()] if cut else rest)
+        unwanted = dropped or _unwanted(tag, attributes, inside)
+        if (tag in _HOLDERS or unwanted) and not attributes.endswith("/"):
+            dropped, inside = unwanted, inside or (tag in ("article", "main") and not unwanted)
+            stack.append((tag, dropped, inside))
+            depth[tag] = depth.get(tag, 0) + 1
     flush()
-    return kept, open_, found
+    return out
 
 
-def suffix_runs(streams: list[np.ndarray], depth: int = RUN) -> list[np.ndarray]:
-    """For each token stream, which tokens lie in runs of ``depth`` or more tokens that another stream has too.
+def heads(tokens: np.ndarray, salt: np.ndarray, depth: int = RUN) -> np.ndarray:
+    """Hash of the first ``depth`` tokens of every suffix that has so many."""
+    n = len(tokens) - depth + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        total = np.zeros(n, np.uint64)
+        for k, p in enumerate(tv.powers(0xD6E8FEB86659FD93, depth)):
+            total += tokens[k : k + n] * p
+        return tv.mix(total ^ salt[:n])
+
+
+def _host(url: str | None) -> str:
+    m = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+    return m[1].lower() if m else ""
+
+
+def _salts(urls: list) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.blake2b(_host(u).encode(), digest_size=8).digest(), "little") for u in urls], np.uint64)
+
+
+def _entries(pages: list[list[tuple[int, str]]], salts: np.ndarray) -> list[list[np.ndarray]]:
+    """The entries of each page's dropped stream and of its open stream, in order."""
+    texts = [t for page in pages for _, t in page]
+    tokens, block, _ = tv.words(*reversed(tv.utf8(pa.array(texts, pa.large_string()))), lower=False)
+    zone = np.array([z for page in pages for z, _ in page], np.int64)
+    owner = np.repeat(np.arange(len(pages)), [len(page) for page in pages])
+    streams = []
+    for kind in (DROPPED, OPEN):
+        chosen = np.flatnonzero(zone[block] == kind)
+        of = owner[block[chosen]]
+        found = heads(tokens[chosen], salts[of])
+        whole = of[: len(found)] == of[len(of) - len(found) :]
+        cut = np.searchsorted(of[: len(found)][whole], np.arange(len(pages) + 1))
+        found = found[whole].view(np.int64)
+        streams.append([found[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)])
+    return streams
+
+
+_PARSED = "page_id long, url string, zones array<tinyint>, texts array<string>, dropped array<long>, open array<long>"
+_TEXTS = "page_id long, url string, text string, n_chars long"
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.string(), pa.list_(pa.int8()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        ids, urls, pages = zip(*rows, strict=True)
+        dropped, open_ = _entries(list(pages), _salts(list(urls)))
+        columns = (ids, urls, [[z for z, _ in p] for p in pages], [[t for _, t in p] for p in pages], [np.unique(x) for x in dropped], open_)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["page_id", "url", "zones", "texts", "dropped", "open"])
 
-    The streams are concatenated, each closed by a mark of its own, and their
-    suffixes are sorted by prefix doubling to the depth.
-    """
-    if not streams:
-        return []
-    size = np.array([len(s) for s in streams], np.int64)
-    owner = np.repeat(np.arange(len(streams)), size + 1)
-    first = np.cumsum(size + 1) - size - 1
-    top = max((int(s.max()) for s in streams if len(s)), default=0) + 1
-    text = np.empty(len(owner), np.int64)
-    for i, s in enumerate(streams):
-        text[first[i] : first[i] + size[i]] = s
-        text[first[i] + size[i]] = top + i
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    reach = 1
-    while reach < depth:
-        step = min(reach, depth - reach)
-        after = np.zeros(len(rank), np.int64)
-        after[:-step] = rank[step:] + 1
-        rank = np.unique(rank * (len(rank) + 2) + after, return_inverse=True)[1].astype(np.int64)
-        reach += step
-    suffixes = np.argsort(rank, kind="stable")
-    sorted_rank, sorted_owner = rank[suffixes], owner[suffixes]
-    begin = np.flatnonzero(np.append(True, sorted_rank[1:] != sorted_rank[:-1]))
-    distinct = np.maximum.reduceat(sorted_owner, begin) != np.minimum.reduceat(sorted_owner, begin)
-    shared = np.zeros(len(rank), bool)
-    shared[suffixes] = np.repeat(distinct, np.diff(np.append(begin, len(rank))))
-    change = np.zeros(len(rank) + depth + 1, np.int64)
-    where = np.flatnonzero(shared)
-    np.add.at(change, where, 1)
-    np.add.at(change, where + depth, -1)
-    covered = np.cumsum(change)[: len(rank)] > 0
-    return [covered[a : a + n] for a, n in zip(first, size, strict=True)]
-
-
-def _unique(texts: list[str], covered: np.ndarray) -> str:
-    kept, at = [], 0
-    for text in texts:
-        n = len(text.split())
-        if 2 * int(covered[at : at + n].sum()) <= n:
-            kept.append(text)
-        at += n
-    return "\n\n".join(kept)
-
-
-_SCHEMA = "page_id long, url string, text string, n_chars long"
-
-
-def _out(ids: list, urls: list, texts: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
-
-
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for a in range(0, len(whole), 256):
-            batch = whole.slice(a, 256)
-            ids, urls, texts = [], [], []
-            for i, url, page in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                kept, open_, found = blocks(page or "")
-                if found or not open_:
-                    ids.append(i)
-                    urls.append(url)
-                    texts.append("\n\n".join(kept))
-            yield _out(ids, urls, texts)
-
-
-def _left_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for a in range(0, len(whole), 256):
-            batch = whole.slice(a, 256)
-            ids, urls, texts = [], [], []
-            for i, url, page in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                _, open_, found = blocks(page or "")
-                if not found and open_:
-                    ids.append(i)
-                    urls.append(url)
-                    texts.append(open_)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.list_(pa.string()))], ["page_id", "url", "blocks"])
-
-
-def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", host_pages: int = HOST_PAGES) -> DataFrame:
-    """(page_id, url, text, n_chars), one row for each row of df; only pages that the markup leaves open are shuffled."""
-    kept = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    settled = kept.mapInArrow(_settled, _SCHEMA)
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
-    left = kept.mapInArrow(_left_open, "page_id long, url string, blocks array<string>").withColumn("host", host)
-    # Kept, so that pages are parsed for it once; usually few pages are left open, or none.
-    left, _ = written(left, "open-pages")
-    if left.isEmpty():
-        return settled.withColumnRenamed("page_id", id_col).withColumnRenamed("url", url_col)
-    size = left.groupBy("host").agg(F.count("*").alias("pages"))
-    sized = left.join(size, "host")
-
-    def gathered(key: tuple, table: pa.Table) -> pa.Table:
-        texts = table.column("blocks").to_pylist()
-        number: dict[str, int] = {}
-        streams = [np.array([number.setdefault(w, len(number)) for t in page for w in t.split()], np.int64) for page in texts]
-        # Copies of one page are one stream as far as repetition goes.
-        ids = table.column("page_id").to_pylist()
-        one = {i: k for k, i in enumerate(ids)}
-        order = sorted(one.values())
-        covered = dict(zip((ids[k] for k in order), suffix_runs([streams[k] for k in order]), strict=True))
-        found = [_unique(t, covered[i] if len(covered[i]) == len(s) else np.zeros(len(s), bool)) for t, i, s in zip(texts, ids, streams, strict=True)]
-        return pa.Table.from_batches([_out(ids, table.column("url").to_pylist(), found)])
-
-    small = sized.where(F.col("pages") <= host_pages).select("host", "page_id", "url", "blocks").groupBy("host").applyInArrow(gathered, _SCHEMA)
-    large = sized.where(F.col("pages") > host_pages).select("host", "page_id", "url", "blocks").withColumn("row", F.xxhash64("page_id", "url", "blocks"))
-    words = F.filter(F.split(F.concat_ws(" ", "blocks"), r"\s+"), lambda w: w != "")
-    streams = large.select("host", "page_id", "row", words.alias("w"))
-    starts = F.sequence(F.lit(1), F.size("w") - RUN + 1)
-    suffixes = streams.where(F.size("w") >= RUN).select("host", "page_id", "row", F.explode(starts).alias("at"), "w").select("host", "page_id", "row", "at", F.xxhash64("host", F.slice("w", F.col("at"), RUN)).alias("head"))
-    shared = suffixes.groupBy("head").agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).where("a <> b").select("head")
-    marks = suffixes.join(shared, "head", "left_semi").groupBy("row", "page_id").agg(F.collect_set("at").alias("marks"))
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for found, at in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                covered = np.zeros(sum(len(t.split()) for t in found) + RUN, bool)
-                for a in at or ():
-                    covered[a - 1 : a - 1 + RUN] = True
-                texts.append(_unique(found, covered))
-            yield _out(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts)
-
-    by_mark = large.join(marks, ["row", "page_id"], "left").select("page_id", "url", "blocks", "marks").mapInArrow(marked, _SCHEMA)
-    return settled.unionByName(small).unionByName(by_mark).withColumnRenamed("page_id", id_col).withColumnRenamed("url", url_col)
+        rows, size = [], 0
+        for i, url, page in zip(whole.column(0), whole.column(1), whole.column(2), strict=True):
+            page = page.as_py() or ""
+            rows.append((i.as_py(), url.as_py(), blocks(page)))
+            size += len(page)
+            if size > tv.BLOCK_BYTES:
+                yield sent(rows)
+                rows, size = [], 0
+        if rows:
+            yield sent(rows)
+
+
+def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts from (page_id, url, zones, texts, marks): marks are where repeated runs of the open stream begin."""
+    for batch in batches:
+        found = []
+        for zones, texts, marks in zip(*(batch.column(k).to_pylist() for k in range(2, 5)), strict=True):
+            size = [len(t.split(" ")) if z == OPEN else 0 for z, t in zip(zones, texts, strict=True)]
+            change = np.zeros(sum(size) + RUN, np.int64)
+            starts = np.array(marks or [], np.int64)
+            change[starts] += 1
+            change[starts + RUN] -= 1
+            covered = np.cumsum(change) > 0
+            kept, at = [], 0
+            for z, t, n in zip(zones, texts, size, strict=True):
+                if z == ARTICLE or z == OPEN and 2 * int(covered[at : at + n].sum()) <= n:
+                    kept.append(t)
+                at += n
+            found.append("\n\n".join(kept))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+
+def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(page_id, url, text, n_chars), one row for each row of df.
+
+    Pages are parsed once and kept in the shared folder; entries of the array
+    are shuffled, texts only if more than ``broadcast_rows`` pages are marked.
+    """
+    spark = df.sparkSession
+    named = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    at = scratch(spark, "pages")
+    open_text = F.transform(F.filter(F.arrays_zip("zones", "texts"), lambda b: b.zones == OPEN), lambda b: b.texts)
+    # Numbered when written, so that a row has one number for all that follows.
+    whole = named.mapInArrow(_parsed, _PARSED).select("*", F.monotonically_increasing_id().alias("row"), F.xxhash64("url", "zones", "texts").alias("page"), F.xxhash64(open_text).alias("content"))
+    whole.write.option("compression", "zstd").parquet(f"{at}/parsed")
+    parsed = spark.read.schema(whole.schema).parquet(f"{at}/parsed")
+
+    some = parsed.select("page", F.explode("dropped").alias("head"), F.lit(True).alias("markup"))
+    more = parsed.select(F.col("content").alias("page"), F.explode("open").alias("head"), F.lit(False).alias("markup"))
+    ends = [f(F.when(c, F.col("page"))).alias(n) for n, f, c in (("d0", F.min, F.col("markup")), ("d1", F.max, F.col("markup")), ("o0", F.min, ~F.col("markup")), ("o1", F.max, ~F.col("markup")))]
+    array = some.unionByName(more).groupBy("head").agg(*ends)
+    repeated = array.where((F.col("d0") != F.col("d1")) | (F.col("o0") != F.col("o1"))).select("head")
+    starts = parsed.select("row", F.posexplode("open").alias("start", "head"))
+    marked = starts.join(repeated, "head").groupBy("row").agg(F.collect_list("start").alias("marks"))
+    marked.write.parquet(f"{at}/marked")
+    marked = spark.read.schema(marked.schema).parquet(f"{at}/marked")
+    if marked.count() <= broadcast_rows:
+        marked = F.broadcast(marked)
+    out = parsed.join(marked, "row", "left").select("page_id", "url", "zones", "texts", "marks").mapInArrow(_decided, _TEXTS)
+    return out.withColumnRenamed("page_id", id_col).withColumnRenamed("url", url_col)
