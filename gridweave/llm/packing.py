@@ -9,8 +9,11 @@ not on the number of documents.
 The driver packs by best fit, longest first, over classes of bins with equal
 contents.  Then local search works on underfull bins: it drains the emptiest
 class by one-for-one exchanges, two-for-one exchanges (either way) and moves
-into other bins, each of which must raise the sum of squared fills, until bins
-are empty, nothing improves, or the lower bound ceil(tokens / capacity) is met.
+into other bins, each of which must raise the sum of squared fills, until the
+lower bound ceil(tokens / capacity) is met or no exchange improves.  Candidates
+come from an index over free room, so neither pieces of a bin nor bins are cut
+off.  Full bins take no part: nothing fits in, and giving up pieces would lower
+the sum.
 
 Edge cases: a null text is an empty document (its closing id alone); repeated
 rows are packed each by itself; rows of a null id are packed too; an empty table
@@ -23,6 +26,7 @@ import zlib
 from bisect import insort
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop
 
 import numpy as np
 import pyarrow as pa
@@ -107,82 +111,157 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> dict[Pattern,
     return out
 
 
-def exchange(rest: list[int], target: Pattern, free: int, fill: int) -> tuple[int, list[int], list[int]] | None:
-    """(gain, given, taken back) of the best move of pieces from ``rest`` into the target: one or two for none or one, or one for two.
+class Search:
+    """Underfull bins by contents, with an index of what each could take.
 
-    The target must hold them, and the sum of squared fills must grow, that is
-    the target must end fuller than the source was.
+    An entry says that some class with so much room holds a piece (or two pieces)
+    of so much in all, or that any class has so much room; it is numbered when it
+    comes up, and a class that found no exchange is only tried against entries
+    that are newer.
     """
-    full = sum(target)
-    most = 0
-    best = None
-    singles, firsts = sorted(set(rest)), sorted(set(target))
-    doubles = sorted({(rest[i], rest[j]) for i in range(len(rest)) for j in range(i + 1, len(rest))}) if len(rest) <= 24 else []
-    pairs = sorted({(target[i], target[j]) for i in range(len(target)) for j in range(i + 1, len(target))}) if len(target) <= 24 else []
-    given = [(a, (a,)) for a in singles] + [(a + b, (a, b)) for a, b in doubles]
-    back = [(0, ())] + [(b, (b,)) for b in firsts]
-    for size, pieces_ in given:
-        for less, taken in back + (pairs_of(pairs) if len(pieces_) == 1 else []):
-            gain = size - less
-            if most < gain <= free and full + gain > fill:
-                most, best = gain, (gain, list(pieces_), list(taken))
-    return best
-
-
-def pairs_of(pairs: list[tuple[int, int]]) -> list[tuple[int, tuple[int, ...]]]:
-    return [(a + b, (a, b)) for a, b in pairs]
-
-
-def improve(bins: dict[Pattern, int], capacity: int = CAPACITY, tries: int = 120, width: int = 150) -> dict[Pattern, int]:
-    """Local search over underfull bins; never more bins than before.
-
-    Bins are taken as sources from the emptiest on, and what a source gives
-    stays given even if it is not emptied, since every exchange raises the sum
-    of squared fills; it ends when a round finds none.  ``tries`` bounds the
-    sources, ``width`` the roomiest and the fullest classes that one is matched
-    with: bounds of the driver's time, not of what is packed.
-    """
-    bins = dict(bins)
-    need = -(-sum(sum(p) * n for p, n in bins.items()) // capacity)
 
-    def add(pattern: list[int]) -> None:
-        if pattern:
-            key = tuple(sorted(pattern, reverse=True))
-            bins[key] = bins.get(key, 0) + 1
-
-    def take(key: Pattern) -> None:
-        bins[key] -= 1
-        if not bins[key]:
-            del bins[key]
-
-    found = True
-    while found and tries and sum(bins.values()) > need:
-        found = False
-        for source in sorted((p for p in bins if sum(p) < capacity), key=lambda p: (sum(p), p))[:width]:
-            if source not in bins or not tries or sum(bins.values()) <= need:
+    def __init__(self, bins: dict[Pattern, int], capacity: int):
+        self.capacity = capacity
+        self.full = {p: n for p, n in bins.items() if sum(p) == capacity}
+        self.open: dict[Pattern, int] = {}
+        self.holders: dict[tuple[int, int, int], dict[Pattern, None]] = {}
+        self.number: dict[tuple[int, int, int], int] = {}
+        self.keys: list[tuple[int, int, int]] = []
+        self.table = np.zeros((3, 1024), np.int64)  # pieces taken back, their length, room
+        self.live = np.zeros(1024, bool)
+        self.tried: dict[Pattern, int] = {}
+        for p, n in bins.items():
+            if sum(p) < capacity:
+                self.add(p, n)
+
+    def entries(self, pattern: Pattern) -> list[tuple[int, int, int]]:
+        room = self.capacity - sum(pattern)
+        pairs = {a + b for i, a in enumerate(pattern) for b in pattern[i + 1 :]}
+        return [(0, 0, room), *((1, b, room) for b in set(pattern)), *((2, b, room) for b in pairs)]
+
+    def add(self, pattern: Pattern, n: int) -> None:
+        if not pattern:
+            return
+        if sum(pattern) == self.capacity:
+            self.full[pattern] = self.full.get(pattern, 0) + n
+            return
+        if pattern in self.open:
+            self.open[pattern] += n
+            return
+        self.open[pattern] = n
+        for key in self.entries(pattern):
+            held = self.holders.setdefault(key, {})
+            if not held:
+                k = self.number[key] = len(self.keys)
+                if k == len(self.live):
+                    self.table = np.hstack([self.table, np.zeros_like(self.table)])
+                    self.live = np.append(self.live, np.zeros_like(self.live))
+                self.keys.append(key)
+                self.table[:, k], self.live[k] = key, True
+            held[pattern] = None
+
+    def take(self, pattern: Pattern, n: int) -> None:
+        self.open[pattern] -= n
+        if self.open[pattern]:
+            return
+        del self.open[pattern]
+        self.tried.pop(pattern, None)
+        for key in self.entries(pattern):
+            del self.holders[key][pattern]
+            if not self.holders[key]:
+                self.live[self.number[key]] = False
+
+    def best(self, source: Pattern) -> tuple[tuple[int, ...], tuple[int, ...], Pattern] | None:
+        """(given, taken back, target) of the exchange that leaves its target least room.
+
+        One or two pieces are given for none or one, or one for two.  The sum of
+        squared fills grows if the target ends with less room than the source had.
+        """
+        since, self.tried[source] = self.tried.get(source, 0), len(self.keys)
+        at = since + np.flatnonzero(self.live[since : len(self.keys)])
+        if not len(at):
+            return None
+        room = self.capacity - sum(source)
+        ones = sorted(set(source))
+        twos = sorted({a + b for i, a in enumerate(source) for b in source[i + 1 :]})
+        kind, back, free = self.table[:, at]
+        options = []
+        for given, allowed in ((ones, kind <= 2), (twos, kind <= 1)):
+            if not given:
                 continue
-            tries -= 1
-            take(source)
-            rest = list(source)
-            while rest:
-                under = sorted((p for p in bins if sum(p) < capacity), key=lambda p: (sum(p), p))
-                under = under[:width] + under[max(width, len(under) - width) :]
-                options = [(move, p) for p in under if (move := exchange(rest, p, capacity - sum(p), sum(rest)))]
-                if not options:
+            sizes = np.array([0, *given])
+            k = np.searchsorted(sizes, back + free, "right") - 1
+            left = np.where(allowed & (sizes[k] > back), back + free - sizes[k], room)
+            # A class of one bin is no target of its own.
+            for i in np.argsort(left, kind="stable").tolist():
+                if left[i] >= room:
+                    break
+                target = next((p for p in self.holders[self.keys[at[i]]] if p != source or self.open[p] > 1), None)
+                if target is not None:
+                    options.append((int(left[i]), int(sizes[k[i]]), int(kind[i]), int(back[i]), target, given is twos))
                     break
-                # The move that leaves its target least room, so that bins close.
-                (_, given, back), target = min(options, key=lambda o: (capacity - sum(o[1]) - o[0][0], o[1]))
-                take(target)
-                new = list(target)
-                for b in back:
-                    new.remove(b)
-                for a in given:
-                    rest.remove(a)
-                add(new + given)
-                rest += back
-                found = True
-            add(rest)
-    return bins
+        if not options:
+            return None
+        _, size, kind_, less, target, two = min(options, key=lambda o: (o[0], o[5], o[2]))
+        self.tried[source] = since
+        return (pair(source, size) if two else (size,)), ((), (less,), pair(target, less) if kind_ == 2 else ())[kind_], target
+
+
+def pair(pattern: Pattern, total: int) -> tuple[int, int]:
+    """Two pieces of a bin with that total."""
+    seen: set[int] = set()
+    for a in pattern:
+        if total - a in seen:
+            return a, total - a
+        seen.add(a)
+    raise ValueError("no such pair")
+
+
+def exchanged(pattern: Pattern, out: tuple[int, ...], into: tuple[int, ...]) -> Pattern:
+    left = list(pattern)
+    for a in out:
+        left.remove(a)
+    return tuple(sorted([*left, *into], reverse=True))
+
+
+def improve(bins: dict[Pattern, int], capacity: int = CAPACITY) -> dict[Pattern, int]:
+    """Local search over underfull bins until the bound is met or no exchange raises the sum of squared fills; never more bins than before.
+
+    Sources are taken from the emptiest on and drained; an exchange is made by as
+    many bins of the two classes at once as there are.
+    """
+    need = -(-sum(sum(p) * n for p, n in bins.items()) // capacity)
+    number = sum(bins.values())
+    search = Search(bins, capacity)
+    todo = [(sum(p), p) for p in search.open]
+    heapify(todo)
+    while number > need:
+        if not todo:
+            # Classes that newer entries may give an exchange to.
+            todo = [(sum(p), p) for p in search.open if search.tried.get(p, 0) < len(search.keys)]
+            if not todo:
+                break
+            heapify(todo)
+        source = heappop(todo)[1]
+        while source in search.open and number > need:
+            found = search.best(source)
+            if not found:
+                break
+            given, back, target = found
+            n = search.open[source] // 2 if target == source else min(search.open[source], search.open[target])
+            rest, fuller = exchanged(source, given, back), exchanged(target, back, given)
+            if not rest:
+                n = min(n, number - need)
+                number -= n
+            search.take(source, n)
+            search.take(target, n)
+            search.add(fuller, n)
+            search.add(rest, n)
+            source = rest if rest else source
+    out = dict(search.full)
+    for p, n in search.open.items():
+        out[p] = out.get(p, 0) + n
+    return out
 
 
 def places(bins: dict[Pattern, int]) -> dict[str, np.ndarray]:
