@@ -30,7 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gridweave/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, under this application's name."""
+    return f"{shared_dir(spark)}/gridweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the tables that this application's operators left in the shared folder.
+
+    Results are read from them lazily, so this is for a job's end, after its
+    results have been written.
+    """
+    removed(spark, f"{shared_dir(spark)}/gridweave/{spark.sparkContext.applicationId}")
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:

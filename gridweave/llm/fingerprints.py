@@ -17,7 +17,8 @@ constant time without the rest of the text (:func:`insert`, :func:`delete`).
 Edge cases: a null text is an empty text; a null id comes before all others in
 the order of documents, and rows of one id are ordered by their text.  Repeated
 rows are rows of their own.  Extra columns are not read.  An empty table gives
-an empty result.
+an empty result.  Paragraphs' vectors are summed in slices, so memory follows the
+longest text (about 40 bytes for each of its bytes), whatever its paragraphs.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ LANES = 64
 SKETCH = 512
 TRIPLE = 3
 STATE_BYTES = 8 * LANES + 2 * SKETCH
+#: Paragraphs whose vectors are held at once.
+PARAGRAPHS = 4096
 _STEPS = np.random.default_rng(71).integers(1, 1 << 63, LANES, dtype=np.uint64) | np.uint64(1)
 
 
@@ -47,27 +50,41 @@ def states(offsets: np.ndarray, body: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if not n:
         return np.zeros((0, LANES), np.uint64), np.zeros((0, SKETCH), np.uint16)
     feeds = np.flatnonzero(body == 10)
-    row = np.searchsorted(offsets, feeds, "right") - 1
-    order = np.argsort(np.concatenate([np.arange(n), row]), kind="stable")
-    starts = np.concatenate([offsets[:-1], feeds + 1])[order]
-    owner = np.concatenate([np.arange(n), row])[order]
-    last = np.append(owner[1:] != owner[:-1], True)
-    ends = np.where(last, offsets[1:][owner], np.append(starts[1:], 0) - 1)
-    view = memoryview(np.ascontiguousarray(body))
-    digests = b"".join([hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-    seeds = np.frombuffer(digests, "<u8").reshape(-1, 2)
-    first = np.searchsorted(owner, np.arange(n))
-    with np.errstate(over="ignore"):
-        lanes = np.add.reduceat(tv.mix(tv.mix(seeds[:, :1] + _STEPS) ^ (seeds[:, 1:] * _STEPS)), first, axis=0)
-    words, word_row, at = tv.words(body, offsets)
-    paragraph = np.searchsorted(starts, at, "right") - 1
-    runs, run_paragraph = tv.shingles(words, paragraph, len(starts), TRIPLE)
+    lanes = _lanes(offsets, body, feeds)
+    words, row, at = tv.words(body, offsets)
+    # Word runs do not cross paragraphs; those with words are numbered.
+    new = np.diff(np.searchsorted(feeds, at) + row, prepend=-1) != 0
+    paragraph = np.cumsum(new) - 1
+    runs, of = tv.shingles(words, paragraph, int(new.sum()), TRIPLE)
     sign = np.where(runs >> np.uint64(63), 1.0, -1.0)
-    cell = owner[run_paragraph] * SKETCH + (runs % np.uint64(SKETCH)).astype(np.int64)
+    cell = row[new][of] * SKETCH + (runs % np.uint64(SKETCH)).astype(np.int64)
     sketch = np.bincount(cell, weights=sign, minlength=n * SKETCH).astype(np.int64).astype(np.uint16)
     return lanes, sketch.reshape(n, SKETCH)
 
 
+def _lanes(offsets: np.ndarray, body: np.ndarray, feeds: np.ndarray) -> np.ndarray:
+    """Sums of the paragraphs' wide vectors, row by row, in slices of ``PARAGRAPHS``."""
+    n = len(offsets) - 1
+    out = np.zeros((n, LANES), np.uint64)
+    view = memoryview(np.ascontiguousarray(body))
+    # A row's first paragraph and those after its line feeds.
+    before = np.searchsorted(feeds, offsets) + np.arange(n + 1)
+    for a in range(0, int(before[-1]), PARAGRAPHS):
+        number = np.arange(a, min(a + PARAGRAPHS, int(before[-1])))
+        row = np.searchsorted(before, number, "right") - 1
+        first = number == before[row]
+        last = number == before[row + 1] - 1
+        none = not len(feeds)
+        starts = np.where(first, offsets[row], 0 if none else feeds[np.maximum(number - row - 1, 0)] + 1)
+        ends = np.where(last, offsets[row + 1], 0 if none else feeds[np.minimum(number - row, len(feeds) - 1)])
+        digests = b"".join([hashlib.blake2b(view[x:y], digest_size=16).digest() for x, y in zip(starts.tolist(), ends.tolist(), strict=True)])
+        seeds = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        begin = np.flatnonzero(np.diff(row, prepend=-1))
+        with np.errstate(over="ignore"):
+            out[row[begin]] += np.add.reduceat(tv.mix(tv.mix(seeds[:, :1] + _STEPS) ^ (seeds[:, 1:] * _STEPS)), begin, axis=0)
+    return out
+
+
 def pack(lanes: np.ndarray, sketch: np.ndarray) -> list[bytes]:
     joined = np.concatenate([lanes.astype("<u8").view(np.uint8), sketch.astype("<u2").view(np.uint8)], axis=1)
     return [row.tobytes() for row in joined]
@@ -122,31 +139,30 @@ def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return kept.mapInArrow(run, "id long, state binary, fingerprint string").withColumnRenamed("id", id_col)
 
 
-def ranges(df: DataFrame, key: str, n: int) -> tuple[list[int], int | None]:
-    """At most n - 1 keys of df that cut its order into even ranges, and its least key; n values reach the driver."""
-    cuts, least = df.agg(F.percentile_approx(key, [i / n for i in range(1, n)] or [0.5], max(10_000, 10 * n)), F.min(key)).first()
-    return sorted({x for x in cuts or [] if x != least}) if n > 1 else [], least
-
-
 def with_next(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(bucket, halo, id, text), in order within partitions: each bucket is a range of ids, followed by the first row of the next range.
 
-    The cuts are ids of the table, so the head of a range is known without a
-    second pass; only heads are sent twice.  The last range is followed by the
-    first one's head.
+    Buckets are cut at approximate percentiles and their least ids are taken
+    exactly; only those rows are sent twice.  The last range is followed by the
+    first one's head.  n ids reach the driver; rows of one id are in one bucket.
     """
     kept = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    cuts, least = ranges(kept.select("key"), "key", n)
-    cuts = sorted({float(x): x for x in reversed(cuts) if float(x) > float(least)}.values())
-    heads = [least, *cuts] if least is not None else []
-    if cuts:
-        cut = Bucketizer(splits=[-float("inf"), *map(float, cuts), float("inf")], inputCol="at", outputCol="range", handleInvalid="keep")
+    cuts = kept.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], max(10_000, 10 * n))).first()[0] if n > 1 else None
+    kept = kept.withColumn("bucket", F.lit(0))
+    # Bucketizer reads doubles: any function of the id that does not fall will do for the ranges.
+    if splits := sorted({float(x) for x in cuts or []}):
+        cut = Bucketizer(splits=[-float("inf"), *splits, float("inf")], inputCol="at", outputCol="range", handleInvalid="keep")
         kept = cut.transform(kept.withColumn("at", F.col("key").cast("double"))).withColumn("bucket", F.col("range").cast("int"))
-    else:
-        kept = kept.withColumn("bucket", F.lit(0))
-    head = F.element_at(F.array(*[F.lit(x) for x in heads]), F.col("bucket") + 1) if heads else F.lit(None).cast("long")
-    before = F.when(F.col("bucket") > 0, F.col("bucket") - 1).otherwise(F.lit(max(0, len(heads) - 1)))
-    places = F.when(F.col("key") == head, F.array(F.struct(F.col("bucket"), F.lit(False).alias("halo")), F.struct(before.alias("bucket"), F.lit(True).alias("halo")))).otherwise(F.array(F.struct(F.col("bucket"), F.lit(False).alias("halo"))))
+    heads = {r.bucket: r.head for r in kept.groupBy("bucket").agg(F.min("key").alias("head")).collect()}
+    if not heads:
+        return kept.select("bucket", F.lit(False).alias("halo"), "id", "text")
+    order = sorted(heads)
+    size = order[-1] + 1
+    head = F.element_at(F.array(*[F.lit(heads.get(b)).cast("long") for b in range(size)]), F.col("bucket") + 1)
+    previous = {b: order[i - 1] for i, b in enumerate(order)}
+    before = F.element_at(F.array(*[F.lit(previous.get(b, 0)) for b in range(size)]), F.col("bucket") + 1)
+    own = F.struct(F.col("bucket"), F.lit(False).alias("halo"))
+    places = F.when(F.col("key") == head, F.array(own, F.struct(before.alias("bucket"), F.lit(True).alias("halo")))).otherwise(F.array(own))
     placed = kept.select(F.explode(places).alias("place"), "key", "id", "text").select("place.bucket", "place.halo", "key", "id", "text")
     return placed.repartition(partitions(df.sparkSession), "bucket").sortWithinPartitions("bucket", "halo", "key", "text").select("bucket", "halo", "id", "text")
 

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+#: Bytes or letters that are hashed at once.
+SLICE = 1 << 18
 #: Odd, so that it has an inverse modulo 2**64.
 RADIX = 0x9E3779B97F4A7C15
 RADIX_INVERSE = pow(RADIX, -1, 1 << 64)
@@ -72,12 +74,26 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def segment_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hashes of codes[start:end], mixed; equal segments are equal anywhere."""
+def segment_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """64-bit polynomial hashes of values[start:end], mixed; equal segments are equal anywhere.
+
+    With ``table`` the values are its indices.  Starts and ends ascend.  Work is
+    done in slices, so memory does not follow the values but the longest segment.
+    """
+    out = np.empty(len(starts), np.uint64)
+    first = 0
     with np.errstate(over="ignore"):
-        total = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes * powers(RADIX, len(codes)), out=total[1:])
-        return mix((total[ends] - total[starts]) * powers(RADIX_INVERSE, len(codes) + 1)[starts])
+        while first < len(starts):
+            base = int(starts[first])
+            last = max(first + 1, int(np.searchsorted(ends, base + SLICE, "right")))
+            part = values[base : int(ends[last - 1])]
+            codes = part if table is None else table[part]
+            total = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(codes * powers(RADIX, len(codes)), out=total[1:])
+            s, e = starts[first:last] - base, ends[first:last] - base
+            out[first:last] = (total[e] - total[s]) * powers(RADIX_INVERSE, len(codes) + 1)[s]
+            first = last
+        return mix(out)
 
 
 def words(body: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,7 +110,7 @@ def words(body: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     first[cuts] |= ~space[1:-1][cuts]
     last[cuts - 1] |= ~space[1:-1][cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = segment_hashes((_LOWER_CODES if lower else _BYTE_CODES)[body], starts, ends)
+    hashes = segment_hashes(body, starts, ends, _LOWER_CODES if lower else _BYTE_CODES)
     return hashes, np.searchsorted(offsets, starts, "right") - 1, starts
 
 

@@ -131,7 +131,7 @@ class WordTable:
         """(ids of all texts in order, offsets of the texts in them)."""
         at, cp, joined = code_points(offsets, body)
         starts, ends = split(cp, at, joined, specials)
-        slots = self.find(tv.segment_hashes(_tables()[1][cp], starts, ends), starts, ends, joined)
+        slots = self.find(tv.segment_hashes(cp, starts, ends, _tables()[1]), starts, ends, joined)
         size = self.first[slots + 1] - self.first[slots]
         total = np.concatenate([[0], np.cumsum(size)])
         pick = np.repeat(self.first[slots] - total[:-1], size) + np.arange(total[-1])

@@ -60,14 +60,13 @@ def terms(offsets: np.ndarray, body: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     rows = np.searchsorted(at, starts, "right") - 1
     number = np.bincount(rows, minlength=n)
-    codes = _tables()[1][low]
     long = ends - starts >= 3
     starts, ends, rows = starts[long], ends[long], rows[long]
     found, of = [], []
     for size in (0, *STEMS):
         keep = ends - starts > size
         s = starts[keep]
-        hashes = tv.segment_hashes(codes, s, s + size if size else ends[keep])
+        hashes = tv.segment_hashes(low, s, s + size if size else ends[keep], _tables()[1])
         found.append(hashes ^ tv.mix(np.uint64([size + 1]))[0])
         of.append(rows[keep])
     return np.concatenate(found), np.concatenate(of), number
