@@ -14,6 +14,9 @@ from gridweave.llm import langid, neardup, packing, toxicity
 from gridweave.llm.common import table, written
 from gridweave.llm.queries import tokenizer
 
+#: Similarity in per cent from which documents are near-duplicates; the query of the operator alone has its own.
+NEAR = 80
+
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the classifier chain takes for toxic; it learns from the documents given and their labels."""
@@ -26,8 +29,8 @@ def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the least id of each group of near-duplicates."""
-    return neardup.kept_rows(docs)
+    """Keeps the least id of each group of near-duplicates, linked at a similarity of ``NEAR`` per cent."""
+    return neardup.kept_rows(docs, link=NEAR)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,19 +9,27 @@ fewer words: the whole sequence).  Documents are linked where
    symbols of ``BITS`` bits.  The signature is split into CHUNKS chunks; a chunk
    may have one word in error, and the three ways to leave one out are
    enumerated as keys.  By the pigeonhole principle every pair whose signatures
-   differ in at most 2 * CHUNKS - 1 = 35 of 216 symbols shares a key; at a
-   similarity of 0.85 a pair misses all 54 keys with a probability of 1e-6.
+   differ in at most 2 * CHUNKS - 1 = 35 of 216 symbols shares a key; that is the
+   guarantee, and it is one on signatures.  A pair at a similarity of exactly 0.85
+   differs in 32 symbols on average and in more than 35 in about a quarter of all
+   cases; beyond the guarantee it is found by chance, which fails for all 54 keys
+   with a probability of 1e-6 at 0.85 and of 3e-4 at 0.80.
 3. Most keys are of one document and go no further.  In a bucket that is not,
    all members are grouped with the one that has most company over all its keys
    (in a family of copies, that is their source).  So a pair of a bucket meets
    in that group, once for all keys that the pair shares.
-4. A group is compared on full sets: in blocks of bounded size, pairs of blocks
-   being tasks of their own, by counting common shingles.  A task emits a
-   spanning forest of the links it confirms and never all pairs.
-5. Components come from alternating large-star and small-star steps over tables
+4. A group is compared on full sets, first every member with the centre: members
+   are dealt by ``SHARE`` of a group together with a copy of its centre, so that a
+   large family is spread over all tasks.  Members linked to the centre need no
+   links among each other.
+5. What is left, members not linked to their centre, meets all members of the
+   group: blocks of bounded size of the one against blocks of the other, by
+   counting common shingles.  A task emits a spanning forest of the links that it
+   confirms and never all pairs.
+6. Components come from alternating large-star and small-star steps over tables
    in the shared folder.
 
-Nothing is capped: a large group has more blocks.  Nothing that grows with the
+Nothing is capped: a large group has more shares and blocks.  Nothing that grows with the
 documents reaches the driver; candidate ids and groups' block counts are
 broadcast only up to ``BROADCAST_IDS`` of them, else joined by shuffle.
 
@@ -48,7 +56,8 @@ SHINGLE = 5
 LINK = 85
 CHUNKS, WORDS, SYMBOLS, BITS = 18, 3, 4, 16
 LENGTH = CHUNKS * WORDS * SYMBOLS
-BLOCK_SHINGLES, BLOCK_DOCUMENTS = 500_000, 1_000
+BLOCK_SHINGLES, BLOCK_DOCUMENTS = 500_000, 250
+SHARE = 32
 BROADCAST_IDS = 2_000_000
 _RNG = np.random.default_rng(9173)
 _TIMES = _RNG.integers(0, 1 << 32, LENGTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -112,7 +121,7 @@ def described(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return kept.mapInArrow(run, "doc_id long, n long, digest binary, keys array<long>")
 
 
-def confirmed(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def confirmed(sets: list[np.ndarray], side: np.ndarray | None = None, link_at: int = LINK) -> list[tuple[int, int]]:
     """A spanning forest of the links among sets; with ``side``, of those between its two values."""
     n = len(sets)
     if n < 2:
@@ -134,7 +143,7 @@ def confirmed(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tu
             has = np.zeros((n, min(width, int(column[-1]) + 1 - a)), np.float32)
             has[owner[lo:hi], column[lo:hi] - a] = 1
             common += has @ has.T
-    link = 100 * common.astype(np.int64) >= LINK * (size[:, None] + size[None, :] - common.astype(np.int64))
+    link = 100 * common.astype(np.int64) >= link_at * (size[:, None] + size[None, :] - common.astype(np.int64))
     link &= (size > 0)[:, None] & (size > 0)[None, :]
     if side is not None:
         link &= side[:, None] != side[None, :]
@@ -147,33 +156,72 @@ def confirmed(sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tu
         label = new
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within groups that come one after the other, as (centre, i, j, member, block, set)."""
-    group: tuple | None = None
-    ids: list[int] = []
-    blocks: list[int] = []
-    sets: list[np.ndarray] = []
-
-    def links() -> list[tuple[int, int]]:
-        side = None if group is None or group[1] == group[2] else np.array(blocks)
-        return [(ids[a], ids[b]) for a, b in confirmed(sets, side)]
-
-    out: list[tuple[int, int]] = []
-    for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(5)]
-        for centre, i, j, member, block, found in zip(*columns, batch.column(5), strict=True):
-            if (centre, i, j) != group:
-                out += links()
-                group, ids, blocks, sets = (centre, i, j), [], [], []
-            ids.append(member)
-            blocks.append(block)
-            sets.append(np.frombuffer(found.as_buffer(), np.uint64).copy() if found.as_buffer().size else np.zeros(0, np.uint64))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
-            out = []
-    out += links()
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+def _set(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
+def _linked(a: np.ndarray, b: np.ndarray, link: int) -> bool:
+    """Whether 100 * intersection >= link * union, for sorted sets."""
+    if not len(a) or not len(b) or 100 * min(len(a), len(b)) < link * max(len(a), len(b)):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return 100 * common >= link * (len(a) + len(b) - common)
+
+
+def _stars(link: int):
+    """(centre, member, linked) from shares that begin with the centre's own set: (centre, share, own, member, set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, middle = None, None
+        for batch in batches:
+            out: list[tuple[int, int, bool]] = []
+            columns = [batch.column(i).to_pylist() for i in range(4)]
+            for centre, number, own, member, found in zip(*columns, batch.column(4), strict=True):
+                if own:
+                    share, middle = (centre, number), _set(found).copy()
+                elif share == (centre, number):
+                    out.append((centre, member, _linked(_set(found), middle, link)))
+                else:
+                    raise ValueError(f"the set of {centre} is missing")
+            if out:
+                a, b, c = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c)], ["centre", "member", "linked"])
+
+    return run
+
+
+def _blocks(link: int):
+    """Links between the two sides of blocks that come one after the other, as (centre, i, j, member, rest, set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: tuple | None = None
+        ids: list[int] = []
+        rest: list[bool] = []
+        sets: list[np.ndarray] = []
+
+        def links() -> list[tuple[int, int]]:
+            return [(ids[a], ids[b]) for a, b in confirmed(sets, np.array(rest), link)]
+
+        def sent(out: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for centre, i, j, member, side, found in zip(*columns, batch.column(5), strict=True):
+                if (centre, i, j) != group:
+                    out += links()
+                    group, ids, rest, sets = (centre, i, j), [], [], []
+                ids.append(member)
+                rest.append(side)
+                sets.append(_set(found).copy())
+            if out:
+                yield sent(out)
+        if out := links():
+            yield sent(out)
+
+    return run
 
 
 def components(links: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -199,11 +247,16 @@ def components(links: DataFrame) -> tuple[DataFrame, list[str]]:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")), [path]
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept): one row for each row of df."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", link: int = LINK) -> DataFrame:
+    """(id, n_shingles, component_id, kept): one row for each row of df; links at a similarity of ``link`` per cent."""
     spark = df.sparkSession
     n = partitions(spark)
-    whole, whole_path = written(described(df, id_col, text_col), "described")
+
+    def few(table: DataFrame) -> DataFrame:
+        """Sent to all tasks if that is proven small, so that a large group's members stay spread over them."""
+        return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+    whole, _ = written(described(df, id_col, text_col), "described")
     classes = whole.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes, class_path = written(classes, "classes")
     lists = whole.where("n > 0").join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi").select(F.col("doc_id").alias("member"), "n", "keys")
@@ -216,37 +269,47 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = buckets.select("key", "member").join(centre, "key").select("centre", "member").distinct()
     sizes = lists.select("member", "n").distinct()
     group, group_path = written(pairs.join(sizes, "member"), "groups")
-    total = group.groupBy("centre").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCUMENTS), F.lit(1)).cast("int").alias("blocks"))
-    total, total_path = written(total, "blocks")
-    if total.count() <= BROADCAST_IDS:
-        # So that a large group's members stay spread over all tasks.
-        total = F.broadcast(total)
-    placed = group.join(total, "centre").withColumn("block", F.pmod(F.hash("member"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = placed.select("centre", "member", "block", other).select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "member", "block")
     chosen, chosen_path = written(group.select(F.col("member").alias("doc_id")).distinct(), "chosen")
-    if chosen.count() <= BROADCAST_IDS:
-        chosen = F.broadcast(chosen)
+    chosen = few(chosen)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, body in slices(batches, "text"):
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([s.tobytes() for s in shingle_sets(offsets, body)], pa.binary())], ["member", "found"])
 
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(chosen, "doc_id", "left_semi")
-    loaded = tasks.join(texts.select("doc_id", "text").mapInArrow(sets, "member long, found binary"), "member")
-    ready = loaded.select("centre", "i", "j", "member", "block", "found").repartition(n, "centre", "i", "j").sortWithinPartitions("centre", "i", "j")
-    found, found_path = written(ready.mapInArrow(_groups, "a long, b long"), "links")
+    found, sets_path = written(texts.select("doc_id", "text").mapInArrow(sets, "member long, found binary"), "sets")
+
+    size = group.groupBy("centre").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    size, size_path = written(size.withColumn("shares", F.ceil(F.col("members") / SHARE).cast("int")), "sizes")
+    sized = few(size)
+    others = group.where("member <> centre").join(sized, "centre").select("centre", F.pmod(F.xxhash64("member"), F.col("shares")).cast("int").alias("share"), F.lit(False).alias("own"), "member")
+    middles = size.select("centre", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("own"), F.col("centre").alias("member"))
+    ready = others.unionByName(middles).join(found, "member").select("centre", "share", "own", "member", "found")
+    stars = ready.repartition(n, "centre", "share").sortWithinPartitions("centre", "share", F.desc("own")).mapInArrow(_stars(link), "centre long, member long, linked boolean")
+    stars, stars_path = written(stars, "stars")
+
+    rest = stars.where("not linked").select("centre", "member")
+    left = rest.groupBy("centre").agg(F.count("*").alias("rest"))
+    many = lambda count, shingles: F.greatest(F.ceil(shingles / BLOCK_SHINGLES), F.ceil(count / BLOCK_DOCUMENTS)).cast("int")
+    parts, parts_path = written(left.join(size, "centre").select("centre", many(F.col("rest"), F.col("shingles") * F.col("rest") / F.col("members")).alias("rows"), many(F.col("members"), F.col("shingles")).alias("columns")), "parts")
+    parts = few(parts)
+    dealt = lambda df, by, across, side: df.join(parts, "centre").select("centre", F.pmod(F.xxhash64("member"), F.col(by)).cast("int").alias(by), F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(across), "member", F.lit(side).alias("side"))
+    blocks = dealt(rest, "rows", "columns", True).unionByName(dealt(group.select("centre", "member"), "columns", "rows", False))
+    ready = blocks.join(found, "member").select("centre", F.col("rows").alias("i"), F.col("columns").alias("j"), "member", "side", "found")
+    confirmed_ = ready.repartition(n, "centre", "i", "j").sortWithinPartitions("centre", "i", "j").mapInArrow(_blocks(link), "a long, b long")
+    every = stars.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b")).unionByName(confirmed_)
+    found, found_path = written(every, "links")
     component, component_paths = components(found)
-    removed(spark, bucket_path, group_path, total_path, chosen_path, found_path)
+    removed(spark, bucket_path, group_path, size_path, chosen_path, sets_path, stars_path, parts_path, found_path)
     named = classes.join(component, classes.rep == component.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    named, named_path = written(named, "named")
+    named, _ = written(named, "named")
     removed(spark, class_path, *component_paths)
     rows = whole.select("doc_id", "n", "digest").join(named, "digest", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component_id.alias("component_id"), F.coalesce(component_id == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def kept_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", link: int = LINK) -> DataFrame:
     """df's rows that their component keeps, with all their columns; rows of a null id stay."""
-    gone = near_duplicates(df, id_col, text_col).where("not kept").select(id_col).distinct()
+    gone = near_duplicates(df, id_col, text_col, link).where("not kept").select(id_col).distinct()
     return df.join(gone, id_col, "left_anti").select(df.columns)

@@ -120,7 +120,7 @@ def test_edited_fingerprints_of_odd_rows(spark):
 # 2 near-duplicates
 
 
-def components_of(rows):
+def components_of(rows, link=85):
     sets = {k: set_of(t) for k, t in rows}
     root = {k: k for k in sets}
 
@@ -133,7 +133,7 @@ def components_of(rows):
     for k in sorted(sets):
         for other in {o for s in sets[k] for o in seen[s]}:
             n = len(sets[k] & sets[other])
-            if 100 * n >= 85 * (len(sets[k]) + len(sets[other]) - n):
+            if 100 * n >= link * (len(sets[k]) + len(sets[other]) - n):
                 a, b = find(k), find(other)
                 root[max(a, b)] = min(a, b)
         for s in sets[k]:
@@ -560,7 +560,7 @@ def test_pipeline_stages(spark, small):
         elif name == "language":
             assert all(not any(c.isalpha() for c in before[k] or "") for k in gone)
         else:
-            want = components_of(before.items())
+            want = components_of(before.items(), cp.NEAR)
             assert set(kept) == {k for k in before if want[k][1] == k}
     rows = cp.STAGES[-1][1](spark, docs, small).collect()
     assert {r.doc_id for r in rows} == set(kept)
