@@ -2,23 +2,27 @@
 
 Terms are lower-case runs of letters and their first 4, 5 and 6 letters (so that
 endings do not hide a stem).  Those that toxic documents of the labelled sample
-have far more often than others become features, next to how many a document
-has.  Categories are predicted one after the other by logistic regressions:
+have far more often than others become features, all of them, next to how many a
+document has.  Categories are predicted one after the other by logistic
+regressions over sparse features:
 
-1. ``abusive``: the document uses a learned term (weak label),
-2. ``severe``: it is labelled toxic and uses several,
-3. ``toxic``: the label itself.
+1. ``kind_1`` to ``kind_3``: the labelled toxic documents, parted into kinds by
+   which terms they use together (spherical k-means); a document that is not
+   labelled toxic is of no kind, whatever terms it uses.  The labels know one
+   category only, so these are weak labels, but no input tells them by itself;
+2. ``toxic``: the label itself.
 
 A later model also reads the earlier categories' probabilities; it is fitted on
 out-of-fold ones, which earlier models of the other folds give, so that it sees
 them as they will be on new rows.  The last category decides.
 
-Fitting uses at most ``SAMPLE`` labelled documents (chosen by hash); scoring
-reads every whole text, without a shuffle.
+Fitting uses at most ``SAMPLE`` labelled documents (chosen by hash); their terms
+in use reach the driver.  Scoring reads every whole text, without a shuffle.
 
 Edge cases: null and empty texts have no terms and score as such; without
 labels of both kinds every probability is 0 and nothing is rejected.  Repeated
-rows count as often as they come; extra columns pass through a filter unchanged.
+rows count as often as they come; extra columns pass through a filter unchanged,
+whatever their names.  Memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -37,10 +41,11 @@ from .langid import folded
 from .tokens import _tables, code_points
 
 SAMPLE = 20_000
-TERMS = 128
+SUPPORT = 4
+APART = 5.5
 FOLDS = 3
-CATEGORIES = ("abusive", "severe", "toxic")
-SEVERAL = 3
+KINDS = 3
+CATEGORIES = (*(f"kind_{k + 1}" for k in range(KINDS)), "toxic")
 STEMS = (4, 5, 6)
 DECIDE = 0.5
 
@@ -105,25 +110,61 @@ def term_counts(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", "label").mapInArrow(run, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
-    """Weights, the intercept last, by damped Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
+@dataclass
+class Rows:
+    """Sparse 0/1 features (row and column of each entry) next to dense ones and an intercept."""
+
+    row: np.ndarray
+    column: np.ndarray
+    columns: int
+    dense: np.ndarray
+
+    def with_dense(self, more: np.ndarray) -> Rows:
+        return Rows(self.row, self.column, self.columns, np.hstack([self.dense, more]))
+
+    @property
+    def width(self) -> int:
+        return self.columns + self.dense.shape[1] + 1
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        sparse = np.bincount(self.row, weights=w[self.column], minlength=len(self.dense))
+        return sparse + self.dense @ w[self.columns : -1] + w[-1]
+
+    def turned(self, r: np.ndarray) -> np.ndarray:
+        """The transpose times r."""
+        return np.concatenate([np.bincount(self.column, weights=r[self.row], minlength=self.columns), self.dense.T @ r, [r.sum()]])
+
+
+def logistic(x: Rows, y: np.ndarray, use: np.ndarray | None = None, ridge: float = 0.1, steps: int = 15, inner: int = 20) -> np.ndarray:
+    """Weights, the intercept last, by damped Newton steps whose systems conjugate gradients solve; ``use`` marks the rows to fit."""
+    use = np.ones(len(y)) if use is None else use.astype(float)
+    w = np.zeros(x.width)
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) + penalty * w
-        curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(curve, slope)
+        p = probability(x, w)
+        slope = x.turned(use * (p - y)) + penalty * w
+        curve = use * (p * (1 - p) + 1e-6)
+        step, left = np.zeros_like(w), slope.copy()
+        way, size = left.copy(), left @ left
+        goal = 1e-4 * size
+        for _ in range(inner):
+            if size <= goal:
+                break
+            bent = x.turned(curve * x.times(way)) + penalty * way
+            far = size / (way @ bent)
+            step += far * way
+            left -= far * bent
+            size, before = left @ left, size
+            way = left + size / before * way
         w -= step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-3:
             break
     return w
 
 
-def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
+def probability(x: Rows, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x.times(w), -30, 30)))
 
 
 @dataclass
@@ -133,23 +174,60 @@ class Chain:
     models: list[np.ndarray]
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> Chain:
-        models, held = [], np.zeros((len(x), 0))
+    def fit(cls, x: Rows, y: np.ndarray, fold: np.ndarray, folds: int = FOLDS) -> Chain:
+        models = []
         for c in range(y.shape[1]):
-            both = np.hstack([x, held])
-            outside = np.zeros(len(x))
+            outside = np.zeros(len(y))
             for k in range(folds):
                 test = fold == k
                 if test.any() and (~test).any():
-                    outside[test] = probability(both[test], logistic(both[~test], y[~test, c]))
-            models.append(logistic(both, y[:, c]))
-            held = np.hstack([held, outside[:, None]])
+                    outside[test] = probability(x, logistic(x, y[:, c], ~test))[test]
+            models.append(logistic(x, y[:, c]))
+            x = x.with_dense(outside[:, None])
         return cls(models)
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
+    def predict(self, x: Rows) -> np.ndarray:
         for w in self.models:
-            x = np.hstack([x, probability(x, w)[:, None]])
-        return x[:, -len(self.models) :]
+            x = x.with_dense(probability(x, w)[:, None])
+        return x.dense[:, -len(self.models) :]
+
+
+def kinds(x: Rows, rows: np.ndarray, n: int = KINDS, rounds: int = 20) -> np.ndarray:
+    """The kind (0 to n - 1) of each of the given rows by spherical k-means on their sparse features; -1 for other rows and for those without any.
+
+    Starts are the row with most features and then the rows least like the starts so far.
+    """
+    out = np.full(len(x.dense), -1)
+    inside = np.isin(x.row, rows)
+    row, column = x.row[inside], x.column[inside]
+    if not len(row):
+        return out
+    number = np.bincount(row, minlength=len(out))
+    length = 1 / np.sqrt(np.maximum(number, 1))
+    some = np.flatnonzero(number)
+
+    def likeness(centre: np.ndarray) -> np.ndarray:
+        return (np.bincount(row, weights=centre[column], minlength=len(out)) * length)[some]
+
+    def own(r: int) -> np.ndarray:
+        return np.bincount(column[row == r], minlength=x.columns) * length[r]
+
+    centres = [own(some[number[some].argmax()])]
+    while len(centres) < n:
+        centres.append(own(some[np.max([likeness(c) for c in centres], 0).argmin()]))
+    kind = np.zeros(len(some), int)
+    for _ in range(rounds):
+        new = np.argmax([likeness(c) for c in centres], 0)
+        if (new == kind).all() and _:
+            break
+        kind = new
+        out[some] = kind
+        for k in range(n):
+            total = np.bincount(column, weights=(out[row] == k) * length[row], minlength=x.columns)
+            if total.any():
+                centres[k] = total / np.sqrt((total * total).sum())
+    out[some] = kind
+    return out
 
 
 @dataclass
@@ -157,15 +235,15 @@ class Detector:
     known: np.ndarray  # terms, sorted
     chain: Chain | None
 
-    def features(self, offsets: np.ndarray, body: np.ndarray) -> np.ndarray:
+    def features(self, offsets: np.ndarray, body: np.ndarray) -> Rows:
         n, k = len(offsets) - 1, len(self.known)
-        keys, of, words = terms(offsets, body)
+        keys, of, _ = terms(offsets, body)
         at = np.minimum(np.searchsorted(self.known, keys), max(0, k - 1))
         hit = self.known[at] == keys if k else np.zeros(len(keys), bool)
-        hits = np.bincount(of[hit] * k + at[hit], minlength=n * k).reshape(n, k) if k else np.zeros((n, 0))
-        has = (hits > 0).astype(np.float64)
-        total = hits.sum(1)
-        return np.hstack([has, np.log1p(has.sum(1))[:, None], np.log1p(total)[:, None], (total > 0)[:, None].astype(float)])
+        total = np.bincount(of[hit], minlength=n)
+        cell = np.unique(of[hit] * max(1, k) + at[hit])
+        row, column = np.divmod(cell, max(1, k))
+        return Rows(row, column, k, amounts(np.bincount(row, minlength=n), total))
 
     def score(self, offsets: np.ndarray, body: np.ndarray) -> np.ndarray:
         """Probabilities of the categories, one row each."""
@@ -173,47 +251,60 @@ class Detector:
         return self.chain.predict(self.features(offsets, body)) if self.chain else np.zeros((n, len(CATEGORIES)))
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = TERMS) -> Detector:
-    """A detector from at most ``sample`` labelled documents; their term counts are made on the executors, ``most`` terms and a row of features each reach the driver."""
+def amounts(different: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Dense features: how many terms a document uses, different ones and in all."""
+    return np.stack([np.log1p(different), np.log1p(total), (total > 0).astype(float)], 1)
+
+
+def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, support: int = SUPPORT) -> Detector:
+    """A detector from at most ``sample`` labelled documents; their term counts are made on the executors.
+
+    Terms of at least ``support`` toxic documents that stand out, and which of
+    them each document uses, reach the driver.
+    """
     chosen = labelled(labels, "toxic", sample)
     rows = with_labels(documents, chosen)
     size = {bool(r.label): r["count"] for r in chosen.withColumn("label", F.col("label") > 0).groupBy("label").count().collect()}
     clean, toxic = size.get(False, 0), size.get(True, 0)
     if not clean or not toxic:
         return Detector(np.zeros(0, np.uint64), None)
-    found = term_counts(rows).where(F.col("toxic") >= max(4, toxic // 200))
     rate = (F.col("toxic") + F.col("clean")) / (clean + toxic)
     apart = (F.col("toxic") / toxic - F.col("clean") / clean) / F.sqrt(rate * (1 - rate) * (1 / clean + 1 / toxic) + 1e-12)
-    best = found.withColumn("apart", apart).where("apart > 5.5").orderBy(F.desc("apart"), "term").limit(most).collect()
+    best = term_counts(rows).where(F.col("toxic") >= support).where(apart > APART).select("term").collect()
     detector = Detector(np.sort(np.array([r.term for r in best], np.int64).view(np.uint64)), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, offsets, body in slices(batches, "text"):
-            x = detector.features(offsets, body).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "label", "x"])
+            x = detector.features(offsets, body)
+            cut = np.searchsorted(x.row, np.arange(len(part) + 1))
+            used = [x.column[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(used, pa.list_(pa.int32())), pa.array(np.rint(np.expm1(x.dense[:, 1])).astype(np.int64))], ["doc_id", "label", "used", "total"])
 
-    got = sorted(rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, x binary").collect(), key=lambda r: (r.doc_id, r.x))
+    got = sorted(rows.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, used array<int>, total long").collect(), key=lambda r: (r.doc_id, r.used, r.total))
     if not got:
         return detector
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in got]).astype(np.float64)
+    number = np.array([len(r.used) for r in got])
+    column = np.array([c for r in got for c in r.used], np.int64)
+    x = Rows(np.repeat(np.arange(len(got)), number), column, len(detector.known), amounts(number, np.array([r.total for r in got])))
     label = np.array([r.label > 0 for r in got])
-    uses = x[:, : len(detector.known)].sum(1)
-    y = np.stack([uses > 0, label & (uses >= SEVERAL), label], 1).astype(np.float64)
+    kind = kinds(x, np.flatnonzero(label))
+    y = np.stack([*(kind == k for k in range(KINDS)), label], 1).astype(np.float64)
     fold = (tv.mix(np.array([r.doc_id for r in got], np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(int)
     detector.chain = Chain.fit(x, y, fold)
     return detector
 
 
 def predict(df: DataFrame, detector: Detector, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, p_abusive, p_severe, p_toxic, toxic boolean)."""
+    """(id, a probability p_* of each category, toxic boolean)."""
+    names = [f"p_{c}" for c in CATEGORIES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, body in slices(batches, "text"):
             p = detector.score(offsets, body)
-            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(p[:, c]) for c in range(p.shape[1])), pa.array(p[:, -1] >= DECIDE)], ["id", "p_abusive", "p_severe", "p_toxic", "toxic"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(p[:, c]) for c in range(p.shape[1])), pa.array(p[:, -1] >= DECIDE)], ["id", *names, "toxic"])
 
     kept = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return kept.mapInArrow(run, "id long, p_abusive double, p_severe double, p_toxic double, toxic boolean").withColumnRenamed("id", id_col)
+    return kept.mapInArrow(run, f"id long, {', '.join(f'{n} double' for n in names)}, toxic boolean").withColumnRenamed("id", id_col)
 
 
 def without_toxic(df: DataFrame, detector: Detector, text_col: str = "text") -> DataFrame:
