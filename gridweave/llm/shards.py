@@ -3,25 +3,33 @@
 Documents become sequences of ``length`` ids (a closing id ends each document,
 the last sequence is padded).  Sequences are numbered by the tasks that make
 them; a keyed Feistel network, walked along its cycle until the value is below
-the number of sequences, permutes the numbers to global slots.  A shard is a
-range of slots in slot order; every sequence takes the same number of bytes in
-it, so slot s is in shard s // per_shard at byte (s % per_shard) * stride.  A
-reader that stopped at a slot goes on from it (:func:`read`).
+the number of sequences, permutes the numbers to global slots.  Range partitions
+of slots write shards in slot order; every sequence takes the same number of bytes
+in its shard, so slot s is in shard s // per_shard at byte (s % per_shard) * stride.
+
+A shard is stored in one of two ways.  :func:`write` makes a table of blocks, one
+a shard, whose payload is the shard's bytes (compressed on disk, so that it meets
+a budget of disk; :func:`read` goes on from a slot).  :func:`export` writes the
+payloads as plain files next to an index, and :func:`fetch` reads a range of slots
+by seeking to (s % per_shard) * stride.
 
 Tokens are made once, kept in the shared folder with their numbers (a task that
 is repeated replaces its own rows), and shuffled once.  A task holds one shard.
 
-Edge cases: null and empty texts are the closing id alone; repeated rows are
-sequences of their own; a null id is kept; an empty table gives no shards.
+Edge cases: null and empty texts are the closing id alone; very long texts are as
+many sequences as they need (memory follows the longest one); repeated rows are
+sequences of their own; a null id is kept; an empty table gives no shards; extra
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,13 +141,35 @@ def write(df: DataFrame, path: str, to: str, key: int = 1, length: int = LENGTH,
             yield done()
 
     placed = held.mapInArrow(slots, "shard long, slot long, doc_id long, part int, n_tokens int, ids binary")
-    dealt = placed.repartition(max(1, min(partitions(spark), -(-total // per_shard))), "shard").sortWithinPartitions("slot")
+    dealt = placed.repartitionByRange(max(1, min(partitions(spark), -(-total // per_shard))), "shard").sortWithinPartitions("slot")
     out = dealt.mapInArrow(blocks, "shard long, first_slot long, n long, stride long, id_bytes long, payload binary, doc_ids array<long>, parts array<int>, sizes array<int>")
     out.write.mode("overwrite").option("compression", "zstd").parquet(to)
     removed(spark, staged)
     return total
 
 
+_READ = "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, ids binary"
+
+
+def _rows(shard: int, begin: int, stride: int, picked: range, doc_ids: list, parts: list, sizes: list, ids: list) -> pa.RecordBatch:
+    columns = [
+        pa.array([begin + i for i in picked], pa.int64()),
+        pa.array([shard] * len(picked), pa.int64()),
+        pa.array([i * stride for i in picked], pa.int64()),
+        pa.array([doc_ids[i] for i in picked], pa.int64()),
+        pa.array([parts[i] for i in picked], pa.int32()),
+        pa.array([sizes[i] for i in picked], pa.int32()),
+        pa.array(ids, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", "ids"])
+
+
+def _between(table: DataFrame, first: int, last: int | None) -> DataFrame:
+    """Shards with slots first..last-1; others are not read."""
+    table = table.where(F.col("first_slot") + F.col("n") > first)
+    return table if last is None else table.where(F.col("first_slot") < last)
+
+
 def read(spark: SparkSession, at: str, first: int = 0, last: int | None = None) -> DataFrame:
     """(slot, shard, byte_offset, doc_id, part, n_tokens, ids binary) of slots first..last-1; shards outside are skipped."""
 
@@ -147,21 +177,58 @@ def read(spark: SparkSession, at: str, first: int = 0, last: int | None = None)
         for batch in batches:
             for shard, begin, n, stride, unit, doc_ids, parts, sizes, payload in zip(*(batch.column(i).to_pylist() for i in range(8)), batch.column(8), strict=True):
                 data = payload.as_buffer()
-                picked = [i for i in range(n) if begin + i >= first and (last is None or begin + i < last)]
-                columns = [
-                    pa.array([begin + i for i in picked], pa.int64()),
-                    pa.array([shard] * len(picked), pa.int64()),
-                    pa.array([i * stride for i in picked], pa.int64()),
-                    pa.array([doc_ids[i] for i in picked], pa.int64()),
-                    pa.array([parts[i] for i in picked], pa.int32()),
-                    pa.array([sizes[i] for i in picked], pa.int32()),
-                    pa.array([data[i * stride : i * stride + sizes[i] * unit].to_pybytes() for i in picked], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["slot", "shard", "byte_offset", "doc_id", "part", "n_tokens", "ids"])
-
-    table = spark.read.parquet(at)
-    table = table.where(F.col("first_slot") + F.col("n") > first)
-    if last is not None:
-        table = table.where(F.col("first_slot") < last)
-    kept = table.select("shard", "first_slot", "n", "stride", "id_bytes", "doc_ids", "parts", "sizes", "payload")
-    return kept.mapInArrow(run, "slot long, shard long, byte_offset long, doc_id long, part int, n_tokens int, ids binary")
+                picked = range(max(0, first - begin), n if last is None else min(n, last - begin))
+                ids = [data[i * stride : i * stride + sizes[i] * unit].to_pybytes() for i in picked]
+                yield _rows(shard, begin, stride, picked, doc_ids, parts, sizes, ids)
+
+    table = _between(spark.read.parquet(at), first, last)
+    return table.select("shard", "first_slot", "n", "stride", "id_bytes", "doc_ids", "parts", "sizes", "payload").mapInArrow(run, _READ)
+
+
+def _store(at: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path that tasks write to: local, or one that pyarrow has a client of."""
+    return fs.FileSystem.from_uri(at) if "://" in at or at.startswith("file:") else (fs.LocalFileSystem(), at)
+
+
+def file_of(at: str, shard: int) -> str:
+    return f"{at}/shard-{shard:010d}.bin"
+
+
+def export(spark: SparkSession, at: str, to: str) -> None:
+    """Every block of the table at ``at`` as a plain file of ``to``, n * stride bytes, and their index as a table ``index``.
+
+    A file appears whole or not at all, and a task that is repeated writes the same one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = _store(to)
+        store.create_dir(top, recursive=True)
+        for batch in batches:
+            for shard, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = f"{top}/.{shard}-{uuid.uuid4().hex}"
+                with store.open_output_stream(own) as f:
+                    f.write(payload.as_buffer())
+                store.move(own, file_of(top, shard))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:]], ["shard", "first_slot", "n", "stride", "id_bytes", "doc_ids", "parts", "sizes"])
+
+    table = spark.read.parquet(at).select("shard", "payload", "first_slot", "n", "stride", "id_bytes", "doc_ids", "parts", "sizes")
+    index = table.mapInArrow(run, "shard long, first_slot long, n long, stride long, id_bytes long, doc_ids array<long>, parts array<int>, sizes array<int>")
+    index.write.mode("overwrite").parquet(f"{to}/index")
+
+
+def fetch(spark: SparkSession, at: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """As :func:`read`, from exported files: only the bytes of slots first..last-1 are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = _store(at)
+        for batch in batches:
+            for shard, begin, n, stride, unit, doc_ids, parts, sizes in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                a, b = max(0, first - begin), n if last is None else min(n, last - begin)
+                with store.open_input_file(file_of(top, shard)) as f:
+                    f.seek(a * stride)
+                    data = f.read((b - a) * stride)
+                ids = [data[(i - a) * stride : (i - a) * stride + sizes[i] * unit] for i in range(a, b)]
+                yield _rows(shard, begin, stride, range(a, b), doc_ids, parts, sizes, ids)
+
+    table = _between(spark.read.parquet(f"{at}/index"), first, last)
+    return table.select("shard", "first_slot", "n", "stride", "id_bytes", "doc_ids", "parts", "sizes").mapInArrow(run, _READ)
