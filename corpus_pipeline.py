@@ -2,7 +2,15 @@
 
 Counted as part of ``gridweave.llm``.  Every stage takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet and reread for the next.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``, extra ones included.
+
+Edge cases: a null or empty text is not toxic, has no language and goes at the
+second stage, as do texts without a letter and, if there is a language to learn
+from, those of which no profile knows an n-gram.  Rows of a null id are judged by
+their text, are never a copy of another and are packed.  Repeated rows of one id
+share their fate: their group keeps the id and with it all of its rows.  Without
+labels nothing is toxic.  Very long texts are read whole; memory follows the
+longest.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import textvec as tv
 
@@ -94,3 +95,11 @@ def labelled(labels: DataFrame, label: str, bound: int, where=None) -> DataFrame
 def with_labels(documents: DataFrame, sample: DataFrame) -> DataFrame:
     """(doc_id, text, label) of the sample's documents."""
     return documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+
+
+def replaced(df: DataFrame, text: str, *new: tuple[str, str]) -> tuple[list[int], StructType]:
+    """(places of the columns kept, the schema) for a table without its text and with new columns, which stand for any of their names."""
+    names = {n for n, _ in new}
+    kept = [i for i, f in enumerate(df.schema.fields) if f.name != text and f.name not in names]
+    more = StructType.fromDDL(", ".join(f"{n} {t}" for n, t in new)) if new else StructType([])
+    return kept, StructType([*(df.schema.fields[i] for i in kept), *more.fields])

@@ -15,7 +15,11 @@ Edge cases: null texts and texts without a letter are ``und`` with score 0; a
 text whose n-grams no profile knows goes to the first language with score 0;
 without training rows everything is ``und``.  With ``told`` a filter drops all
 texts of score 0, or without training rows those without a letter.  Rows without language, text or id
-are not learned from; a null id is not held out.  Repeated rows count repeatedly.
+are not learned from; a null id is not held out.  Repeated rows count repeatedly;
+extra columns pass through, and lang_pred and score stand for any of their names.
+Memory follows the longest text.  n-grams of a document that no profile knows are
+left out before ranking: they would be as far out of place for every language, and
+so would only crowd out those that tell languages apart.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import replaced, slices
 from .tokens import LETTER, _tables, code_points
 
 PROFILE = 400
@@ -218,10 +222,8 @@ def training(id_col: Column) -> Column:
 
 
 def predict(df: DataFrame, profiles: Profiles, text_col: str = "text", keep: bool = False, told: bool = False) -> DataFrame:
-    """df with lang_pred and score; with ``keep``, df's own columns, without the rows of no language or, with ``told``, those that no profile tells anything of."""
-    names = df.columns
-    at = names.index(text_col)
-    schema = df.schema
+    """df without its text, with lang_pred and score; with ``keep``, df's own columns, without the rows of no language or, with ``told``, those that no profile tells anything of."""
+    places, schema = replaced(df, text_col, ("lang_pred", "string"), ("score", "double"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, body in slices(batches, text_col):
@@ -232,12 +234,6 @@ def predict(df: DataFrame, profiles: Profiles, text_col: str = "text", keep: boo
             if keep:
                 yield rows.filter(pa.array([x != UNKNOWN for x in langs]))
             else:
-                columns = [c for i, c in enumerate(rows.columns) if i != at]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(langs, pa.string()), pa.array(scores)], [*(n for i, n in enumerate(names) if i != at), "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in places), pa.array(langs, pa.string()), pa.array(scores)], schema.names)
 
-    if keep:
-        return df.mapInArrow(run, schema)
-    fields = [f for i, f in enumerate(schema.fields) if i != at]
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
-    return df.mapInArrow(run, StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return df.mapInArrow(run, df.schema if keep else schema)

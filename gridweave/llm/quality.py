@@ -8,13 +8,15 @@ attention (a tanh and a sigmoid branch) weighs the passages, and the weighted
 sum of their encodings is scored.  Encoder, attention and scorer are learned
 together from document labels alone, by Adam on the log loss.
 
-Fitting uses at most ``SAMPLE`` labelled documents (chosen by hash); their
-passages' descriptions reach the driver.  Scoring reads every whole text,
-without a shuffle.
+Fitting uses at most ``SAMPLE`` labelled documents (chosen by hash) of at most
+``LONGEST`` passages each; their passages' descriptions (284 bytes each) reach the
+driver.  Scoring reads every whole text, without a shuffle.
 
 Edge cases: null and empty texts get the score of one empty passage; without
 labels of both kinds every score is the share of label 1 (0.5 without any).
-Repeated rows stay; language, source and id are not read.
+Repeated rows stay; language, source and id are not read.  Extra columns pass
+through, and score and predicted stand for any of their names.  Memory follows the
+longest text.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import labelled, slices, with_labels
+from .common import labelled, replaced, slices, with_labels
 
 SAMPLE = 4_000
+LONGEST = 256
 PASSAGE = 64
 HIDDEN, GATE, EPOCHS, SEED = 24, 12, 250, 5
 DECIDE = 0.3
@@ -146,14 +149,17 @@ def fit(x: np.ndarray, count: np.ndarray, label: np.ndarray, epochs: int = EPOCH
     return Scorer(base, mean, scale, w)
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
-    """A scorer from at most ``sample`` labelled documents."""
+def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Scorer:
+    """A scorer from at most ``sample`` labelled documents, of those the ones of at most ``longest`` passages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, offsets, body in slices(batches, "text"):
             x, count = passages(offsets, body)
             cut = np.cumsum(count) - count
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([x[a : a + c].tobytes() for a, c in zip(cut.tolist(), count.tolist(), strict=True)], pa.binary())], ["doc_id", "label", "x"])
+            few = np.flatnonzero(count <= longest)
+            bags = [x[cut[i] : cut[i] + count[i]].tobytes() for i in few.tolist()]
+            at = pa.array(few)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), pa.array(bags, pa.binary())], ["doc_id", "label", "x"])
 
     rows = with_labels(documents, labelled(labels, "quality", sample)).select("doc_id", "text", "label")
     got = sorted(rows.mapInArrow(run, "doc_id long, label int, x binary").collect(), key=lambda r: (r.doc_id, r.x))
@@ -166,15 +172,11 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scor
 
 def predict(df: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFrame:
     """df without its text, with score and predicted."""
-    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
-    at = df.columns.index(text_col)
-    fields = [f for i, f in enumerate(df.schema.fields) if i != at]
+    places, schema = replaced(df, text_col, ("score", "double"), ("predicted", "int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, offsets, body in slices(batches, text_col):
             score = scorer.score(offsets, body).astype(np.float64)
-            columns = [c for i, c in enumerate(rows.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array((score >= DECIDE).astype(np.int32))], [*(f.name for f in fields), "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in places), pa.array(score), pa.array((score >= DECIDE).astype(np.int32))], schema.names)
 
-    return df.mapInArrow(run, StructType([*fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
+    return df.mapInArrow(run, schema)
