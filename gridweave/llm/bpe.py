@@ -11,13 +11,16 @@ followed by v and the merged token stands where the two stood:
 After the last merge it accepts exactly the correct tokenisations.  A state is
 kept as its parent and the arcs that it lost, each with the merge that took it,
 and an arc on a merged token exists where the arc on its left half existed when
-the merge came; so construction is linear in the merges, and arcs are tabulated
-when a word first takes them.
+the merge came; so construction is linear in the merges.  Arcs written out would
+be states times tokens (about 10^9), so a worker tabulates an arc when a word
+first asks for it.
 
-A pre-split word has one path through the automaton whose labels spell it.  It
-is found by taking the longest label that fits, then shorter ones, and marking
-byte positions from which no path leads on.  Decoding emits the labels of the
-arcs.
+A pre-split word has one path through the automaton whose labels spell it, and
+the beginning of a path spells the beginning of the word.  So one pass over the
+bytes settles it: a table of byte transitions tells which labels end at a byte,
+and the one whose arc leaves the state where it begins is the last of the path so
+far; there is exactly one.  Nothing is tried again.  Decoding emits the labels of
+the arcs.
 
 Edge cases: null and empty texts have no ids and decode to the empty text; a
 special token's string in a text is that token, as in the library; bytes that
@@ -67,16 +70,9 @@ class Automaton:
                 self.parent.append(was)
                 self.born.append(k)
             self.lost.setdefault(self.state[u] << 20 | v, k)
-        self.ids = {labels[i]: i for i in range(size) if len(labels[i]) == 1 or i in merged}
-        self.reach: dict[bytes, int] = {}  # the longest label with these first two bytes
-        for label in self.ids:
-            self.reach[label[:2]] = max(len(label), self.reach.get(label[:2], 0))
-        self.shorter = [-1] * size
-        for label, i in self.ids.items():
-            for n in range(len(label) - 1, 0, -1):
-                if (j := self.ids.get(label[:n])) is not None:
-                    self.shorter[i] = j
-                    break
+        self.size = [len(x) for x in labels]
+        self.specials: dict[bytes, int] = {}
+        self._compile([i for i in range(size) if len(labels[i]) == 1 or i in merged])
         self.arcs: dict[int, bool] = {}
 
     def _lost(self, state: int, token: int, until: int) -> bool:
@@ -99,49 +95,64 @@ class Automaton:
             token = self.left[token]
         return True
 
+    def _compile(self, tokens: list[int]) -> None:
+        """Byte transitions over the beginnings of labels, where to go on if there is none, and the labels that end at each."""
+        self.next: list[dict[int, int]] = [{}]
+        ends = [-1]
+        for i in tokens:
+            node = 0
+            for byte in self.labels[i]:
+                if byte not in self.next[node]:
+                    self.next[node][byte] = len(self.next)
+                    self.next.append({})
+                    ends.append(-1)
+                node = self.next[node][byte]
+            ends[node] = i
+        self.back = [0] * len(self.next)
+        self.ending = ends  # the longest label that ends here
+        self.suffix = [-1] * len(self.labels)  # the next shorter label that ends where a label does
+        queue = list(self.next[0].values())
+        for node in queue:  # by length, so shorter ones are settled
+            if ends[node] >= 0:
+                self.suffix[ends[node]] = ends[self.back[node]] if self.back[node] else -1
+            else:
+                ends[node] = ends[self.back[node]]
+            for byte, child in self.next[node].items():
+                at = self.back[node]
+                while at and byte not in self.next[at]:
+                    at = self.back[at]
+                self.back[child] = self.next[at].get(byte, 0)
+                queue.append(child)
+
     def encode(self, word: bytes) -> list[int]:
-        if word in self.ids and self.arc(0, self.ids[word]):
-            return [self.ids[word]]
-        n, ids, arcs, states = len(word), self.ids, self.arcs, self.state
-        path: list[int] = []
-        dead = bytearray(n + 1)
-        at, state = 0, 0
-        token = self._match(word, 0)
-        while True:
+        if word in self.specials:
+            return [self.specials[word]]
+        next_, back, ending, suffix, size, state, arcs = self.next, self.back, self.ending, self.suffix, self.size, self.state, self.arcs
+        node, last, states = 0, [-1], [0]
+        for at, byte in enumerate(word, 1):
+            while node and byte not in next_[node]:
+                node = back[node]
+            node = next_[node].get(byte, 0)
+            token = ending[node]
             while token >= 0:
-                end = at + len(self.labels[token])
-                if not dead[end]:
-                    key = state << 20 | token
-                    open_ = arcs.get(key)
-                    if open_ is None:
-                        open_ = arcs[key] = self.arc(state, token)
-                        if len(arcs) > 2_000_000:
-                            arcs.clear()
-                    if open_:
-                        break
-                token = self.shorter[token]
-            if token >= 0:
-                path.append(token)
-                at, state = end, states[token]
-                if at == n:
-                    return path
-                token = self._match(word, at)
+                key = states[at - size[token]] << 20 | token
+                open_ = arcs.get(key)
+                if open_ is None:
+                    if len(arcs) > 2_000_000:
+                        arcs.clear()
+                    open_ = arcs[key] = self.arc(key >> 20, token)
+                if open_:
+                    break
+                token = suffix[token]
             else:
-                if not path:
-                    raise ValueError(f"no path spells {word!r}")
-                dead[at] = 1
-                back = path.pop()
-                at -= len(self.labels[back])
-                state = states[path[-1]] if path else 0
-                token = self.shorter[back]
-
-    def _match(self, word: bytes, at: int) -> int:
-        ids = self.ids
-        for end in range(min(len(word), at + self.reach.get(word[at : at + 2], 1)), at, -1):
-            found = ids.get(word[at:end])
-            if found is not None:
-                return found
-        return -1
+                raise ValueError(f"no path spells {word!r}")
+            last.append(token)
+            states.append(state[token])
+        path, at = [], len(word)
+        while at:
+            path.append(last[at])
+            at -= size[last[at]]
+        return path[::-1]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         return [self.encode(w.encode()) for w in words]
@@ -152,9 +163,7 @@ def automaton(path: str) -> Automaton:
     """The automaton of a tokenizer file; a special token's string is a word that only its own arc spells."""
     labels, merges, specials = vocabulary(path)
     made = Automaton(labels, merges)
-    for text, i in specials.items():
-        made.ids[text.encode()] = i
-        made.reach[text.encode()[:2]] = max(len(text.encode()), made.reach.get(text.encode()[:2], 0))
+    made.specials = {text.encode(): i for text, i in specials.items()}
     return made
 
 
