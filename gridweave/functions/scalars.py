@@ -179,8 +179,15 @@ def adjusted(p: Column, prior: Column) -> Column:
     return sigmoid(logit(clip(p, 1e-8, 1 - 1e-8)) + prior)
 
 
-def noisy(x: Column, scale: float, seed: int) -> Column:
-    return x + F.randn(seed) * scale
+def uniform(seed: int, *keys: Column) -> Column:
+    """A number between 0 and 1 from a row's keys: the first 13 hexadecimal digits of the md5 of seed and keys."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
+
+
+def noisy(x: Column, scale: float, seed: int, *keys: Column) -> Column:
+    """x with normal noise that a row's keys and the seed settle, wherever the row is (Box-Muller)."""
+    return x + F.sqrt(-2 * F.ln(uniform(seed, *keys))) * F.cos(2 * F.pi() * uniform(seed + 1, *keys)) * scale
 
 
 def outside_passes(ts: Column) -> Column:

@@ -14,13 +14,13 @@ from .metrics import ranked
 def with_rank(df: DataFrame, column: str, name: str) -> DataFrame:
     """df with the mean rank of a column's value, lowest first; ranks come from counts of distinct values."""
     n = df.agg(F.count(column).alias("_n"))
-    found = ranked(df.withColumn("_one", F.lit(0)), column, "_one").join(F.broadcast(n))
+    found = ranked(df.where(F.col(column).isNotNull()).withColumn("_one", F.lit(0)), column, "_one").join(F.broadcast(n))
     rank = (F.col("_n") - F.col("n_above") - (F.col("n") - 1) / 2).alias(name)
-    return df.join(found.select(F.col("score").alias(column), rank), column)
+    return df.join(found.select(F.col("score").alias(column), rank), column, "left")
 
 
 def spearman_pairs(df: DataFrame, features: list[str]) -> DataFrame:
-    """(x, y, rho) of all pairs of features."""
+    """(x, y, rho) of all pairs of features, each over the rows that have both; ranks are among the rows that have the feature."""
     for f in features:
         df = with_rank(df, f, f"_r_{f}")
     pairs = list(combinations(features, 2))

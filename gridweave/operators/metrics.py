@@ -19,10 +19,10 @@ RANGES = 256
 def ranked(df: DataFrame, score: str, label: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, score, n, pos, n_above, pos_above): per distinct score its rows and positives, and those of greater scores."""
     by = df.groupBy(*keys, F.col(score).alias("score")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    bounds = by.groupBy(*keys).agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
-    scaled = (F.col("score") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-    cut = by.join(F.broadcast(bounds), list(keys)) if keys else by.join(F.broadcast(bounds))
-    part = cut.withColumn("part", F.coalesce(F.floor(scaled * (RANGES - 1)), F.lit(0)).cast("int")).drop("lo", "hi")
+    # Ranges of about as many distinct scores each; those of equal width would put crowded scores into one.
+    cuts = by.groupBy(*keys).agg(F.percentile_approx("score", [i / RANGES for i in range(1, RANGES)], 10 * RANGES).alias("cuts"))
+    cut = by.join(F.broadcast(cuts), list(keys)) if keys else by.join(F.broadcast(cuts))
+    part = cut.withColumn("part", F.coalesce(F.size(F.filter("cuts", lambda c: c <= F.col("score"))), F.lit(-1))).drop("cuts")
     over = Window.partitionBy(*keys).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     ranges = part.groupBy(*keys, "part").agg(F.sum("n").alias("pn"), F.sum("pos").alias("pp"))
     ranges = ranges.select(*keys, "part", F.coalesce(F.sum("pn").over(over), F.lit(0)).alias("bn"), F.coalesce(F.sum("pp").over(over), F.lit(0)).alias("bp"))

@@ -13,12 +13,17 @@ def _timeline(days: DataFrame, editions: DataFrame, value: str, keys: tuple[str,
     return asked.unionByName(given)
 
 
-def _sides(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("day")
-    # Range frames, so that an edition of the very day is on both sides.
-    before, after = w.rangeBetween(Window.unboundedPreceding, 0), w.rangeBetween(0, Window.unboundedFollowing)
+def _sides(df: DataFrame, keys: tuple[str, ...], later: bool = True) -> DataFrame:
+    """Each day's last edition up to it (a) and first one from it on (b).
+
+    Both are running values, b along the days in reverse: a frame that reaches to
+    the end would be gone through anew for every row.  Range frames, so that an
+    edition of the very day is on both sides.
+    """
     edition = F.when(F.col("ev").isNotNull(), F.struct("ed", "ev"))
-    return df.withColumns({"a": F.last(edition, True).over(before), "b": F.first(edition, True).over(after)}).where("asked")
+    last = lambda order: F.last(edition, True).over(Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+    sides = {"a": last(F.col("day").asc())} | ({"b": last(F.col("day").desc())} if later else {})
+    return df.withColumns(sides).where("asked")
 
 
 def interpolated(days: DataFrame, editions: DataFrame, value: str = "value", keys: tuple[str, ...] = ("cell",)) -> DataFrame:
@@ -39,7 +44,7 @@ def nearest(days: DataFrame, editions: DataFrame, value: str = "value", keys: tu
 
 def as_of(days: DataFrame, editions: DataFrame, value: str = "value", keys: tuple[str, ...] = ("cell",)) -> DataFrame:
     """(keys, day, edition, value) of the last edition up to the day."""
-    both = _sides(_timeline(days, editions, value, keys), keys)
+    both = _sides(_timeline(days, editions, value, keys), keys, later=False)
     return both.select(*keys, "day", F.col("a.ed").alias("edition"), F.col("a.ev").alias(value))
 
 

@@ -12,27 +12,47 @@ def along(cell: str = "cell", day: str = "day") -> WindowSpec:
     return Window.partitionBy(cell).orderBy(day)
 
 
-def _last(w: WindowSpec, n: int) -> WindowSpec:
+#: Sums are of whole multiples of 1 / SCALE, so that differences of running sums are exact.
+SCALE = 1 << 30
+
+
+def _so_far(w: WindowSpec, back: int = 0) -> WindowSpec:
+    """Rows up to ``back`` rows ago.  Such a frame only grows, so each row is taken in once; a sliding one is summed anew for each row."""
+    return w.rowsBetween(Window.unboundedPreceding, -back)
+
+
+def _within(f: Column, n: int, w: WindowSpec) -> Column:
+    """A sum or count over the last n rows, as the difference of two running ones."""
     if n < 1:
         raise ValueError("a window has one row at least")
-    return w.rowsBetween(-(n - 1), 0)
+    return F.coalesce(f.over(_so_far(w)), F.lit(0)) - F.coalesce(f.over(_so_far(w, n)), F.lit(0))
 
 
-def trailing_sum(x: Column, n: int, w: WindowSpec) -> Column:
-    """Sum of the last n rows, or of those there are; missing values are skipped."""
-    return F.sum(x).over(_last(w, n))
+def _sum(x: Column, n: int, w: WindowSpec, scale: int | None) -> Column:
+    if scale is None:
+        return _within(F.sum(x), n, w)
+    return _within(F.sum(F.round(x * scale).cast("long")), n, w) / F.lit(float(scale))
 
 
-def strict_sum(x: Column, n: int, w: WindowSpec, complete: bool = False) -> Column:
+def trailing_sum(x: Column, n: int, w: WindowSpec, scale: int | None = SCALE) -> Column:
+    """Sum of the last n rows, or of those there are; missing values are skipped.
+
+    Values are rounded to whole multiples of 1 / scale and running sums must stay
+    below 2**63 / scale; whole numbers are summed as they are with ``scale=None``.
+    """
+    return F.when(_within(F.count(x), n, w) > 0, _sum(x, n, w, scale))
+
+
+def strict_sum(x: Column, n: int, w: WindowSpec, complete: bool = False, scale: int | None = SCALE) -> Column:
     """As trailing_sum, but missing before n rows; ``complete``: also where a row of the window is missing."""
-    rows = F.count(x if complete else F.lit(1)).over(_last(w, n))
-    return F.when(rows == n, F.sum(x).over(_last(w, n)))
+    whole = _within(F.count(x), n, w) == n if complete else F.row_number().over(w) >= n
+    return F.when(whole, trailing_sum(x, n, w, scale))
 
 
-def poisoned_sum(x: Column, n: int, w: WindowSpec) -> Column:
+def poisoned_sum(x: Column, n: int, w: WindowSpec, scale: int | None = SCALE) -> Column:
     """As strict_sum, but missing from a cell's first missing value on, as differences of a running sum are."""
-    before = w.rowsBetween(Window.unboundedPreceding, 0)
-    return F.when((F.count(F.lit(1)).over(_last(w, n)) == n) & (F.count(x).over(before) == F.count(F.lit(1)).over(before)), F.sum(x).over(_last(w, n)))
+    row = F.row_number().over(w)
+    return F.when((row >= n) & (F.count(x).over(_so_far(w)) == row), trailing_sum(x, n, w, scale))
 
 
 def run_length(condition: Column, w: WindowSpec) -> Column:
@@ -77,13 +97,12 @@ def zscore(x: Column, by: list[str], eps: float = 1e-6, bound: float = 10.0) ->
     return clip((x - F.avg(x).over(w)) / (F.stddev_pop(x).over(w) + eps), -bound, bound)
 
 
-def causal_zscore(x: Column, by: list[str], order: str, eps: float = 1e-6, bound: float = 10.0) -> Column:
-    """Departure from earlier occurrences only; missing before two of them have values."""
+def causal_zscore(x: Column, by: list[str], order: str, eps: float = 1e-6, bound: float | None = 10.0) -> Column:
+    """Departure from earlier occurrences only; missing before two of them have values; not cut without a bound."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    n, total, squares = F.count(x).over(w), F.sum(x).over(w), F.sum(x * x).over(w)
-    mean = total / n
-    deviation = F.sqrt(F.greatest(squares / n - mean * mean, F.lit(0.0)))
-    return F.when(n >= 2, clip((x - mean) / (deviation + eps), -bound, bound))
+    # Central moments: squares less a squared mean would cancel for large values of small spread.
+    apart = (x - F.avg(x).over(w)) / (F.stddev_pop(x).over(w) + eps)
+    return F.when(F.count(x).over(w) >= 2, apart if bound is None else clip(apart, -bound, bound))
 
 
 def within_horizon(event: Column, days: int, w: WindowSpec) -> Column:

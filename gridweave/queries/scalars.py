@@ -141,9 +141,13 @@ def laea(spark, sf):
     return b.select("p_partkey", r("x", 3).alias("x"), r("y", 3).alias("y"), ((F.abs(back[0] - F.col("lon")) < 1e-7) & (F.abs(back[1] - F.col("lat")) < 1e-7)).alias("back"))
 
 
-@query()
+_STEPS = "".join(f", t{k + 1} AS (SELECT *, CASE WHEN 2 + 2 * cos(2 * a{k}) < 1e-12 THEN a{k} ELSE a{k} - (2 * a{k} + sin(2 * a{k}) - pi() * sin(phi)) / (2 + 2 * cos(2 * a{k})) END AS a{k + 1} FROM t{k})" for k in range(8))
+_FAR, _K = 35786400.0 + 6378137.0, (6378137.0 / 6356752.3) ** 2
+
+
+@query(f"WITH b AS (SELECT p_partkey, (p_partkey % 360)::DOUBLE - 180 AS lon0, radians((p_partkey % 171)::DOUBLE - 85) AS phi, ((p_partkey % 300)::DOUBLE - 150) / 1000 AS sx, ((p_partkey % 280)::DOUBLE - 140) / 1000 AS sy FROM part), t0 AS (SELECT *, phi AS a0 FROM b){_STEPS}, g AS (SELECT *, cos(sy) * cos(sy) + {_K!r} * sin(sy) * sin(sy) AS flat, {_FAR!r} * cos(sx) * cos(sy) AS ahead FROM t8), i AS (SELECT *, ahead * ahead - flat * {_FAR**2 - 6378137.0**2!r} AS inside FROM g), n AS (SELECT *, (ahead - sqrt(greatest(inside, 0))) / flat AS n FROM i), s AS (SELECT *, {_FAR!r} - n * cos(sx) * cos(sy) AS s1, n * sin(sx) * cos(sy) AS s2, n * sin(sy) AS s3 FROM n) SELECT p_partkey, round({P.SEMI_MAJOR!r} * 2 * sqrt(2) / pi() * radians(lon0) * cos(a8), 2) + 0.0 AS x, round({P.SEMI_MAJOR!r} * sqrt(2) * sin(a8), 2) + 0.0 AS y, CASE WHEN inside >= 0 THEN round(degrees(atan2(s2, s1)), 5) + 0.0 END AS lon, CASE WHEN inside >= 0 THEN round(degrees(atan({_K!r} * s3 / sqrt(s1 * s1 + s2 * s2))), 5) + 0.0 END AS lat, round(ln(tan(pi() / 4 + phi / 2)), 6) + 0.0 AS mercator FROM s")
 def mollweide_geostationary(spark, sf):
-    """Mollweide and scan-angle places; held against fixed points in the tests."""
+    """Mollweide, scan-angle and Mercator places."""
     lon, lat = F.pmod("p_partkey", F.lit(360)) - 180.0, F.pmod("p_partkey", F.lit(171)) - 85.0
     x, y = P.mollweide(lon, lat)
     glon, glat = P.geostationary_inverse((F.pmod("p_partkey", F.lit(300)) - 150) / 1000.0, (F.pmod("p_partkey", F.lit(280)) - 140) / 1000.0)
@@ -174,10 +178,14 @@ def logit_adjust(spark, sf):
     return _out(_base(spark, sf), p=S.adjusted(F.col("rh") / 100, (F.col("w") - 8) / 4))
 
 
-@query()
+def _uniform(seed: int) -> str:
+    return f"((CAST('0x' || substr(md5('{seed}|' || l_orderkey || '|' || l_linenumber), 1, 13) AS BIGINT))::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE"
+
+
+@query(f"{_BASE} SELECT {_KEYS}, round(t + sqrt(-2 * ln({_uniform(7)})) * cos(2 * pi() * ({_uniform(8)})) * 0.5, 6) + 0.0 AS t FROM b")
 def noise_shift(spark, sf):
-    """Seeded normal noise; another generator than SQL's."""
-    return _base(spark, sf).select("l_orderkey", "l_linenumber", r(S.noisy(F.col("t"), 0.5, 7)).alias("t"))
+    """Normal noise that a row's key settles."""
+    return _base(spark, sf).select("l_orderkey", "l_linenumber", r(S.noisy(F.col("t"), 0.5, 7, F.col("l_orderkey"), F.col("l_linenumber"))).alias("t"))
 
 
 @query("WITH b AS (SELECT event_id, hour(ts) + minute(ts) / 60.0::DOUBLE AS h FROM events) SELECT event_id, NOT ((h >= 0 AND h < 2.5) OR (h >= 11.7 AND h < 14.5) OR (h >= 23.7 AND h < 24)) AS gap FROM b")

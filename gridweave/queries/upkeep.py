@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import recursive
@@ -9,6 +11,7 @@ from ..plans import features, maintain, serving
 from ..sources import readers, sinks
 from ..streaming import jobs
 from .base import ECUBE, LCUBE, ecube, events, lcube, query, r, rounded, table
+from .windows import DRY
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
@@ -145,11 +148,7 @@ def engineered_features(spark, sf):
 
 def _collected(spark, stream, name: str, mode: str = "append"):
     """What a stream over the table gives once it has taken all in; rows wait in a table of the shared folder."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridweave-stream-")
-    at = f"{base}/streams/{name}-{uuid.uuid4().hex}"
+    at = f"{sinks.shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
     jobs.run_once(stream, f"{at}/checkpoint", lambda batch, number: batch.write.mode("overwrite").parquet(f"{at}/rows/batch={number}"), mode)
     return spark.read.schema(stream.schema).parquet(f"{at}/rows").select(*stream.columns) if sinks.exists(spark, f"{at}/rows") else spark.createDataFrame([], stream.schema)
 
@@ -159,7 +158,11 @@ def _events_stream(spark, sf):
     return spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
 
 
-@query()
+#: What a stream has closed: windows that end no later than the newest event less the lateness.
+_CLOSED = "(SELECT max(ts) - INTERVAL 6 DAY FROM events)"
+
+
+@query(f"WITH d AS (SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS n, round(avg(value), 6) + 0.0 AS mean, min(value) AS min, max(value) AS max FROM events GROUP BY 1, 2) SELECT * FROM d WHERE day + INTERVAL 1 DAY <= {_CLOSED}")
 def stream_daily(spark, sf):
     """Tumbling days of a stream with a watermark, one row a day and user; the newest days wait for late data."""
     return _collected(spark, jobs.daily(_events_stream(spark, sf), ["user_id"], "value"), "daily").select("day", "user_id", "n", r("mean").alias("mean"), "min", "max")
@@ -170,11 +173,32 @@ def stream_dedupe(spark, sf):
     return _collected(spark, jobs.deduplicated(_events_stream(spark, sf), ["event_id"]).select("event_id", "event_type"), "dedupe").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH w AS (SELECT CAST(ts AS DATE) + CAST(k AS INTEGER) AS day, event_type, value FROM events, range(7) t(k)) SELECT day, event_type, round(sum(value), 4) + 0.0 AS total FROM w WHERE day + INTERVAL 1 DAY <= {_CLOSED} GROUP BY 1, 2")
 def stream_trailing(spark, sf):
+    """Sums of the seven days up to each day."""
     return _collected(spark, jobs.trailing(_events_stream(spark, sf), ["event_type"], "value", 7), "trailing").select("day", "event_type", r("total", 4).alias("total"))
 
 
-@query()
+@query(f"WITH o AS (SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o) SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS \"end\", count(*) AS n FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 6 HOUR <= {_CLOSED}")
 def stream_sessions(spark, sf):
-    return _collected(spark, jobs.sessions(_events_stream(spark, sf), ["user_id"]), "sessions")
+    """Events of a user with less than six hours between them."""
+    out = _collected(spark, jobs.sessions(_events_stream(spark, sf), ["user_id"]), "sessions")
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+@query(DRY.replace("coalesce(l.rain, 0) / 10 AS rain", "l.rain / 10 AS rain").replace("y.annual FROM lcube", "500.0::DOUBLE AS annual FROM lcube").replace("SELECT s.cell, s.k, least(", "SELECT s.cell, s.k, CASE WHEN s.rain IS NULL THEN w.q ELSE least(").replace("0), 203.2), g.spell", "0), 203.2) END, CASE WHEN s.rain IS NULL THEN w.wet ELSE g.spell END").replace("round(w.q, 4) + 0.0 AS q", "CASE WHEN s.rain IS NOT NULL THEN round(w.q, 4) + 0.0 END AS q"))
+def stream_drought(spark, sf):
+    """The drought index of a stream of days, whose state goes on from batch to batch; a day without rain data leaves it."""
+    c = lcube(spark, sf).select(F.col("cell").cast("long").alias("cell"), "day", (F.col("rain") / 10).alias("rain"), "tmax", F.lit(500.0).alias("annual"))
+    at = f"{sinks.shared_dir(spark)}/streams/days-{uuid.uuid4().hex}"
+    # Two files, so that there are two batches.
+    half = F.col("day") > F.lit("1998-06-01").cast("date")
+    for k, part in enumerate((c.where(~half), c.where(half))):
+        part.coalesce(1).write.mode("append").parquet(f"{at}/{k}")
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        return rounded(_collected(spark, jobs.drought(jobs.read_new(spark, f"{at}/*", c.schema)), "drought"), 4)
+    finally:
+        spark.conf.set(name, before)

@@ -55,7 +55,7 @@ def seeded_counter(spark, sf):
 
 @query(f"WITH {ECUBE} SELECT cell, day, CASE WHEN row_number() OVER ({_W}) >= 10 THEN CAST(sum(is_fire) OVER ({_W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS BIGINT) END AS n FROM ecube")
 def event_frequency(spark, sf):
-    return ecube(spark, sf).select("cell", "day", W.strict_sum(F.col("is_fire"), 10, W.along()).alias("n"))
+    return ecube(spark, sf).select("cell", "day", W.strict_sum(F.col("is_fire"), 10, W.along(), scale=None).alias("n"))
 
 
 @query(f"WITH {LCUBE}, z AS (SELECT *, dayofyear(day) AS doy FROM lcube) SELECT cell, day, CASE WHEN rain IS NOT NULL THEN round(least(greatest((rain - avg(rain) OVER w) / (stddev_pop(rain) OVER w + 1e-6), -10), 10), 6) + 0.0 END AS z FROM z WINDOW w AS (PARTITION BY cell, doy)")
@@ -70,7 +70,7 @@ def zscore_causal(spark, sf):
     return c.select("cell", "day", r(W.causal_zscore(F.col("rain"), ["cell", "doy"], "day")).alias("z"))
 
 
-_DRY = "WITH RECURSIVE " + LCUBE + """, y AS (SELECT cell, sum(rain) / ((max(day) - min(day) + 1) / 365.25) AS annual FROM lcube WHERE cell < 10 GROUP BY cell),
+DRY = "WITH RECURSIVE " + LCUBE + """, y AS (SELECT cell, sum(rain) / ((max(day) - min(day) + 1) / 365.25) AS annual FROM lcube GROUP BY cell),
 s AS (SELECT l.cell, l.day, row_number() OVER (PARTITION BY l.cell ORDER BY l.day) AS k, coalesce(l.rain, 0) / 10 AS rain, l.tmax, y.annual FROM lcube l JOIN y ON y.cell = l.cell),
 walk AS (SELECT cell, CAST(0 AS BIGINT) AS k, 0.0::DOUBLE AS q, 0.0::DOUBLE AS wet FROM y
 UNION ALL
@@ -85,7 +85,7 @@ def _annual(cube):
     return cube.join(cube.groupBy("cell").agg((F.sum("rain") / years).alias("annual")), "cell").withColumn("rain", F.coalesce("rain", F.lit(0.0)) / 10)
 
 
-@query(_DRY.replace(" WHERE cell < 10", ""))
+@query(DRY)
 def drought_index(spark, sf):
     return rounded(recursive.drought(_annual(lcube(spark, sf))), 4)
 

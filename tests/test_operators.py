@@ -87,7 +87,7 @@ def test_drought_against_a_loop_and_resumed(spark):
     state = spark.createDataFrame([(c, *got[c, cut]) for c in range(3)], "cell int, q0 double, wet0 double")
     rest = recursive.drought(df.where(F.col("day") > cut).join(state, "cell"), q0="q0", wet0="wet0").collect()
     assert len(rest) == 84 and all(got[r.cell, r.day] == (r.q, r.wet) for r in rest)
-    assert recursive.fold([(0.0, -20.0, 400.0)]) == (0.0, 0.0)
+    assert list(recursive.fold([(0.0, -20.0, 400.0), (None, 1.0, 1.0), (1.0, float("nan"), 1.0)])) == [(0.0, 0.0), (None, 0.0), (None, 0.0)]
     missing = recursive.drought(series(spark, [1.0, None, 1.0], "rain").withColumns({"tmax": F.lit(30.0), "annual": F.lit(400.0)})).orderBy("day").collect()
     assert missing[1].q is None and missing[2].q is not None
 
