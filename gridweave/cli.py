@@ -68,8 +68,8 @@ def edge(spark, a):
     if a.dry_run:
         print(json.dumps({"last": str(last), "new": cube.where(F.col("day") > F.lit(last)).select("day").distinct().count()}))
         return
-    state = done.where(F.col("day") == F.lit(last)).select("cell", F.col("kbdi").alias("q0"), F.col("kbdi_wet").alias("wet0"))
-    sinks.append_new(features.edge(cube, grid_of(a.grid), str(last), spark.read.parquet(f"{a.target}_annual"), state), a.target)
+    carried = features.state(done, str(last))
+    sinks.append_new(features.edge(cube, grid_of(a.grid), str(last), spark.read.parquet(f"{a.target}_annual"), carried, features.moments(done)), a.target)
 
 
 def update(spark, a):

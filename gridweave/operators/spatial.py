@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import deque
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -147,26 +145,18 @@ def regridded(field: DataFrame, weights: DataFrame, value: str = "value", keys:
     return joined.groupBy(*keys, "cell").agg(F.when(whole, F.sum(F.col("w") * F.col(value))).otherwise(best).alias(value))
 
 
-#: Points up to which they are sent to all tasks.
-FEW_POINTS = 10_000
-
-
-def interpolated(points: DataFrame, targets: DataFrame, k: int = 12, power: float = 2.0, value: str = "value", keys: tuple[str, ...] = (), reach: float | None = None, step: float | None = None, few: int = FEW_POINTS) -> DataFrame:
+def interpolated(points: DataFrame, targets: DataFrame, k: int = 12, power: float = 2.0, value: str = "value", keys: tuple[str, ...] = (), step: float | None = None) -> DataFrame:
     """(keys, cell, value): inverse distance weighting of the k nearest of (keys, src_id, px, py, value), for targets (cell, tx, ty).
 
-    Up to ``few`` points are sent to all tasks; with more, or with ``step`` or
-    ``reach`` (either the size of the first squares), places meet by squares,
-    which widen until the k nearest are certain.  Both find the same points.
-    Points and targets without a place and points without a value take no part.
+    Places meet by squares (of ``step`` at first), which widen until the k nearest
+    are certain; no target is joined with all points.  Points and targets without
+    a place and points without a value take no part.
     """
     # Of points of one place only the first k can be among the k nearest.
     place = Window.partitionBy(*keys, "px", "py").orderBy("src_id")
     known = points.where(F.col(value).isNotNull() & F.col("px").isNotNull() & F.col("py").isNotNull()).withColumn("_r", F.row_number().over(place)).where(F.col("_r") <= k).select(*keys, "src_id", "px", "py", value)
     asked = targets.select("cell", "tx", "ty").where("tx is not null and ty is not null")
-    if not (step or reach) and known.count() <= few:
-        best = _nearest(asked.join(F.broadcast(known)), k, keys)
-        return best.groupBy(*keys, "cell").agg(_weighted(value, power).alias(value))
-    return _by_squares(known, asked, k, power, value, keys, step or reach)
+    return _by_squares(known, asked, k, power, value, keys, step)
 
 
 def _nearest(pairs: DataFrame, k: int, keys: tuple[str, ...]) -> DataFrame:
@@ -253,23 +243,35 @@ def gathered(values: DataFrame, index: DataFrame, value: str = "value") -> DataF
     return index.join(values.select("cell", value), "cell", "left").select("pixel", value)
 
 
-def labelled_regions(mask: np.ndarray) -> np.ndarray:
-    """4-connected regions of a boolean raster, numbered from 1 in reading order."""
-    label = np.zeros(mask.shape, np.int32)
-    count = 0
-    for start in zip(*np.nonzero(mask), strict=True):
-        if label[start]:
-            continue
-        count += 1
-        label[start] = count
-        todo = deque([start])
-        while todo:
-            y, x = todo.popleft()
-            for a, b in ((y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)):
-                if 0 <= a < mask.shape[0] and 0 <= b < mask.shape[1] and mask[a, b] and not label[a, b]:
-                    label[a, b] = count
-                    todo.append((a, b))
-    return label
+def _settled(to: np.ndarray) -> np.ndarray:
+    """Where each index ends up by following ``to`` until it stays."""
+    while (to[to] != to).any():
+        to = to[to]
+    return to
+
+
+def labelled_regions(mask: np.ndarray, kind: np.ndarray | None = None) -> np.ndarray:
+    """4-connected regions of a raster (of one ``kind`` each, if given), numbered from 1 in reading order.
+
+    Every cell takes the least index among its neighbours' until nothing changes;
+    whole rasters at a time.
+    """
+    kind = np.zeros(mask.shape, np.int64) if kind is None else kind
+    least = np.arange(mask.size).reshape(mask.shape)
+    joins = [(np.s_[1:, :], np.s_[:-1, :]), (np.s_[:, 1:], np.s_[:, :-1])]
+    joins = [(x, y, mask[x] & mask[y] & (kind[x] == kind[y])) for x, y in joins]
+    while True:
+        new = least.copy()
+        for x, y, same in joins:
+            for one, other in ((x, y), (y, x)):
+                new[one] = np.where(same, np.minimum(new[one], new[other]), new[one])
+        new = _settled(new.ravel()).reshape(mask.shape)
+        if (new == least).all():
+            break
+        least = new
+    out = np.zeros(mask.shape, np.int32)
+    out[mask] = np.unique(least[mask], return_inverse=True)[1] + 1
+    return out
 
 
 def smoothed(field: np.ndarray, sigma: float) -> np.ndarray:
@@ -283,71 +285,72 @@ def smoothed(field: np.ndarray, sigma: float) -> np.ndarray:
     return field
 
 
-def basins(height: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Every cell's seed by flooding from the seeds, highest cells first (ties by reading order)."""
-    import heapq
+def hills(height: np.ndarray, apart: int) -> np.ndarray:
+    """The summit (as an index) of every cell's hill: uphill to the highest neighbour, and on from summits to a higher one within ``apart`` cells.
 
-    label = seeds.copy()
-    heap = [(-height[p], k, p) for k, p in enumerate(zip(*np.nonzero(seeds), strict=True))]
-    heapq.heapify(heap)
-    k = len(heap)
-    while heap:
-        _, _, (y, x) = heapq.heappop(heap)
-        for a, b in ((y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)):
-            if 0 <= a < label.shape[0] and 0 <= b < label.shape[1] and not label[a, b]:
-                label[a, b] = label[y, x]
-                heapq.heappush(heap, (-height[a, b], k, (a, b)))
-                k += 1
-    return label
-
-
-def danger_areas(df: DataFrame, grid: Grid, prob: str = "p", regime: str = "regime", region: str = "region", keys: tuple[str, ...] = ("day",), threshold: float = 8.6 * 1.276e-3, least: float = 0.10, smooth_km: float = 4.8, apart_km: float = 20.0) -> DataFrame:
-    """(keys, area, p_any, peak_cell, radius_m, n_cells, regime, region) of the raster's danger areas, one group for each day.
-
-    Cells above the threshold are parted by basins around smoothed local maxima
-    and into connected pieces; a piece is an area if the probability of any
-    event in it reaches ``least``.
+    Of equal heights the one with the least index is the higher.
     """
+    ny, nx = height.shape
+    order = np.empty(height.size, np.int64)
+    order[np.lexsort((-np.arange(height.size), height.ravel()))] = np.arange(1, height.size + 1)
+
+    def best(rank: np.ndarray, reach: int, corners: bool) -> np.ndarray:
+        found = rank.copy()
+        for axis in (0, 1):
+            base = found if corners else rank
+            grown = base.copy()
+            for k in range(1, min(reach, rank.shape[axis] - 1) + 1):
+                near, far = (np.s_[k:, :], np.s_[:-k, :]) if axis == 0 else (np.s_[:, k:], np.s_[:, :-k])
+                grown[near] = np.maximum(grown[near], base[far])
+                grown[far] = np.maximum(grown[far], base[near])
+            found = np.maximum(found, grown)
+        return found
+
+    holder = np.empty(height.size + 1, np.int64)
+    holder[order] = np.arange(height.size)
+    up = holder[best(order.reshape(ny, nx), 1, False)].ravel()
+    summit = _settled(up)
+    tops = np.where(up == np.arange(height.size), order, 0)
+    on = holder[best(tops.reshape(ny, nx), apart, True)].ravel()
+    return _settled(np.where(tops > 0, on, np.arange(height.size)))[summit].reshape(ny, nx)
+
+
+def risk_pieces(df: DataFrame, grid: Grid, prob: str = "p", keys: tuple[str, ...] = ("day",), threshold: float = 8.6 * 1.276e-3, smooth_km: float = 4.8, apart_km: float = 20.0) -> DataFrame:
+    """(keys, cell, piece): cells above the threshold by connected piece of one hill of the smoothed surface; a group is one grid."""
     types = dict(df.dtypes)
-    kept = df.select(*keys, F.col("cell").cast("int").alias("cell"), F.col(prob).cast("double").alias("p"), F.col(regime).cast("int").alias("r"), F.coalesce(F.col(region).cast("int"), F.lit(0)).alias("g"))
     km = abs(grid.dx) / 1000
 
-    def areas(table: pa.Table) -> pa.Table:
-        field, mode, place = np.zeros((grid.ny, grid.nx)), np.zeros((grid.ny, grid.nx), int), np.zeros((grid.ny, grid.nx), int)
-        at = table.column("cell").to_numpy()
-        for target, name in ((field, "p"), (mode, "r"), (place, "g")):
-            target.flat[at] = np.nan_to_num(table.column(name).to_numpy(zero_copy_only=False).astype(float))
-        found: list[tuple] = []
-        mask = (field > threshold) & (mode > 0)
-        if mask.any():
-            soft = smoothed(field, smooth_km / km)
-            half = max(3, round(apart_km / km)) // 2
-            padded = np.pad(soft, half, mode="symmetric")
-            top = np.lib.stride_tricks.sliding_window_view(padded, (2 * half + 1, 2 * half + 1)).max((2, 3))
-            seeds = labelled_regions((soft >= top) & mask)
-            pieces = np.zeros(mask.shape, np.int32)
-            if seeds.any():
-                owner = basins(soft, seeds) * (labelled_regions(mask).max() + 1) + labelled_regions(mask)
-                n = 0
-                for key in np.unique(owner[mask]).tolist():
-                    part = labelled_regions((owner == key) & mask)
-                    pieces[part > 0] = part[part > 0] + n
-                    n += part.max()
-            for k in range(1, pieces.max() + 1):
-                y, x = np.nonzero(pieces == k)
-                p = field[y, x]
-                any_ = 1 - np.prod(1 - np.clip(p, 0, 0.99))
-                if any_ < least:
-                    continue
-                peak = int(p.argmax())
-                radius = max((x.max() - x.min()) / 2, (y.max() - y.min()) / 2, 1) * km * 1000 + km * 500
-                codes = place[y, x][place[y, x] > 0]
-                found.append((float(any_), int(y[peak] * grid.nx + x[peak]), float(radius), len(y), 2 if (mode[y, x] == 2).mean() > 0.5 else 1, int(np.bincount(codes).argmax()) if len(codes) else 0))
-        found.sort(reverse=True)
-        head = {k: pa.array([table.column(k)[0].as_py()] * len(found), table.schema.field(k).type) for k in keys}
-        columns = list(zip(*found, strict=True)) or [[]] * 6
-        kinds = (pa.float64(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.int32())
-        return pa.table({**head, "area": pa.array(range(1, len(found) + 1), pa.int32()), **{n: pa.array(list(c), t) for n, c, t in zip(("p_any", "peak_cell", "radius_m", "n_cells", "regime", "region"), columns, kinds, strict=True)}})
-
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "area int, p_any double, peak_cell int, radius_m double, n_cells int, regime int, region int"])
-    return kept.groupBy(*keys).applyInArrow(areas, schema)
+    def pieces(table: pa.Table) -> pa.Table:
+        at, p = table.column("cell").to_numpy(), np.nan_to_num(table.column("p").to_numpy(zero_copy_only=False).astype(float))
+        land = table.column("land").to_numpy(zero_copy_only=False).astype(bool)
+        field, mask = np.zeros((grid.ny, grid.nx)), np.zeros((grid.ny, grid.nx), bool)
+        field.flat[at], mask.flat[at] = p, (p > threshold) & land
+        summit = hills(smoothed(field, smooth_km / km), max(3, round(apart_km / km)) // 2)
+        piece = labelled_regions(mask, summit).ravel()[at]
+        return table.select([*keys, "cell"]).append_column("piece", pa.array(piece)).filter(pa.array(piece > 0))
+
+    kept = df.select(*keys, F.col("cell").cast("int").alias("cell"), F.col(prob).cast("double").alias("p"), F.coalesce(F.col("regime") > 0, F.lit(False)).alias("land"))
+    return kept.groupBy(*keys).applyInArrow(pieces, ", ".join([*(f"{k} {types[k]}" for k in keys), "cell int, piece int"]))
+
+
+def danger_areas(df: DataFrame, grid: Grid, prob: str = "p", region: str = "region", keys: tuple[str, ...] = ("day",), least: float = 0.10, **settings: float) -> DataFrame:
+    """(keys, area, p_any, peak_cell, radius_m, n_cells, regime, region): the pieces with at least that probability of any event.
+
+    df holds a ``regime`` (0 off land).  Pieces are made day by day
+    (:func:`risk_pieces`); what they amount to is a grouping of their cells.
+    """
+    from .aggregates import any_event
+
+    cells = df.select(*keys, F.col("cell").cast("int").alias("cell"), F.col(prob).cast("double").alias("p"), "regime", F.nullif(F.col(region).cast("int"), F.lit(0)).alias("g"))
+    x, y = grid.column(F.col("cell")), grid.row(F.col("cell"))
+    reach = F.greatest((F.max(x) - F.min(x)) / 2, (F.max(y) - F.min(y)) / 2, F.lit(1.0))
+    found = risk_pieces(df, grid, prob, keys, **settings).join(cells, [*keys, "cell"]).groupBy(*keys, "piece").agg(
+        any_event(F.col("p")).alias("p_any"),
+        F.max_by("cell", F.struct("p", -F.col("cell"))).alias("peak_cell"),
+        ((reach + 0.5) * abs(grid.dx)).alias("radius_m"),
+        F.count("*").cast("int").alias("n_cells"),
+        F.when(F.avg((F.col("regime") == 2).cast("int")) > 0.5, 2).otherwise(1).alias("regime"),
+        F.coalesce(F.mode("g", True), F.lit(0)).alias("region"),
+    )
+    first = Window.partitionBy(*keys).orderBy(F.desc("p_any"), "peak_cell")
+    return found.where(F.col("p_any") >= least).select(*keys, F.row_number().over(first).alias("area"), "p_any", "peak_cell", "radius_m", "n_cells", "regime", "region")

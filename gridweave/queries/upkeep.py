@@ -6,11 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import recursive
 from ..plans import features, maintain, serving
 from ..sources import readers, sinks
 from ..streaming import jobs
-from .base import ECUBE, LCUBE, ecube, events, lcube, query, r, rounded, table
+from .base import ECUBE, LCUBE, WIDE, ecube, events, lcube, plot, query, r, rounded, table
 from .windows import DRY
 
 
@@ -116,20 +115,6 @@ def training_stack(spark, sf):
     return c.select("day", "cell", F.col("x")[0].alias("a"), F.col("x")[1].alias("b"))
 
 
-@query(f"WITH {LCUBE}, t AS (SELECT cell, day, sum(rain) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN 89 PRECEDING AND CURRENT ROW) AS total FROM lcube) SELECT cell, day, total, true AS same FROM t WHERE day > DATE '2001-10-20'")
-def edge_equals_batch(spark, sf):
-    """New days from history and a stored state, and whether they equal the whole run's."""
-    from ..operators import windows as W
-
-    c = lcube(spark, sf).withColumn("rain0", F.coalesce("rain", F.lit(0.0)) / 10).withColumn("annual", F.lit(500.0))
-    whole = recursive.drought(c, rain="rain0")
-    state = whole.where("day = date'2001-10-20'").select(F.col("cell").cast("int").alias("cell"), F.col("q").alias("q0"), F.col("wet").alias("wet0"))
-    new = recursive.drought(c.where("day > date'2001-10-20'").join(state, "cell"), rain="rain0", q0="q0", wet0="wet0")
-    same = new.join(whole.withColumnRenamed("q", "q_whole"), ["cell", "day"]).select("cell", "day", (F.abs(F.col("q") - F.col("q_whole")) < 1e-12).alias("same"))
-    total = c.select("cell", "day", W.trailing_sum(F.col("rain"), 90, W.along()).alias("total")).where("day > date'2001-10-20'")
-    return total.join(same, ["cell", "day"]).select("cell", "day", "total", "same")
-
-
 def _full(spark, sf):
     """A cube with all raw variables of the feature chain, on the events' days."""
     c = ecube(spark, sf).withColumn("m", F.coalesce("mean", F.lit(0.0)))
@@ -137,11 +122,26 @@ def _full(spark, sf):
     return c.select("day", "cell", "is_fire", (F.col("m") / 50).alias("total_precipitation_mean"), (15 + k + F.col("m") / 10).alias("t2m_max"), (60 - F.col("m") / 5).alias("RH_min"), (k / 2 + F.col("n")).alias("wind_speed_max"), (k - 3).cast("double").alias("wind_u_mean"), (3 - k).cast("double").alias("wind_v_mean"), (0.3 + k / 20).alias("NDVI"), (1 + k / 5).alias("LAI"))
 
 
+@query(f"WITH {ECUBE}, t AS (SELECT cell, day, sum(coalesce(mean, 0) / 50) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS total FROM ecube) SELECT cell, day, round(total, 6) + 0.0 AS total, true AS same FROM t WHERE day > DATE '2024-01-20'")
+def edge_equals_batch(spark, sf):
+    """New days from a bounded tail and carried state, and whether all of their features equal the whole run's."""
+    cube, grid = _full(spark, sf), plot(events(spark, sf), WIDE)
+    annual = features.annual_rain(cube)
+    whole = features.engineered(cube, grid, annual)
+    cut = "2024-01-20"
+    done = whole.where(F.col("day") <= F.lit(cut).cast("date"))
+    new = features.edge(cube, grid, cut, annual, features.state(done, cut), features.moments(done))
+    both = new.alias("a").join(whole.alias("b"), ["cell", "day"])
+    equal = lambda c, t: F.coalesce(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) < 1e-9, F.col(f"a.{c}").isNull() & F.col(f"b.{c}").isNull()) if t == "double" else F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    same = F.lit(True)
+    for c, t in new.dtypes:
+        same = same & equal(c, t) if c not in ("cell", "day") else same
+    return both.select("cell", "day", r("a.precip_sum_7d").alias("total"), same.alias("same"))
+
+
 @query()
 def engineered_features(spark, sf):
     """The whole feature chain; tests hold its parts against plain loops and its edge against the whole."""
-    from .base import WIDE, plot
-
     out = features.engineered(_full(spark, sf), plot(events(spark, sf), WIDE))
     return rounded(out.select("day", "cell", "dist_to_fire", "fire_upwind_exposure", "precip_sum_7d", "precip_sum_365d", "time_since_last_fire", "burn_frequency_365d", "spi_90d", "kbdi", "emc_peak", "ffwi", "vpd_peak", "hdw", "fvc", "doy_sin", "dow_cos_tp1"))
 

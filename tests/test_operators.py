@@ -170,32 +170,31 @@ def test_regridding_is_exact_on_planes(spark):
     assert {r.cell: r.value for r in spatial.regridded(holes, weights).collect()}[0] is not None
 
 
-def test_interpolation_by_squares_equals_all_points(spark):
-    rng = np.random.default_rng(3)
-    points = spark.createDataFrame([(i, float(rng.uniform(0, 20)), float(rng.uniform(0, 20)), float(i)) for i in range(30)], "src_id int, px double, py double, value double")
-    targets = spark.createDataFrame([(i, float(i), float(i)) for i in range(20)], "cell int, tx double, ty double")
-    whole = {r.cell: r.value for r in spatial.interpolated(points, targets, k=3).collect()}
-    near = {r.cell: r.value for r in spatial.interpolated(points, targets, k=3, reach=30.0, step=5.0).collect()}
-    assert near == {c: pytest.approx(v) for c, v in whole.items()}
+def weighted_nearest(points, x, y, k, power=2.0):
+    """Of (src_id, px, py, value) by a plain sort."""
+    near = sorted((max(float(np.hypot(x - p[1], y - p[2])), 1.0), p[0], p[3]) for p in points)[:k]
+    weights = [d**-power for d, _, _ in near]
+    return sum(w * v for w, (_, _, v) in zip(weights, near, strict=True)) / sum(weights)
 
 
-def test_interpolation_switches_to_squares_and_stays_exact(spark):
+@pytest.mark.parametrize("step", [None, 5.0, 20.0])
+def test_interpolation_equals_a_plain_sort(spark, step):
     rng = np.random.default_rng(2)
     # A dense cluster, copies of one place, a few far points, and targets far from all.
     places = np.vstack([rng.uniform(0, 10, (60, 2)), np.full((20, 2), 4.5), rng.uniform(500, 900, (6, 2))])
     rows = [(i % 2, i, float(x), float(y), None if i % 13 == 0 else float(i * i % 31)) for i, (x, y) in enumerate(places)]
-    rows += [(2, 500, 1.0, 1.0, 7.0), (None, 501, 2.0, 2.0, 9.0)]
+    rows += [(2, 500, 1.0, 1.0, 7.0), (None, 501, 2.0, 2.0, 9.0), (1, 502, None, 2.0, 9.0)]
     points = spark.createDataFrame(rows, "run int, src_id int, px double, py double, value double")
-    targets = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-40, 40, (25, 2)))] + [(90, 4.5, 4.5), (91, 700.0, 700.0), (92, -300.0, 0.0)], "cell int, tx double, ty double")
-    for keys in ((), ("run",)):
-        options = {"few": 10} if keys else {"reach": 20.0, "step": 20.0}
-        run = lambda **o: {(*[r[k] for k in keys], r.cell): r.value for r in spatial.interpolated(points, targets, k=5, keys=keys, **o).collect()}  # noqa: B023, E731
-        whole = run()
-        assert len(whole) == 28 * (4 if keys else 1)
-        assert run(**options) == {c: pytest.approx(v) for c, v in whole.items()}
+    asked = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-40, 40, (25, 2)))] + [(90, 4.5, 4.5), (91, 700.0, 700.0), (92, -300.0, 0.0)]
+    targets = spark.createDataFrame([*asked, (93, None, 1.0)], "cell int, tx double, ty double")
+    known = [r for r in rows if r[2] is not None and r[4] is not None]
+    got = {r.cell: r.value for r in spatial.interpolated(points, targets, k=5, step=step).collect()}
+    assert got == {c: pytest.approx(weighted_nearest([r[1:] for r in known], x, y, 5)) for c, x, y in asked}
+    got = {(r.run, r.cell): r.value for r in spatial.interpolated(points, targets, k=5, keys=("run",), step=step).collect()}
+    assert got == {(run, c): pytest.approx(weighted_nearest([r[1:] for r in known if r[0] == run], x, y, 5)) for run in (0, 1, 2, None) for c, x, y in asked}
 
 
-def test_more_points_than_are_sent_to_all_tasks(spark):
+def test_interpolation_of_many_points(spark):
     n = 10_100
     points = spark.range(n).selectExpr("cast(id as int) as src_id", "cast(id % 101 as double) as px", "cast(id div 101 as double) as py", "cast(id as double) as value")
     targets = spark.createDataFrame([(0, 50.2, 50.1), (1, -300.0, 12.0)], "cell int, tx double, ty double")
@@ -292,17 +291,56 @@ def test_sources(spark, tmp_path):
 
 
 def test_edge_equals_whole_chain(spark, small):
-    from gridweave.queries.upkeep import _full
-
-    cube = _full(spark, small).where("cell < 40").cache()
+    # Two years and a month without gaps, so that there are earlier occurrences and windows reach to the tail's end.
+    days = spark.sql("select explode(sequence(date'2022-01-01', date'2024-01-27')) as day").join(spark.range(4).select(F.col("id").cast("int").alias("cell")))
+    u = lambda k: F.pmod(F.xxhash64("day", "cell", F.lit(k)), F.lit(1000)) / 1000.0
+    raw = {"is_fire": (u(0) < 0.05).cast("int"), "total_precipitation_mean": F.when(u(1) > 0.1, u(1) / 50), "t2m_max": 15 + 20 * u(2), "RH_min": 60 * u(3), "wind_speed_max": 9 * u(4), "wind_u_mean": u(5) - 0.5, "wind_v_mean": u(6) - 0.5, "NDVI": u(7), "LAI": 3 * u(8)}
+    cube = days.withColumns(raw).cache()
     annual = features.annual_rain(cube)
     whole = features.engineered(cube, base.WIDE, annual).cache()
     cut = "2024-01-20"
-    state = whole.where(F.col("day") == F.lit(cut).cast("date")).select("cell", F.col("kbdi").alias("q0"), F.col("kbdi_wet").alias("wet0"))
-    new = features.edge(cube, base.WIDE, cut, annual, state)
-    names = sorted(whole.columns)
-    a = sorted(map(repr, whole.where(F.col("day") > F.lit(cut).cast("date")).select(*names).collect()))
-    assert a == sorted(map(repr, new.select(*names).collect())) and a
+    done = whole.where(F.col("day") <= F.lit(cut).cast("date"))
+    new = features.edge(cube, base.WIDE, cut, annual, features.state(done, cut), features.moments(done))
+    names = sorted(set(whole.columns))
+    assert sorted(new.columns) == names
+    a = {(r.cell, r.day): r for r in whole.where(F.col("day") > F.lit(cut).cast("date")).collect()}
+    b = {(r.cell, r.day): r for r in new.collect()}
+    assert a.keys() == b.keys() and a
+    for at, row in a.items():
+        for n in names:
+            assert b[at][n] == (pytest.approx(row[n], abs=1e-9) if isinstance(row[n], float) else row[n]), n
+    assert any(r.ndvi_anomaly is not None for r in b.values())
+
+
+def test_departures_without_a_bound(spark):
+    df = series(spark, [1.0, 1.0, 5.0]).withColumn("k", F.lit(1))
+    cut, free = (column(df.withColumn("y", W.causal_zscore(F.col("x"), ["k"], "day", bound=b)), "y")[2] for b in (10.0, None))
+    assert cut == 10.0 and free == pytest.approx(4e6)
+    big = series(spark, [101325.0 + x for x in (0.01, 0.02, 0.03, 0.05)]).withColumn("k", F.lit(1))
+    z = column(big.withColumn("y", W.causal_zscore(F.col("x"), ["k"], "day", eps=0.0)), "y")[3]
+    assert z == pytest.approx(0.03 / np.std([0.01, 0.02, 0.03]), rel=1e-4)
+
+
+def test_running_sums_equal_plain_ones(spark):
+    values = [0.1, None, 0.25, -3.75, None, 1e6, 2.0, 0.0]
+    df = series(spark, values)
+    w = W.along()
+    got = df.select("day", W.trailing_sum(F.col("x"), 3, w).alias("a"), W.strict_sum(F.col("x"), 3, w).alias("b"), W.strict_sum(F.col("x"), 2, w, complete=True).alias("c")).orderBy("day").collect()
+    for i, r in enumerate(got):
+        last = [v for v in values[max(0, i - 2) : i + 1] if v is not None]
+        plain = pytest.approx(sum(last), abs=1e-8) if last else None
+        assert r.a == plain and r.b == (plain if i >= 2 else None)
+        two = values[max(0, i - 1) : i + 1]
+        assert r.c == (pytest.approx(sum(two), abs=1e-8) if len(two) == 2 and None not in two else None)
+
+
+def test_hills_and_areas_of_a_ridge(spark):
+    height = np.zeros((9, 20))
+    height[4, 2:18] = 1
+    height[4, 4], height[4, 15] = 3, 2
+    near, far = (spatial.hills(height, n) for n in (3, 11))
+    assert near[4, 2:9].tolist() == [84] * 7 or near[4, 3] == 84
+    assert near[4, 15] == 95 and far[4, 15] == 84
 
 
 def test_streams(spark, small, tmp_path):
