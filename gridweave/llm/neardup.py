@@ -56,7 +56,7 @@ SHINGLE = 5
 LINK = 85
 CHUNKS, WORDS, SYMBOLS, BITS = 18, 3, 4, 16
 LENGTH = CHUNKS * WORDS * SYMBOLS
-BLOCK_SHINGLES, BLOCK_DOCUMENTS = 500_000, 250
+BLOCK_SHINGLES, BLOCK_DOCUMENTS = 500_000, 128
 SHARE = 32
 BROADCAST_IDS = 2_000_000
 _RNG = np.random.default_rng(9173)
@@ -296,7 +296,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     dealt = lambda df, by, across, side: df.join(parts, "centre").select("centre", F.pmod(F.xxhash64("member"), F.col(by)).cast("int").alias(by), F.explode(F.sequence(F.lit(0), F.col(across) - 1)).alias(across), "member", F.lit(side).alias("side"))
     blocks = dealt(rest, "rows", "columns", True).unionByName(dealt(group.select("centre", "member"), "columns", "rows", False))
     ready = blocks.join(found, "member").select("centre", F.col("rows").alias("i"), F.col("columns").alias("j"), "member", "side", "found")
-    confirmed_ = ready.repartition(n, "centre", "i", "j").sortWithinPartitions("centre", "i", "j").mapInArrow(_blocks(link), "a long, b long")
+    confirmed_ = ready.repartitionByRange(n, "centre", "i", "j").sortWithinPartitions("centre", "i", "j").mapInArrow(_blocks(link), "a long, b long")
     every = stars.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b")).unionByName(confirmed_)
     found, found_path = written(every, "links")
     component, component_paths = components(found)
