@@ -57,8 +57,10 @@ def any_event(p: Column) -> Column:
 
 def drift(df: DataFrame, features: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, feature, mean, std, min, max, nan_frac), one row a feature; missing values are skipped."""
-    long = df.unpivot(list(keys), features, "feature", "value") if keys else df.select(*features).unpivot([], features, "feature", "value")
-    return long.groupBy(*keys, "feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.avg(F.col("value").isNull().cast("double")).alias("nan_frac"))
+    # One wide aggregation; rows are not multiplied by the features.
+    of = lambda f: F.struct(F.lit(f).alias("feature"), F.avg(f).alias("mean"), F.stddev_pop(f).alias("std"), F.min(F.col(f).cast("double")).alias("min"), F.max(F.col(f).cast("double")).alias("max"), F.avg(F.col(f).isNull().cast("double")).alias("nan_frac"))
+    wide = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.array(*[of(f) for f in features]).alias("_e")).where("_n > 0")
+    return wide.select(*keys, F.explode("_e").alias("_e")).select(*keys, "_e.*")
 
 
 def norm_stats(df: DataFrame, features: list[str], floor: float = 1e-6) -> DataFrame:

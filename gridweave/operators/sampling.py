@@ -68,6 +68,21 @@ def weighted_days(df: DataFrame, event: str, weight: int = 10, day: str = "day")
     return df.withColumn("weight", F.when(F.max(F.coalesce(F.col(event).cast("int"), F.lit(0))).over(Window.partitionBy(day)) == 1, weight).otherwise(1))
 
 
+def drawn_days(df: DataFrame, event: str, n: int, weight: int = 10, seed: int = 0, day: str = "day") -> DataFrame:
+    """(draw, day): n days drawn with replacement, each as likely as its weight; the same for the same seed.
+
+    A day owns as many slots as it weighs; a draw's hash names a slot.
+    """
+    days = df.groupBy(day).agg(F.when(F.max(F.coalesce(F.col(event).cast("int"), F.lit(0))) == 1, weight).otherwise(1).alias("_w"))
+    # One row a day: an order of all of them is small.
+    ends = days.withColumn("_end", F.sum("_w").over(Window.orderBy(day).rowsBetween(Window.unboundedPreceding, 0)))
+    slots = ends.select(day, F.explode(F.sequence(F.col("_end") - F.col("_w"), F.col("_end") - 1)).alias("_slot"))
+    total = ends.agg(F.max("_end").alias("_total"))
+    draws = df.sparkSession.range(n).select(F.col("id").alias("draw")).withColumn("_s", F.lit(seed))
+    number = F.conv(F.substring(order_of("_s", "draw"), 1, 15), 16, 10).cast("long")
+    return draws.join(F.broadcast(total)).withColumn("_slot", F.pmod(number, F.col("_total"))).join(slots, "_slot").select("draw", day)
+
+
 def alert_set(df: DataFrame, p: str, share: float = 0.003, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """Rows whose score reaches the k-th greatest of their key, k being the share of rows, one at least; ties stay."""
     size = F.count("*").over(Window.partitionBy(*keys))

@@ -80,23 +80,31 @@ def nearest_events(df: DataFrame, grid: Grid, event: str = "is_fire", u: str = "
     return kept.groupBy(*keys).applyInArrow(transform, schema)
 
 
-def _offsets(df: DataFrame, grid: Grid, value: str, offsets: list[tuple[int, int]], keys: tuple[str, ...]) -> DataFrame:
-    """Each cell's value sent to the cells that see it at an offset, edge cells standing for those beyond the edge.
+def _complete(df: DataFrame, grid: Grid, value: str, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, cell, y, x, value, here) for all cells of the grid; cells that df lacks have no value."""
+    cells = F.explode(F.sequence(F.lit(0), F.lit(grid.nx * grid.ny - 1))).alias("cell")
+    every = df.select(*keys).distinct().select(*keys, cells) if keys else grid.cells(df.sparkSession).select("cell")
+    found = every.join(df.select(*keys, "cell", value, F.lit(True).alias("here")), [*keys, "cell"], "left")
+    return found.withColumns({"y": grid.row(F.col("cell")), "x": grid.column(F.col("cell"))})
 
-    A cell asks for clamped places, so one equi-join brings all neighbours.
-    """
-    moves = F.explode(F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in offsets])).alias("m")
-    y, x = grid.row(F.col("cell")), grid.column(F.col("cell"))
-    asked = df.select(*keys, "cell", moves).withColumn("other", grid.cell(F.least(F.greatest(y + F.col("m.dy"), F.lit(0)), F.lit(grid.ny - 1)), F.least(F.greatest(x + F.col("m.dx"), F.lit(0)), F.lit(grid.nx - 1))))
-    values = df.select(*keys, F.col("cell").alias("other"), F.col(value).alias("near"))
-    return asked.join(values, [*keys, "other"], "left")
+
+def _along(x: Column, line: str, place: str, last: int, reach: int, keys: tuple[str, ...]) -> Column:
+    """Sum of x over the places within reach on a line of the grid, edge places standing for those beyond the edge."""
+    w = Window.partitionBy(*keys, line).orderBy(place)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before, after = F.greatest(reach - F.col(place), F.lit(0)), F.greatest(F.col(place) + reach - last, F.lit(0))
+    return F.sum(x).over(w.rowsBetween(-reach, reach)) + before * F.first(x).over(whole) + after * F.last(x).over(whole)
 
 
 def neighbourhood_mean(df: DataFrame, grid: Grid, value: str, size: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(keys, cell, mean) of the values there are in size x size cells around, edges replicated."""
-    r = size // 2
-    near = _offsets(df, grid, value, [(a, b) for a in range(-r, r + 1) for b in range(-r, r + 1)], keys)
-    return near.groupBy(*keys, "cell").agg((F.sum(F.coalesce("near", F.lit(0.0))) / F.greatest(F.count("near").cast("double"), F.lit(1e-6))).alias("mean"))
+    """(keys, cell, mean) of the values there are in size x size cells around, edges replicated.
+
+    Sums along rows, then along columns: two shuffles of one row a cell, whatever the size.
+    """
+    full = _complete(df, grid, value, keys).withColumns({"_s": F.coalesce(F.col(value).cast("double"), F.lit(0.0)), "_n": F.col(value).isNotNull().cast("double")})
+    for line, place, last in (("y", "x", grid.nx - 1), ("x", "y", grid.ny - 1)):
+        full = full.withColumns({c: _along(F.col(c), line, place, last, size // 2, keys) for c in ("_s", "_n")})
+    return full.where("here").select(*keys, "cell", (F.col("_s") / F.greatest("_n", F.lit(1e-6))).alias("mean"))
 
 
 def position_index(df: DataFrame, grid: Grid, value: str, size: int = 5) -> DataFrame:
@@ -106,9 +114,11 @@ def position_index(df: DataFrame, grid: Grid, value: str, size: int = 5) -> Data
 
 def curvature(df: DataFrame, grid: Grid, value: str) -> DataFrame:
     """(cell, curvature): sum of the four neighbours less four times the cell; a missing height counts as 0."""
-    near = _offsets(df, grid, value, [(-1, 0), (1, 0), (0, -1), (0, 1)], ())
-    total = near.groupBy("cell").agg(F.sum(F.coalesce("near", F.lit(0.0))).alias("sum"))
-    return df.join(total, "cell").select("cell", (F.col("sum") - 4 * F.coalesce(F.col(value), F.lit(0.0))).alias("curvature"))
+    full = _complete(df, grid, value, ()).withColumn("_s", F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
+    row, column = _along(F.col("_s"), "y", "x", grid.nx - 1, 1, ()), _along(F.col("_s"), "x", "y", grid.ny - 1, 1, ())
+    # Both sums hold the cell itself.
+    bend = F.col("_r") + F.col("_c") - 6 * F.col("_s")
+    return full.withColumn("_r", row).withColumn("_c", column).where("here").select("cell", bend.alias("curvature"))
 
 
 def regrid_weights(spark: SparkSession, xs: list[float], ys: list[float], targets: DataFrame) -> DataFrame:

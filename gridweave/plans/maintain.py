@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTLED_DAYS = 6
@@ -79,3 +80,38 @@ def due(now_minutes: float, last_run_minutes: float | None, lock_minutes: float
     """Whether a run may start: none runs (or its lock is stale), and the last one ended long enough ago."""
     locked = lock_minutes is not None and now_minutes - lock_minutes < stale
     return not locked and (last_run_minutes is None or now_minutes - last_run_minutes >= gap)
+
+
+class RunLock:
+    """A file in the store that one run holds: made only if it is not there, touched while the run lives.
+
+    A lock that was not touched for ``stale`` minutes belongs to a lost run and is taken over.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, stale: float = 180.0) -> None:
+        self.at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.store = self.at.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.stale = stale
+
+    def age(self) -> float | None:
+        """Minutes since the lock was touched, nothing without one."""
+        if not self.store.exists(self.at):
+            return None
+        return time.time() / 60 - self.store.getFileStatus(self.at).getModificationTime() / 60000
+
+    def claim(self) -> bool:
+        """Whether the lock is ours now."""
+        age = self.age()
+        if age is not None and age >= self.stale:
+            self.store.delete(self.at, False)
+        elif age is not None:
+            return False
+        # The file system makes the file for one caller only.
+        return bool(self.store.createNewFile(self.at))
+
+    def beat(self) -> None:
+        """Says that the run still lives."""
+        self.store.setTimes(self.at, int(time.time() * 1000), -1)
+
+    def release(self) -> None:
+        self.store.delete(self.at, False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -9,11 +11,12 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..operators import metrics
-from ..operators.sampling import order_of
+from ..operators.sampling import chronological, order_of
+from ..operators.windows import within_horizon
 from ..schema import group_of
 
 
@@ -82,6 +85,28 @@ def without_groups(train: DataFrame, val: DataFrame, features: list[str], label:
     return out
 
 
+def over_horizons(df: DataFrame, features: list[str], weather: list[str], horizons: list[int], w: WindowSpec, event: str = "is_fire", complement: bool = False, fit=logistic) -> list[tuple[int, int, float]]:
+    """(horizon, events on val, average precision): a model for each horizon, its weather that of the last day ahead."""
+    out = []
+    for h in horizons:
+        led = with_lead(df, weather, h, complement, w).withColumn("y", within_horizon(F.col(event) == 1, h, w)).where("y is not null")
+        kept = features + ([f"{f}_lead{h}" for f in weather] if complement else [])
+        # Fitting reads the rows many times, and they come out of windows.
+        data = chronological(led.select("day", *kept, "y")).persist()
+        val = data.where("part = 'val'")
+        found = scored(fit(data.where("part = 'train'"), kept), val, kept)
+        n = val.agg(F.sum("y")).first()[0] or 0
+        out.append((h, int(n), metrics.average_precision(found, "p", "y").first().ap))
+        data.unpersist()
+    return out
+
+
+def label_matrix(cube: DataFrame, labels: dict[str, Column], derive: Callable[[DataFrame], DataFrame], event: str = "is_fire") -> DataFrame:
+    """(label, rows of ``derive``): one matrix for each definition of an event, what depends on events made anew from it."""
+    parts = [derive(cube.withColumn(event, c)).select(F.lit(name).alias("label"), "*") for name, c in labels.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def searched(train: DataFrame, val: DataFrame, features: list[str], grid: dict[str, list], label: str = "y") -> tuple[dict, float]:
     """The setting with the best average precision on val, and that precision."""
     best: tuple[dict, float] = ({}, -1.0)

@@ -62,6 +62,14 @@ def tiers(df: DataFrame, p: str = "p", region: str = "region") -> DataFrame:
     return best.groupBy("tier").agg(F.concat_ws(", ", F.array_sort(F.collect_list(F.col(region).cast("string")))).alias("regions"), F.count("*").alias("n"))
 
 
+def riskiest(df: DataFrame, n: int = 5, p: str = "p", region: str = "region") -> DataFrame:
+    """(place, region, risk, tier) of the n regions with the greatest scores; ties by name."""
+    best = df.groupBy(region).agg(F.max(p).alias("risk"))
+    first = best.orderBy(F.desc("risk"), region).limit(n)
+    place = F.row_number().over(Window.orderBy(F.desc("risk"), region))
+    return first.select(place.alias("place"), F.col(region).alias("region"), "risk", S.risk_band(F.col("risk")).alias("tier"))
+
+
 def stretch(df: DataFrame, p: str = "p") -> DataFrame:
     """(p99): the 99th percentile of positive scores, interpolated."""
     return df.where(F.col(p) > 0).agg(F.percentile(p, F.lit(0.99)).alias("p99"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.nulls import nan_to_null
+from ..functions.projection import geostationary_inverse
 
 DETECTIONS = "latitude double, longitude double, acq_date date, confidence string"
 #: Longest gap between byte ranges that are read as one.
@@ -29,7 +30,39 @@ def bronze_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def detections(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=DETECTIONS, mode="DROPMALFORMED", enforceSchema=False)
+    """Rows of the detections feed; lines that do not fit are in ``refused``, and a feed that answers with a text fails."""
+    return _feed(spark, path).where("_bad is null").drop("_bad")
+
+
+def refused(spark: SparkSession, path: str) -> DataFrame:
+    """(line): what of the detections feed is no detection."""
+    return _feed(spark, path).where("_bad is not null").select(F.col("_bad").alias("line"))
+
+
+def _feed(spark: SparkSession, path: str) -> DataFrame:
+    names = [c.split()[0] for c in DETECTIONS.split(", ")]
+    # Files hold a header each; a service that refuses a request sends its reason instead.
+    head = spark.read.text(path).limit(1).collect()
+    if head and not set(names[:2]) <= {c.strip().lower() for c in head[0].value.split(",")}:
+        raise ValueError(f"no detections: {head[0].value[:200]}")
+    columns = [c.strip() for c in head[0].value.split(",")] if head else names
+    kinds = dict(c.split() for c in DETECTIONS.split(", "))
+    schema = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in columns) + ", _bad string"
+    lines = spark.read.text(path).where(F.col("value") != (head[0].value if head else ""))
+    # As an expression, so that what a line is does not depend on the columns that are asked for.
+    rows = lines.select(F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("d"))
+    return rows.select(*[F.col(f"d.{c}").alias(c) for c in names if c in columns], "d._bad")
+
+
+# Classes of the geostationary product that are fires.
+FIRE_CLASSES = (1, 2, 3)
+
+
+def granule_fires(pixels: DataFrame, kind: str = "fire_result", x: str = "x", y: str = "y") -> DataFrame:
+    """(longitude, latitude) of a granule's pixels of the fire classes, from their scan angles; those off the disk are left out."""
+    lon, lat = geostationary_inverse(F.col(x), F.col(y))
+    other = [c for c in pixels.columns if c not in (kind, x, y, "longitude", "latitude")]
+    return pixels.where(F.col(kind).isin(*FIRE_CLASSES)).select(*other, lon.alias("longitude"), lat.alias("latitude")).where("longitude is not null")
 
 
 def confident(df: DataFrame, column: str = "confidence", levels: tuple[str, ...] = ("n", "h")) -> DataFrame:

@@ -81,3 +81,9 @@ def publish(spark: SparkSession, path: str, manifest: dict) -> None:
 
 def manifest(spark: SparkSession, path: str) -> dict | None:
     return json.loads("\n".join(r.value for r in spark.read.text(path).collect())) if exists(spark, path) else None
+
+
+def manifest_if_newer(spark: SparkSession, path: str, seen: str | None, version: str = "version") -> dict | None:
+    """The manifest if its version differs from the one seen last; nothing otherwise."""
+    found = manifest(spark, path)
+    return found if found is not None and found.get(version) != seen else None
