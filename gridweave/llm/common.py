@@ -14,6 +14,9 @@ from pyspark.sql.types import StructType
 from ..sources.sinks import shared_dir
 from . import textvec as tv
 
+#: Tables of some numbers a row may be sent to all tasks up to this size.
+BROADCAST_ROWS = 500_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,6 +50,11 @@ def removed(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def few(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """df, sent to all tasks if a count proves that it has at most ``bound`` rows; else it is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= bound else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
