@@ -116,8 +116,9 @@ class Search:
 
     An entry says that some class with so much room holds a piece (or two pieces)
     of so much in all, or that any class has so much room; it is numbered when it
-    comes up, and a class that found no exchange is only tried against entries
-    that are newer.
+    comes up and anew when a second class holds it (until then it is none for its
+    own holder).  A class that found no exchange is only tried against entries that
+    are newer, and against all once it has a second bin, which the first can use.
     """
 
     def __init__(self, bins: dict[Pattern, int], capacity: int):
@@ -146,12 +147,16 @@ class Search:
             self.full[pattern] = self.full.get(pattern, 0) + n
             return
         if pattern in self.open:
+            if self.open[pattern] == 1:  # from now on it is a target of its own
+                self.tried.pop(pattern, None)
             self.open[pattern] += n
             return
         self.open[pattern] = n
         for key in self.entries(pattern):
             held = self.holders.setdefault(key, {})
-            if not held:
+            if len(held) < 2:  # a second holder is a target for the first one
+                if held:
+                    self.live[self.number[key]] = False
                 k = self.number[key] = len(self.keys)
                 if k == len(self.live):
                     self.table = np.hstack([self.table, np.zeros_like(self.table)])

@@ -319,6 +319,18 @@ def improving(bins, capacity):
     return None
 
 
+def test_local_search_finds_exchanges_of_grown_classes_and_entries():
+    """Where a further bin of a known class, or a second holder of a known entry, makes the exchange."""
+    pieces = {12: 4, 20: 3, 11: 3, 13: 1, 17: 2, 18: 2, 16: 3, 10: 2, 19: 1, 15: 1, 7: 1}
+    assert sum(packing.improve(packing.best_fit(pieces, 40), 40).values()) == 9
+    rng = np.random.default_rng(17)
+    for _ in range(1500):
+        capacity = int(rng.integers(20, 60))
+        sizes, counts = np.unique(rng.integers(capacity // 6, capacity // 2 + 3, int(rng.integers(5, 40))), return_counts=True)
+        after = packing.improve(packing.best_fit(dict(zip(sizes.tolist(), counts.tolist(), strict=True)), capacity), capacity)
+        assert sum(after.values()) == -(-int(sizes @ counts) // capacity) or improving(after, capacity) is None
+
+
 def test_local_search_stops_where_nothing_improves():
     for seed in range(25):
         rng = np.random.default_rng(seed)
