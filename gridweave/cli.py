@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import uuid
 from datetime import date
 
 from pyspark.ml import PipelineModel
@@ -18,7 +19,7 @@ from .grid import KILOMETRE, SERVED_FACTOR, Grid
 from .operators import metrics, sampling, spatial
 from .plans import features, maintain, model, serving
 from .schema import FEATURES, WEATHER, chosen, present
-from .sources import readers, sinks
+from .sources import readers, sinks, snapshots
 
 
 def session(name: str = "gridweave") -> SparkSession:
@@ -51,25 +52,63 @@ def coarsen(spark, a):
     sinks.replace_days(spatial.block_pool(df, grid_of(a.grid), a.factor, values), a.target)
 
 
+def _carried(spark, target: str, last: str) -> bool:
+    """Whether the stored state is of the built days up to ``last``."""
+    store = snapshots.Snapshots(spark, f"{target}_carried")
+    row = store.read().first() if store.versions() else None
+    return row is not None and str(row.upto) == last
+
+
+def _keep(spark, target: str, last, carried, seen) -> None:
+    """Stores state and moments with the day that they are of, as new versions; moments first, so that the state names what is complete."""
+    upto = F.lit(str(last)).cast("date").alias("upto")
+    for name, df, keys in (("moments", seen, ["cell", "_doy"]), ("carried", carried, ["cell"])):
+        store = snapshots.Snapshots(spark, f"{target}_{name}")
+        store.create(df.select("*", upto), keys)
+        store.vacuum(2)
+
+
 def build(spark, a):
-    """All engineered features of a cube, and the state that an edge goes on from."""
+    """All engineered features of a cube, and what an edge goes on from."""
     guarded(a.target, a.overwrite, spark)
     cube = readers.cube(spark, a.source)
     annual = features.annual_rain(cube)
-    sinks.replace_days(features.engineered(cube, grid_of(a.grid), annual), a.target)
+    land = None
+    if a.static:
+        features.terrain(spark.read.parquet(a.static), grid_of(a.grid)).write.mode("overwrite").parquet(f"{a.target}_land")
+        land = spark.read.parquet(f"{a.target}_land")
+    sinks.replace_days(features.engineered(cube, grid_of(a.grid), annual, land), a.target)
     annual.write.mode("overwrite").parquet(f"{a.target}_annual")
+    done = spark.read.parquet(a.target).withColumn("day", F.col("day").cast("date"))
+    last = done.agg(F.max("day")).first()[0]
+    _keep(spark, a.target, last, features.state(done, str(last)), features.moments(done))
 
 
 def edge(spark, a):
-    """New days of a cube, appended with features equal to the whole build's."""
+    """New days of a cube, a year at a time, appended with features equal to the whole build's."""
     done = spark.read.parquet(a.target).withColumn("day", F.col("day").cast("date"))
     last = done.agg(F.max("day")).first()[0]
     cube = readers.cube(spark, a.source, last=a.to)
     if a.dry_run:
         print(json.dumps({"last": str(last), "new": cube.where(F.col("day") > F.lit(last)).select("day").distinct().count()}))
         return
-    carried = features.state(done, str(last))
-    sinks.append_new(features.edge(cube, grid_of(a.grid), str(last), spark.read.parquet(f"{a.target}_annual"), carried, features.moments(done)), a.target)
+    if _carried(spark, a.target, str(last)):
+        carried, seen = (snapshots.Snapshots(spark, f"{a.target}_{name}").read().where(F.col("upto") == F.lit(last)).drop("upto") for name in ("carried", "moments"))
+    else:  # a run was lost between rows and state: once from all built days
+        carried, seen = features.state(done, str(last)), features.moments(done)
+    land = spark.read.parquet(f"{a.target}_land") if sinks.exists(spark, f"{a.target}_land") else None
+    work = f"{a.target}_work/{uuid.uuid4().hex}"
+
+    def kept(df):
+        at = f"{work}/{uuid.uuid4().hex}"
+        df.write.parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
+    for upto, new, carried, seen in features.edges(cube, grid_of(a.grid), last, spark.read.parquet(f"{a.target}_annual"), carried, seen, kept, land=land):
+        sinks.append_new(new, a.target)
+        _keep(spark, a.target, upto, carried, seen)
+    at = spark._jvm.org.apache.hadoop.fs.Path(work)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def update(spark, a):
@@ -145,7 +184,7 @@ def serve(spark, a):
 JOBS = {
     "append": (append, {"source": {}, "target": {}, "--end": {}}),
     "coarsen": (coarsen, {"source": {}, "target": {}, "--factor": {"type": int, "default": SERVED_FACTOR}, "--grid": {}, "--overwrite": {"action": "store_true"}}),
-    "build": (build, {"source": {}, "target": {}, "--grid": {}, "--overwrite": {"action": "store_true"}}),
+    "build": (build, {"source": {}, "target": {}, "--grid": {}, "--static": {}, "--overwrite": {"action": "store_true"}}),
     "edge": (edge, {"source": {}, "target": {}, "--grid": {}, "--to": {}, "--dry-run": {"action": "store_true"}}),
     "update": (update, {"source": {}, "--today": {"required": True}, "--lag": {"type": int, "default": maintain.SETTLED_DAYS}}),
     "rechunk": (rechunk, {"source": {}, "target": {}, "--files": {"type": int, "default": 64}}),

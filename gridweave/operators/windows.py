@@ -12,8 +12,9 @@ def along(cell: str = "cell", day: str = "day") -> WindowSpec:
     return Window.partitionBy(cell).orderBy(day)
 
 
-#: Sums are of whole multiples of 1 / SCALE, so that differences of running sums are exact.
-SCALE = 1 << 30
+#: Doubles are summed as whole multiples of these units, each of what the one before leaves, so that differences of
+#: running sums are exact whatever came before.  Totals may reach 2**103; what a value has below 2**-80 is cut.
+UNITS = (2.0**40, 1.0, 2.0**-40, 2.0**-80)
 
 
 def _so_far(w: WindowSpec, back: int = 0) -> WindowSpec:
@@ -28,31 +29,41 @@ def _within(f: Column, n: int, w: WindowSpec) -> Column:
     return F.coalesce(f.over(_so_far(w)), F.lit(0)) - F.coalesce(f.over(_so_far(w, n)), F.lit(0))
 
 
-def _sum(x: Column, n: int, w: WindowSpec, scale: int | None) -> Column:
-    if scale is None:
+def _finite(x: Column) -> Column:
+    """x as a double, missing if it is NaN or infinite."""
+    x = x.cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
+
+
+def _sum(x: Column, n: int, w: WindowSpec, whole: bool) -> Column:
+    if whole:
         return _within(F.sum(x), n, w)
-    return _within(F.sum(F.round(x * scale).cast("long")), n, w) / F.lit(float(scale))
+    out = F.lit(0.0)
+    for unit in UNITS:
+        out = out + _within(F.sum((x / unit).cast("long")), n, w) * F.lit(unit)
+        x = x % F.lit(unit)
+    return out
 
 
-def trailing_sum(x: Column, n: int, w: WindowSpec, scale: int | None = SCALE) -> Column:
-    """Sum of the last n rows, or of those there are; missing values are skipped.
+def trailing_sum(x: Column, n: int, w: WindowSpec, whole: bool = False) -> Column:
+    """Sum of the last n rows, or of those there are; missing values, NaN and infinite ones are skipped.
 
-    Values are rounded to whole multiples of 1 / scale and running sums must stay
-    below 2**63 / scale; whole numbers are summed as they are with ``scale=None``.
+    ``whole``: x is a whole number and is summed as it is.
     """
-    return F.when(_within(F.count(x), n, w) > 0, _sum(x, n, w, scale))
+    x = x if whole else _finite(x)
+    return F.when(_within(F.count(x), n, w) > 0, _sum(x, n, w, whole))
 
 
-def strict_sum(x: Column, n: int, w: WindowSpec, complete: bool = False, scale: int | None = SCALE) -> Column:
+def strict_sum(x: Column, n: int, w: WindowSpec, complete: bool = False, whole: bool = False) -> Column:
     """As trailing_sum, but missing before n rows; ``complete``: also where a row of the window is missing."""
-    whole = _within(F.count(x), n, w) == n if complete else F.row_number().over(w) >= n
-    return F.when(whole, trailing_sum(x, n, w, scale))
+    there = _within(F.count(x if whole else _finite(x)), n, w) == n if complete else F.row_number().over(w) >= n
+    return F.when(there, trailing_sum(x, n, w, whole))
 
 
-def poisoned_sum(x: Column, n: int, w: WindowSpec, scale: int | None = SCALE) -> Column:
+def poisoned_sum(x: Column, n: int, w: WindowSpec, whole: bool = False) -> Column:
     """As strict_sum, but missing from a cell's first missing value on, as differences of a running sum are."""
     row = F.row_number().over(w)
-    return F.when((row >= n) & (F.count(x).over(_so_far(w)) == row), trailing_sum(x, n, w, scale))
+    return F.when((row >= n) & (F.count(x if whole else _finite(x)).over(_so_far(w)) == row), trailing_sum(x, n, w, whole))
 
 
 def run_length(condition: Column, w: WindowSpec) -> Column:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans import features, maintain, serving
-from ..sources import readers, sinks
+from ..sources import readers, sinks, snapshots
 from ..streaming import jobs
 from .base import ECUBE, LCUBE, WIDE, ecube, events, lcube, plot, query, r, rounded, table
 from .windows import DRY
@@ -131,12 +131,58 @@ def edge_equals_batch(spark, sf):
     cut = "2024-01-20"
     done = whole.where(F.col("day") <= F.lit(cut).cast("date"))
     new = features.edge(cube, grid, cut, annual, features.state(done, cut), features.moments(done))
+    return _compared(new, whole, "precip_sum_7d")
+
+
+def _compared(new, whole, total: str):
+    """Rows of both, a sum, and whether all of their features are equal."""
     both = new.alias("a").join(whole.alias("b"), ["cell", "day"])
-    equal = lambda c, t: F.coalesce(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) < 1e-9, F.col(f"a.{c}").isNull() & F.col(f"b.{c}").isNull()) if t == "double" else F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    equal = lambda c, t: F.coalesce(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) < 1e-8, F.col(f"a.{c}").isNull() & F.col(f"b.{c}").isNull()) if t == "double" else F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     same = F.lit(True)
     for c, t in new.dtypes:
         same = same & equal(c, t) if c not in ("cell", "day") else same
-    return both.select("cell", "day", r("a.precip_sum_7d").alias("total"), same.alias("same"))
+    return both.select("cell", "day", r(f"a.{total}").alias("total"), same.alias("same"))
+
+
+def _years(spark, sf):
+    """A cube with all raw variables of the feature chain over the seven years of the L-cube."""
+    c = lcube(spark, sf).withColumn("m", F.coalesce("rain", F.lit(0.0)))
+    k, d = F.pmod("cell", F.lit(7)), F.dayofyear("day")
+    wave = F.pmod(F.col("cell") * 7 + d, F.lit(20)) / 50
+    return c.select("day", "cell", (F.col("m") > 45).cast("int").alias("is_fire"), (F.col("rain") / 2400).alias("total_precipitation_mean"), (F.col("tmax") + k).alias("t2m_max"), (60 - F.col("m") / 5).alias("RH_min"), (k / 2 + wave).alias("wind_speed_max"), (k - 3).cast("double").alias("wind_u_mean"), (3 - k).cast("double").alias("wind_v_mean"), (0.3 + wave + F.col("m") / 500).alias("NDVI"), (1 + wave).alias("LAI"))
+
+
+@query(f"WITH {LCUBE}, t AS (SELECT cell, day, sum(rain / 2400) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN 364 PRECEDING AND CURRENT ROW) AS total FROM lcube) SELECT cell, day, round(total, 6) + 0.0 AS total, true AS same FROM t WHERE day > (SELECT max(day) FROM lcube) - 546")
+def edge_over_years(spark, sf):
+    """A year and a half of new days on five built years, in two edges, and whether all features equal the whole run's."""
+    cube = _years(spark, sf)
+    grid, annual = plot(cube, WIDE), features.annual_rain(cube)
+    at = f"{sinks.shared_dir(spark)}/streams/edges-{uuid.uuid4().hex}"
+
+    def kept(df):
+        path = f"{at}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    whole = kept(features.engineered(cube, grid, annual))
+    cut = cube.agg(F.date_sub(F.max("day"), 546).alias("cut")).first().cut
+    done = whole.where(F.col("day") <= F.lit(cut))
+    new = None
+    for _, rows, _, _ in features.edges(cube, grid, cut, annual, features.state(done, str(cut)), features.moments(done), kept):
+        new = rows if new is None else new.unionByName(rows)
+    return _compared(new, whole, "precip_sum_365d")
+
+
+@query(f"WITH {LCUBE} SELECT cell, day, rain AS before, coalesce(rain, 0.0::DOUBLE) AS after, round(tmax, 6) + 0.0 AS tmax, round(tmax - 18, 6) + 0.0 AS heat, 3::BIGINT AS version FROM lcube")
+def column_replace(spark, sf):
+    """A version of a table before and after one of its columns was replaced and another added, each written alone."""
+    store = snapshots.Snapshots(spark, f"{sinks.shared_dir(spark)}/streams/table-{uuid.uuid4().hex}")
+    store.create(lcube(spark, sf), ["cell", "day"])
+    old = store.read(["rain"])  # held while others write
+    store.put(store.read(["rain"]).withColumn("rain", F.coalesce("rain", F.lit(0.0))))
+    version = store.put(store.read(["tmax"]).select("cell", "day", (F.col("tmax") - 18).alias("heat")))
+    new = store.read().withColumnRenamed("rain", "after")
+    return new.join(old.withColumnRenamed("rain", "before"), ["cell", "day"]).select("cell", "day", "before", "after", r("tmax").alias("tmax"), r("heat").alias("heat"), F.lit(version).cast("long").alias("version"))
 
 
 @query()

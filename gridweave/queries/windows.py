@@ -55,7 +55,7 @@ def seeded_counter(spark, sf):
 
 @query(f"WITH {ECUBE} SELECT cell, day, CASE WHEN row_number() OVER ({_W}) >= 10 THEN CAST(sum(is_fire) OVER ({_W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS BIGINT) END AS n FROM ecube")
 def event_frequency(spark, sf):
-    return ecube(spark, sf).select("cell", "day", W.strict_sum(F.col("is_fire"), 10, W.along(), scale=None).alias("n"))
+    return ecube(spark, sf).select("cell", "day", W.strict_sum(F.col("is_fire"), 10, W.along(), whole=True).alias("n"))
 
 
 @query(f"WITH {LCUBE}, z AS (SELECT *, dayofyear(day) AS doy FROM lcube) SELECT cell, day, CASE WHEN rain IS NOT NULL THEN round(least(greatest((rain - avg(rain) OVER w) / (stddev_pop(rain) OVER w + 1e-6), -10), 10), 6) + 0.0 END AS z FROM z WINDOW w AS (PARTITION BY cell, doy)")

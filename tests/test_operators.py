@@ -1,5 +1,6 @@
 """Operators against plain loops, and properties that hold for any input."""
 
+import uuid
 from datetime import date, timedelta
 
 import numpy as np
@@ -290,26 +291,52 @@ def test_sources(spark, tmp_path):
     assert cells.count() == 2
 
 
-def test_edge_equals_whole_chain(spark, small):
+def test_edge_equals_whole_chain(spark, tmp_path):
     # Two years and a month without gaps, so that there are earlier occurrences and windows reach to the tail's end.
     days = spark.sql("select explode(sequence(date'2022-01-01', date'2024-01-27')) as day").join(spark.range(4).select(F.col("id").cast("int").alias("cell")))
     u = lambda k: F.pmod(F.xxhash64("day", "cell", F.lit(k)), F.lit(1000)) / 1000.0
     raw = {"is_fire": (u(0) < 0.05).cast("int"), "total_precipitation_mean": F.when(u(1) > 0.1, u(1) / 50), "t2m_max": 15 + 20 * u(2), "RH_min": 60 * u(3), "wind_speed_max": 9 * u(4), "wind_u_mean": u(5) - 0.5, "wind_v_mean": u(6) - 0.5, "NDVI": u(7), "LAI": 3 * u(8)}
     cube = days.withColumns(raw).cache()
     annual = features.annual_rain(cube)
-    whole = features.engineered(cube, base.WIDE, annual).cache()
-    cut = "2024-01-20"
-    done = whole.where(F.col("day") <= F.lit(cut).cast("date"))
-    new = features.edge(cube, base.WIDE, cut, annual, features.state(done, cut), features.moments(done))
+    layers = {"elevation_mean": 100.0 * F.col("cell"), "CLC_2018_artificial_proportion": (F.col("cell") == 2).cast("double"), "slope_mean": F.lit(3.0), "region": F.lit(13), **{f"aspect_{k}": F.lit(k / 36) for k in range(1, 9)}}
+    land = features.terrain(spark.range(4).select(F.col("id").cast("int").alias("cell")).withColumns(layers), base.WIDE).cache()
+    whole = features.engineered(cube, base.WIDE, annual, land).cache()
+    # 546 days: two edges, of which the second goes on from what the first one leaves.
+    cut, last = date(2022, 7, 30), date(2024, 1, 27)
+    done = whole.where(F.col("day") <= F.lit(cut))
+    with pytest.raises(ValueError, match="a year at a time"):
+        features.edge(cube, base.WIDE, str(cut), annual, features.state(done, str(cut)), features.moments(done))
+
+    def kept(df):
+        at = str(tmp_path / uuid.uuid4().hex)
+        df.write.parquet(at)
+        return spark.read.parquet(at)
+
+    steps = list(features.edges(cube, base.WIDE, cut, annual, features.state(done, str(cut)), features.moments(done), kept, land=land))
+    assert [s[0] for s in steps] == [cut + timedelta(365), last]
+    new = steps[0][1].unionByName(steps[1][1])
     names = sorted(set(whole.columns))
-    assert sorted(new.columns) == names
-    a = {(r.cell, r.day): r for r in whole.where(F.col("day") > F.lit(cut).cast("date")).collect()}
+    assert sorted(new.columns) == names and {"hli", "dist_to_urban", "is_holiday_regional_tp1"} <= set(names)
+    a = {(r.cell, r.day): r for r in whole.where(F.col("day") > F.lit(cut)).collect()}
     b = {(r.cell, r.day): r for r in new.collect()}
-    assert a.keys() == b.keys() and a
+    assert a.keys() == b.keys() and len(a) == 4 * 546
     for at, row in a.items():
         for n in names:
-            assert b[at][n] == (pytest.approx(row[n], abs=1e-9) if isinstance(row[n], float) else row[n]), n
-    assert any(r.ndvi_anomaly is not None for r in b.values())
+            assert b[at][n] == (pytest.approx(row[n], abs=1e-8) if isinstance(row[n], float) else row[n]), n
+    assert any(r.ndvi_anomaly is not None for r in b.values()) and {r.is_holiday_national for r in b.values()} == {0, 1}
+    state = {r.cell: (r.q0, r.since0) for r in steps[1][2].collect()}
+    for c, (q0, since) in state.items():  # a day without rain has no index and leaves the state
+        index = a[c, last].kbdi
+        assert (q0 > 0 if index is None else q0 == pytest.approx(index)) and since == a[c, last].time_since_last_fire
+
+
+def test_state_of_a_cell_without_an_index_for_years(spark):
+    rows = [(1, date(2020, 1, 1), 50.0, 3.0, 7), (1, date(2023, 1, 1), None, None, 9), (2, date(2023, 1, 1), 5.0, 1.0, 1)]
+    built = spark.createDataFrame(rows, "cell int, day date, kbdi double, kbdi_wet double, time_since_last_fire int")
+    assert {r.cell: (r.q0, r.wet0, r.since0) for r in features.state(built, "2023-01-01").collect()} == {1: (50.0, 3.0, 9), 2: (5.0, 1.0, 1)}
+    new = spark.createDataFrame([(2, date(2024, 1, 1), 6.0, 0.0, 2), (3, date(2024, 1, 1), 7.0, 0.0, 0)], built.schema)
+    after = features.state(new, "2024-01-01", features.state(built, "2023-01-01"))
+    assert {r.cell: (r.q0, r.since0) for r in after.collect()} == {1: (50.0, 9), 2: (6.0, 2), 3: (7.0, 0)}
 
 
 def test_departures_without_a_bound(spark):
@@ -334,6 +361,16 @@ def test_running_sums_equal_plain_ones(spark):
         assert r.c == (pytest.approx(sum(two), abs=1e-8) if len(two) == 2 and None not in two else None)
 
 
+def test_running_sums_of_any_size(spark):
+    w, nan, inf = W.along(), float("nan"), float("inf")
+    total = lambda values, n=365: column(series(spark, values).withColumn("y", W.trailing_sum(F.col("x"), n, w)), "y")
+    assert total([1e-10, 2e-10, 3e-10]) == pytest.approx([1e-10, 3e-10, 6e-10], rel=1e-12)
+    assert total([1.0, nan, inf, -2.5], 2) == [1.0, 1.0, None, -2.5]
+    assert total([1e25, 1e-5, -7e-5, 4e-5], 2) == pytest.approx([1e25, 1e25, -6e-5, -3e-5])
+    long = spark.range(12000).select(F.lit(1).alias("cell"), F.col("id").alias("day"), F.lit(9e5).alias("x"))
+    assert long.select(W.trailing_sum(F.col("x"), 365, w).alias("y")).agg(F.max("y")).first()[0] == 365 * 9e5
+
+
 def test_hills_and_areas_of_a_ridge(spark):
     height = np.zeros((9, 20))
     height[4, 2:18] = 1
