@@ -97,7 +97,8 @@ class Tree:
         k = len(entries)
         norm = (entries * entries).sum(1)
         chosen = np.zeros(len(self.points), np.int64)
-        counts, sums, at_once = np.zeros(k, np.int64), np.zeros_like(entries), 0
+        single = np.zeros(len(self.points), bool)  # assigned one by one
+        counts, sums = np.zeros(k, np.int64), np.zeros_like(entries)
         node, entry = np.zeros(k, np.int64), np.arange(k)
         while len(node):
             start = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
@@ -120,21 +121,24 @@ class Tree:
                 chosen[a:b] = one
                 counts[one] += b - a
                 sums[one] += self.total[node[at]]
-                at_once += int(b - a)
             leaf = self.left[node[start]] < 0
             for at, m in zip(start[(size > 1) & leaf], size[(size > 1) & leaf], strict=True):
                 a, b, some = self.first[node[at]], self.last[node[at]], entry[at : at + m]
                 held = self.points[a:b]
                 best = some[(norm[some] - 2 * (held @ entries[some].T)).argmin(1)]
                 chosen[a:b] = best
-                np.add.at(counts, best, 1)
-                np.add.at(sums, best, held)
+                single[a:b] = True
             down = np.repeat((size > 1) & ~leaf, size)
             child, entry = self.left[node[down]], np.tile(entry[down], 2)
             node = np.append(child, child + 1)
             by = np.argsort(node, kind="stable")
             node, entry = node[by].astype(np.int64), entry[by]
-        return chosen, counts, sums, at_once
+        by = np.argsort(chosen[single], kind="stable")
+        some, first = np.unique(chosen[single][by], return_index=True)
+        if len(some):
+            counts[some] += np.diff(np.append(first, len(by)))
+            sums[some] += np.add.reduceat(self.points[single][by], first, 0)
+        return chosen, counts, sums, len(single) - int(single.sum())
 
 
 def bound(d: int) -> int:
