@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,50 +37,112 @@ def rasterized(points: DataFrame, grid: Grid, lon: str = "longitude", lat: str =
     return points.select(F.col(day).alias("day"), grid.located(F.col(lon), F.col(lat)).alias("cell")).where("cell is not null").distinct().withColumn("is_fire", F.lit(1))
 
 
+def _changes(columns: list[pa.ChunkedArray]) -> np.ndarray:
+    """Where a row differs from the one before in any column; missing values are equal to each other."""
+    n = len(columns[0])
+    out = np.ones(n, bool)
+    if n > 1:
+        out[1:] = False
+        for c in columns:
+            a, b = c.slice(1), c.slice(0, n - 1)
+            same = pc.if_else(pc.is_null(a), pc.is_null(b), pc.fill_null(pc.equal(a, b), False))
+            out[1:] |= ~same.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Whole groups of sorted rows as tables of some batches' size: the last group of a batch waits for the next one."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        kept.append(batch)
+        table = pa.Table.from_batches(kept)
+        last = int(np.flatnonzero(_changes([table.column(k) for k in keys]))[-1]) if len(table) else 0
+        if last:
+            yield table.slice(0, last)
+            kept = table.slice(last).combine_chunks().to_batches()
+    if kept and (table := pa.Table.from_batches(kept)).num_rows:
+        yield table
+
+
+def _served(x: list[int], height: list[int], place: list[int], nx: int) -> tuple[list[int], list[int]]:
+    """Which site serves each place of a row: (sites, first place of each), for sites from left to right at squared heights.
+
+    The lower envelope of their parabolas, in whole numbers; of equal distances
+    the site of the least ``place`` serves.
+    """
+    found: list[int] = []
+    first: list[int] = []
+    for k in range(len(x)):
+        start = 0
+        while found:
+            j = found[-1]
+            ahead, twice = x[k] * x[k] + height[k] - x[j] * x[j] - height[j], 2 * (x[k] - x[j])
+            start = -(-ahead // twice)
+            start += start * twice == ahead and place[k] > place[j]
+            if start > first[-1]:
+                break
+            found.pop()
+            first.pop()
+        if not found:
+            start = 0
+        if start < nx:
+            found.append(k)
+            first.append(start)
+    return found, first
+
+
 def nearest_events(df: DataFrame, grid: Grid, event: str = "is_fire", u: str = "wind_u", v: str = "wind_v", keys: tuple[str, ...] = ("day",), none_km: float | None = None) -> DataFrame:
     """(keys, cell, dist_km, exposure, nearest): exact distance to the nearest event cell, of ties the smallest cell.
 
     Exposure is the wind's component along the way from the event over the
     squared distance: 0 on an event, missing without wind.  Without any event
     the distance is the grid's diagonal (or ``none_km``) and the exposure 0.
-    A day's cells are one group, bounded by the grid; the transform is separable
-    (nearest row within each column, then along each row), not all pairs.
+
+    Along columns first: an event serves the rows that are nearer to it than to the
+    next event of its column, by a window over events.  Then along rows: the
+    sites that serve a row, at most one a column, and the row's cells meet in a
+    group, where the lower envelope of the sites' parabolas tells each cell's
+    nearest.  So no group is larger than a row of the grid and its cells.
     """
     far = grid.diagonal_km() if none_km is None else none_km
-    kept = df.select(*keys, F.col("cell").cast("int").alias("cell"), F.coalesce(F.col(event).cast("int"), F.lit(0)).alias("e"), F.col(u).cast("double").alias("u"), F.col(v).cast("double").alias("v"))
-    ny, nx, km = grid.ny, grid.nx, abs(grid.dx) / 1000
-
-    def transform(table: pa.Table) -> pa.Table:
-        cell = table.column("cell").to_numpy()
-        wind_u, wind_v = (table.column(n).to_numpy(zero_copy_only=False).astype(float) for n in "uv")
-        events = np.zeros((ny, nx), bool)
-        events.flat[cell[table.column("e").to_numpy() > 0]] = True
-        head = {k: table.column(k) for k in keys}
-        if not events.any():
-            calm = np.zeros(len(cell))
-            return pa.table({**head, "cell": cell, "dist_km": np.full(len(cell), far), "exposure": calm, "nearest": pa.nulls(len(cell), pa.int32())})
-        rows = np.arange(ny)[:, None]
-        above = np.maximum.accumulate(np.where(events, rows, -(10**6)), 0)
-        below = np.minimum.accumulate(np.where(events, rows, 10**6)[::-1], 0)[::-1]
-        row = np.where(rows - above <= below - rows, above, below)  # ties: the upper row, a smaller cell
-        gap = (rows - row).astype(np.int64) ** 2
-        y, x = np.divmod(cell, nx)
-        best = np.full(len(cell), np.iinfo(np.int64).max)
-        place = np.full(len(cell), -1, np.int64)
-        for c in np.flatnonzero(events.any(0)).tolist():
-            away = gap[y, c] + (x - c).astype(np.int64) ** 2
-            at = row[y, c].astype(np.int64) * nx + c
-            better = (away < best) | ((away == best) & (at < place))
-            best[better], place[better] = away[better], at[better]
-        ey, ex = np.divmod(place, nx)
-        east, north = (x - ex) * grid.dx, (y - ey) * grid.dy
-        square = best * (km * 1000) ** 2
-        exposure = np.where(best > 0, (wind_u * east + wind_v * north) / np.maximum(square, 1), 0.0)
-        return pa.table({**head, "cell": cell, "dist_km": np.sqrt(best) * km, "exposure": pa.array(exposure, mask=np.isnan(exposure)), "nearest": place.astype(np.int32)})
+    nx, step, km = grid.nx, (grid.dx, grid.dy), abs(grid.dx) / 1000
+    cell = F.col("cell").cast("int")
+    kept = df.where("cell is not null").select(*keys, cell.alias("cell"), grid.row(cell).cast("int").alias("_y"), grid.column(cell).cast("int").alias("_x"), F.coalesce(F.col(event).cast("int"), F.lit(0)).alias("_e"), F.col(u).cast("double").alias("u"), F.col(v).cast("double").alias("v"))
+    along = Window.partitionBy(*keys, "_x").orderBy("_y")
+    events = kept.where("_e > 0").select(*keys, "_x", "_y").distinct()
+    # Of two events as near, the upper one, which is the smaller cell.
+    since, until = F.coalesce(F.floor((F.lag("_y").over(along) + F.col("_y")) / 2) + 1, F.lit(0)), F.coalesce(F.floor((F.lead("_y").over(along) + F.col("_y")) / 2), F.lit(grid.ny - 1))
+    spans = events.select(*keys, "_x", F.col("_y").alias("_at"), since.cast("int").alias("_a"), until.cast("int").alias("_b")).where("_a <= _b")
+    nothing = F.lit(None).cast("double")
+    sites = spans.select(*keys, F.explode(F.sequence("_a", "_b")).alias("_y"), F.lit(0).alias("_kind"), "_x", "_at", F.lit(-1).alias("cell"), nothing.alias("u"), nothing.alias("v"))
+    cells = kept.select(*keys, "_y", F.lit(1).alias("_kind"), "_x", F.lit(-1).alias("_at"), "cell", "u", "v")
+
+    def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, [*keys, "_y"]):
+            kind, x, at, y, number = (table.column(n).to_numpy() for n in ("_kind", "_x", "_at", "_y", "cell"))
+            start = np.flatnonzero(_changes([table.column(k) for k in [*keys, "_y"]]))
+            place = np.full(len(table), -1, np.int64)
+            for a, b in zip(start.tolist(), [*start[1:].tolist(), len(table)], strict=True):
+                m = a + int(np.searchsorted(kind[a:b], 1))  # sites come first, from left to right
+                if m > a:
+                    own = at[a:m].astype(np.int64) * nx + x[a:m]
+                    found, first = _served(x[a:m].tolist(), ((at[a:m].astype(np.int64) - y[a]) ** 2).tolist(), own.tolist(), nx)
+                    place[m:b] = own[np.array(found)[np.searchsorted(first, x[m:b], "right") - 1]]
+            here = kind == 1
+            rows, place, x, y = table.filter(pa.array(here)), place[here], x[here].astype(np.int64), y[here].astype(np.int64)
+            ey, ex = np.divmod(place, nx)
+            square = np.where(place >= 0, (x - ex) ** 2 + (y - ey) ** 2, 0)
+            wind_u, wind_v = (rows.column(n).to_numpy(zero_copy_only=False).astype(float) for n in "uv")
+            toward = wind_u * (x - ex) * step[0] + wind_v * (y - ey) * step[1]
+            exposure = np.where(square > 0, toward / np.maximum(square * (km * 1000) ** 2, 1), 0.0)
+            distance = np.where(place >= 0, np.sqrt(square) * km, far)
+            new = [pa.array(number[here]), pa.array(distance), pa.array(exposure, mask=np.isnan(exposure)), pa.array(place.astype(np.int32), mask=place < 0)]
+            yield from pa.table([*(rows.column(k) for k in keys), *new], [*keys, "cell", "dist_km", "exposure", "nearest"]).to_batches()
 
     types = dict(kept.dtypes)
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "cell int, dist_km double, exposure double, nearest int"])
-    return kept.groupBy(*keys).applyInArrow(transform, schema)
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "cell int, dist_km double, exposure double, nearest int"])
+    met = sites.unionByName(cells).repartition(*keys, "_y").sortWithinPartitions(*keys, "_y", "_kind", "_x")
+    return met.mapInArrow(transform, schema)
 
 
 def _complete(df: DataFrame, grid: Grid, value: str, keys: tuple[str, ...]) -> DataFrame:

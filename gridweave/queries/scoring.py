@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics, sampling
-from ..plans import model, serving
+from ..plans import boosting, model, serving
 from ..schema import CAUSES
 from .aggregates import _SCORED, scored
 from .base import ECUBE, SCORES, ecube, query, r, rounded, scores, table
@@ -102,6 +102,14 @@ def gbt_predict(spark, sf):
     return model.calibrated(held, model.scored(m, data.where("part = 'val'"), _X)).select("day", "cell", "y", r("p").alias("p"))
 
 
+@query()
+def histogram_boosting(spark, sf):
+    """Boosted trees over histograms, missing values with a side of their own, stopped by held-out rows of the training days."""
+    data = _learning(spark, sf)
+    m = boosting.fit(data.where("part = 'train'"), _X, rounds=10, depth=3, rate=0.2)
+    return boosting.scored(m, data.where("part = 'val'")).select("day", "cell", "y", r("p").alias("p"))
+
+
 @query()
 def logistic_floor(spark, sf):
     data = _learning(spark, sf)

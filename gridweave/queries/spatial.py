@@ -52,8 +52,8 @@ def distance_without_events(spark, sf):
 @query("WITH b AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, s_acctbal / 10000 > 0.5 AS built FROM supplier) SELECT b.cell, round(min(sqrt((b.cell % 10 - o.cell % 10) * (b.cell % 10 - o.cell % 10) + (b.cell // 10 - o.cell // 10) * (b.cell // 10 - o.cell // 10)) * 2), 6) + 0.0 AS dist_to_urban FROM b, b o WHERE o.built GROUP BY b.cell")
 def dist_to_urban(spark, sf):
     s, grid = _suppliers(spark, sf)
-    b = s.select(F.lit(0).alias("k"), "cell", (F.col("s_acctbal") / 10000 > 0.5).cast("int").alias("is_fire"), F.lit(0.0).alias("wind_u"), F.lit(0.0).alias("wind_v"))
-    return G.nearest_events(b, grid, keys=("k",)).select("cell", r("dist_km").alias("dist_to_urban"))
+    b = s.select("cell", (F.col("s_acctbal") / 10000 > 0.5).cast("int").alias("is_fire"), F.lit(0.0).alias("wind_u"), F.lit(0.0).alias("wind_v"))
+    return G.nearest_events(b, grid, keys=()).select("cell", r("dist_km").alias("dist_to_urban"))
 
 
 _RELIEF = "h AS (SELECT CAST(s_suppkey AS INTEGER) AS cell, CASE WHEN s_suppkey % 11 = 3 THEN NULL ELSE s_acctbal END AS e FROM supplier), last AS (SELECT greatest(9, max(cell) // 10) AS last FROM h)"

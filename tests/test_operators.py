@@ -361,6 +361,25 @@ def test_running_sums_equal_plain_ones(spark):
         assert r.c == (pytest.approx(sum(two), abs=1e-8) if len(two) == 2 and None not in two else None)
 
 
+def test_nearest_events_equal_all_pairs_on_sparse_grids(spark):
+    rng, grid, rows = np.random.default_rng(1), Grid(0, 0, 2000, -2000, 9, 13), []
+    for day in (None, 1, 2, 3, 4, 5, 6, 7, 8, 9):
+        share = [0, 0.01, 0.1, 0.5, 0.9][(day or 0) % 5]
+        rows += [(day, c, int(rng.random() < share), float(rng.normal()), None if rng.random() < 0.1 else 1.0) for c in range(117) if rng.random() < 0.9]
+    got = {(r.day, r.cell): r for r in spatial.nearest_events(spark.createDataFrame(rows, "day int, cell int, is_fire int, wind_u double, wind_v double"), grid).collect()}
+    assert len(got) == len(rows)
+    for day, c, _, u, v in rows:
+        r, y, x = got[day, c], c // 9, c % 9
+        near = min((((y - e // 9) ** 2 + (x - e % 9) ** 2, e) for d, e, fire, _, _ in rows if d == day and fire), default=None)
+        if near is None:
+            assert (r.nearest, r.dist_km, r.exposure) == (None, grid.diagonal_km(), 0.0)
+            continue
+        square, e = near
+        assert r.nearest == e and r.dist_km == pytest.approx(2 * square**0.5)
+        want = 0.0 if not square else None if v is None else (u * (x - e % 9) * 2000 - v * (y - e // 9) * 2000) / (square * 4e6)
+        assert r.exposure == (pytest.approx(want) if want is not None else None)
+
+
 def test_running_sums_of_any_size(spark):
     w, nan, inf = W.along(), float("nan"), float("inf")
     total = lambda values, n=365: column(series(spark, values).withColumn("y", W.trailing_sum(F.col("x"), n, w)), "y")
