@@ -316,116 +316,3 @@ def polygon_cells(polygons: DataFrame, grid: Grid, ring: str = "ring") -> DataFr
 def gathered(values: DataFrame, index: DataFrame, value: str = "value") -> DataFrame:
     """(pixel, value): a raster shown through an index map (pixel, cell); a cell of -1 is nothing."""
     return index.join(values.select("cell", value), "cell", "left").select("pixel", value)
-
-
-def _settled(to: np.ndarray) -> np.ndarray:
-    """Where each index ends up by following ``to`` until it stays."""
-    while (to[to] != to).any():
-        to = to[to]
-    return to
-
-
-def labelled_regions(mask: np.ndarray, kind: np.ndarray | None = None) -> np.ndarray:
-    """4-connected regions of a raster (of one ``kind`` each, if given), numbered from 1 in reading order.
-
-    Every cell takes the least index among its neighbours' until nothing changes;
-    whole rasters at a time.
-    """
-    kind = np.zeros(mask.shape, np.int64) if kind is None else kind
-    least = np.arange(mask.size).reshape(mask.shape)
-    joins = [(np.s_[1:, :], np.s_[:-1, :]), (np.s_[:, 1:], np.s_[:, :-1])]
-    joins = [(x, y, mask[x] & mask[y] & (kind[x] == kind[y])) for x, y in joins]
-    while True:
-        new = least.copy()
-        for x, y, same in joins:
-            for one, other in ((x, y), (y, x)):
-                new[one] = np.where(same, np.minimum(new[one], new[other]), new[one])
-        new = _settled(new.ravel()).reshape(mask.shape)
-        if (new == least).all():
-            break
-        least = new
-    out = np.zeros(mask.shape, np.int32)
-    out[mask] = np.unique(least[mask], return_inverse=True)[1] + 1
-    return out
-
-
-def smoothed(field: np.ndarray, sigma: float) -> np.ndarray:
-    """Separable Gaussian, edges mirrored."""
-    r = max(1, int(4 * sigma + 0.5))
-    kernel = np.exp(-0.5 * (np.arange(-r, r + 1) / sigma) ** 2)
-    kernel /= kernel.sum()
-    for axis in (0, 1):
-        padded = np.pad(field, [(r, r) if a == axis else (0, 0) for a in (0, 1)], mode="symmetric")
-        field = np.apply_along_axis(np.convolve, axis, padded, kernel, "valid")
-    return field
-
-
-def hills(height: np.ndarray, apart: int) -> np.ndarray:
-    """The summit (as an index) of every cell's hill: uphill to the highest neighbour, and on from summits to a higher one within ``apart`` cells.
-
-    Of equal heights the one with the least index is the higher.
-    """
-    ny, nx = height.shape
-    order = np.empty(height.size, np.int64)
-    order[np.lexsort((-np.arange(height.size), height.ravel()))] = np.arange(1, height.size + 1)
-
-    def best(rank: np.ndarray, reach: int, corners: bool) -> np.ndarray:
-        found = rank.copy()
-        for axis in (0, 1):
-            base = found if corners else rank
-            grown = base.copy()
-            for k in range(1, min(reach, rank.shape[axis] - 1) + 1):
-                near, far = (np.s_[k:, :], np.s_[:-k, :]) if axis == 0 else (np.s_[:, k:], np.s_[:, :-k])
-                grown[near] = np.maximum(grown[near], base[far])
-                grown[far] = np.maximum(grown[far], base[near])
-            found = np.maximum(found, grown)
-        return found
-
-    holder = np.empty(height.size + 1, np.int64)
-    holder[order] = np.arange(height.size)
-    up = holder[best(order.reshape(ny, nx), 1, False)].ravel()
-    summit = _settled(up)
-    tops = np.where(up == np.arange(height.size), order, 0)
-    on = holder[best(tops.reshape(ny, nx), apart, True)].ravel()
-    return _settled(np.where(tops > 0, on, np.arange(height.size)))[summit].reshape(ny, nx)
-
-
-def risk_pieces(df: DataFrame, grid: Grid, prob: str = "p", keys: tuple[str, ...] = ("day",), threshold: float = 8.6 * 1.276e-3, smooth_km: float = 4.8, apart_km: float = 20.0) -> DataFrame:
-    """(keys, cell, piece): cells above the threshold by connected piece of one hill of the smoothed surface; a group is one grid."""
-    types = dict(df.dtypes)
-    km = abs(grid.dx) / 1000
-
-    def pieces(table: pa.Table) -> pa.Table:
-        at, p = table.column("cell").to_numpy(), np.nan_to_num(table.column("p").to_numpy(zero_copy_only=False).astype(float))
-        land = table.column("land").to_numpy(zero_copy_only=False).astype(bool)
-        field, mask = np.zeros((grid.ny, grid.nx)), np.zeros((grid.ny, grid.nx), bool)
-        field.flat[at], mask.flat[at] = p, (p > threshold) & land
-        summit = hills(smoothed(field, smooth_km / km), max(3, round(apart_km / km)) // 2)
-        piece = labelled_regions(mask, summit).ravel()[at]
-        return table.select([*keys, "cell"]).append_column("piece", pa.array(piece)).filter(pa.array(piece > 0))
-
-    kept = df.select(*keys, F.col("cell").cast("int").alias("cell"), F.col(prob).cast("double").alias("p"), F.coalesce(F.col("regime") > 0, F.lit(False)).alias("land"))
-    return kept.groupBy(*keys).applyInArrow(pieces, ", ".join([*(f"{k} {types[k]}" for k in keys), "cell int, piece int"]))
-
-
-def danger_areas(df: DataFrame, grid: Grid, prob: str = "p", region: str = "region", keys: tuple[str, ...] = ("day",), least: float = 0.10, **settings: float) -> DataFrame:
-    """(keys, area, p_any, peak_cell, radius_m, n_cells, regime, region): the pieces with at least that probability of any event.
-
-    df holds a ``regime`` (0 off land).  Pieces are made day by day
-    (:func:`risk_pieces`); what they amount to is a grouping of their cells.
-    """
-    from .aggregates import any_event
-
-    cells = df.select(*keys, F.col("cell").cast("int").alias("cell"), F.col(prob).cast("double").alias("p"), "regime", F.nullif(F.col(region).cast("int"), F.lit(0)).alias("g"))
-    x, y = grid.column(F.col("cell")), grid.row(F.col("cell"))
-    reach = F.greatest((F.max(x) - F.min(x)) / 2, (F.max(y) - F.min(y)) / 2, F.lit(1.0))
-    found = risk_pieces(df, grid, prob, keys, **settings).join(cells, [*keys, "cell"]).groupBy(*keys, "piece").agg(
-        any_event(F.col("p")).alias("p_any"),
-        F.max_by("cell", F.struct("p", -F.col("cell"))).alias("peak_cell"),
-        ((reach + 0.5) * abs(grid.dx)).alias("radius_m"),
-        F.count("*").cast("int").alias("n_cells"),
-        F.when(F.avg((F.col("regime") == 2).cast("int")) > 0.5, 2).otherwise(1).alias("regime"),
-        F.coalesce(F.mode("g", True), F.lit(0)).alias("region"),
-    )
-    first = Window.partitionBy(*keys).orderBy(F.desc("p_any"), "peak_cell")
-    return found.where(F.col("p_any") >= least).select(*keys, F.row_number().over(first).alias("area"), "p_any", "peak_cell", "radius_m", "n_cells", "regime", "region")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..grid import Grid
 from ..operators import spatial as G
+from ..operators import watershed
 from ..plans import serving
 from .aggregates import _SCORED, scored
 from .base import ECUBE, WIDE, ecube, events, plot, query, r, table
@@ -127,7 +128,7 @@ def localization(spark, sf):
 @query()
 def danger_areas(spark, sf):
     """Watershed areas of the risk surface; tests hold them against small rasters."""
-    return serving.region_areas(G.danger_areas(scored(spark, sf), _wide(spark, sf))).select("day", "area", r("p_any").alias("p_any"), "peak_cell", "radius_m", "n_cells", "regime", "region", "place")
+    return serving.region_areas(watershed.danger_areas(scored(spark, sf), _wide(spark, sf))).select("day", "area", r("p_any").alias("p_any"), "peak_cell", "radius_m", "n_cells", "regime", "region", "place")
 
 
 @query(f"{_SCORED}, a AS (SELECT DISTINCT cell FROM scored UNION SELECT CAST(c_custkey AS INTEGER) FROM customer), d AS (SELECT cell, p, regime FROM scored WHERE day = DATE '2024-01-15') SELECT a.cell, coalesce(d.p, 0.0::DOUBLE) AS p, CAST(coalesce(d.regime, 0) AS INTEGER) AS regime FROM a LEFT JOIN d ON d.cell = a.cell")

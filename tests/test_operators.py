@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridweave.grid import KILOMETRE, Grid
 from gridweave.operators import aggregates as A
-from gridweave.operators import correlation, metrics, recursive, sampling, spatial
+from gridweave.operators import correlation, metrics, recursive, sampling, spatial, watershed
 from gridweave.operators import temporal_join as J
 from gridweave.operators import windows as W
 from gridweave.plans import features, maintain, model, serving
@@ -208,17 +208,15 @@ def test_interpolation_of_many_points(spark):
 
 
 def test_regions_and_areas(spark):
-    mask = np.array([[1, 0, 1], [1, 0, 1], [0, 1, 0]], bool)
-    assert spatial.labelled_regions(mask).tolist() == [[1, 0, 2], [1, 0, 2], [0, 3, 0]]
     grid = Grid(0, 0, 2000, -2000, 30, 30)
     p = np.zeros((30, 30))
     p[3:5, 3:5], p[20:22, 20:22] = 0.3, 0.2
     rows = [(DAY, i, float(v), 1 + (i > 450), 1) for i, v in enumerate(p.ravel())]
     df = spark.createDataFrame(rows, "day date, cell int, p double, regime int, region int")
-    got = spatial.danger_areas(df, grid).orderBy("area").collect()
+    got = watershed.danger_areas(df, grid).orderBy("area").collect()
     assert [round(r.p_any, 6) for r in got] == [round(1 - 0.7**4, 6), round(1 - 0.8**4, 6)]
     assert [(r.n_cells, r.regime) for r in got] == [(4, 1), (4, 2)]
-    assert spatial.danger_areas(df.withColumn("p", F.lit(0.0)), grid).count() == 0
+    assert watershed.danger_areas(df.withColumn("p", F.lit(0.0)), grid).count() == 0
 
 
 def test_joins_in_time(spark):
@@ -390,15 +388,6 @@ def test_running_sums_of_any_size(spark):
     assert long.select(W.trailing_sum(F.col("x"), 365, w).alias("y")).agg(F.max("y")).first()[0] == 365 * 9e5
 
 
-def test_hills_and_areas_of_a_ridge(spark):
-    height = np.zeros((9, 20))
-    height[4, 2:18] = 1
-    height[4, 4], height[4, 15] = 3, 2
-    near, far = (spatial.hills(height, n) for n in (3, 11))
-    assert near[4, 2:9].tolist() == [84] * 7 or near[4, 3] == 84
-    assert near[4, 15] == 95 and far[4, 15] == 84
-
-
 def test_streams(spark, small, tmp_path):
     schema = spark.read.parquet(f"{small}/events.parquet").schema
     stream = spark.readStream.schema(schema).parquet(f"{small}/events.parquet*")
