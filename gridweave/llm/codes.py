@@ -94,45 +94,36 @@ class Tree:
 
     def nearest(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """(entry of each point in the tree's order, counts and sums by entry, points assigned by whole subtrees)."""
-        k = len(entries)
-        norm = (entries * entries).sum(1)
-        chosen = np.zeros(len(self.points), np.int64)
-        single = np.zeros(len(self.points), bool)  # assigned one by one
+        k, d = entries.shape
+        most = max(int(np.abs(entries).max()), int(np.abs(self.low).max()), int(np.abs(self.high).max()))
+        # Doubles hold these sums exactly while they stay below 2^53, and multiply faster.
+        kind = np.float64 if 16 * d * most * most < 1 << 53 else np.int64
+        z, middle, side, points = (x.astype(kind) for x in (entries, self.low + self.high, self.high - self.low, self.points))
+        norm = (z * z).sum(1)
+        chosen = np.zeros(len(points), np.int64)
+        single = np.zeros(len(points), bool)  # assigned one by one
         counts, sums = np.zeros(k, np.int64), np.zeros_like(entries)
-        node, entry = np.zeros(k, np.int64), np.arange(k)
-        while len(node):
-            start = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            size = np.diff(np.append(start, len(node)))
-            # the entry nearest to the middle of the box, and what it is never farther than
-            lo, hi, z = self.low[node], self.high[node], entries[entry]
-            from_middle = ((2 * z - (lo + hi)).astype(np.float64) ** 2).sum(1)
-            least = np.repeat(np.minimum.reduceat(from_middle, start), size)
-            hit = np.flatnonzero(from_middle == least)
-            star = np.repeat(entry[hit[np.searchsorted(hit, start)]], size)
-            towards = z - entries[star]
-            ahead = norm[entry] - norm[star] - 2 * np.maximum(lo * towards, hi * towards).sum(1)
-            kept = (ahead < 0) | ((ahead == 0) & (entry <= star))
-            node, entry = node[kept], entry[kept]
-            start = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            size = np.diff(np.append(start, len(node)))
-            # one entry left: the whole subtree is its
-            for at in start[size == 1]:
-                a, b, one = self.first[node[at]], self.last[node[at]], entry[at]
+        todo = [(0, np.arange(k))]
+        while todo:
+            node, some = todo.pop()
+            a, b = self.first[node], self.last[node]
+            if len(some) > 1:
+                # The entry nearest to the middle of the box, and what it is never farther than: 2 max(lo t, hi t) = (lo + hi) t + (hi - lo) |t|.
+                held = z[some]
+                star = int((norm[some] - held @ middle[node]).argmin())
+                towards = held - held[star]
+                ahead = norm[some] - norm[some[star]] - towards @ middle[node] - np.abs(towards) @ side[node]
+                some = some[(ahead < 0) | ((ahead == 0) & (some <= some[star]))]
+            if len(some) == 1:  # the whole subtree is its
+                one = some[0]
                 chosen[a:b] = one
                 counts[one] += b - a
-                sums[one] += self.total[node[at]]
-            leaf = self.left[node[start]] < 0
-            for at, m in zip(start[(size > 1) & leaf], size[(size > 1) & leaf], strict=True):
-                a, b, some = self.first[node[at]], self.last[node[at]], entry[at : at + m]
-                held = self.points[a:b]
-                best = some[(norm[some] - 2 * (held @ entries[some].T)).argmin(1)]
-                chosen[a:b] = best
+                sums[one] += self.total[node]
+            elif self.left[node] < 0:
+                chosen[a:b] = some[(norm[some] - 2 * (points[a:b] @ z[some].T)).argmin(1)]
                 single[a:b] = True
-            down = np.repeat((size > 1) & ~leaf, size)
-            child, entry = self.left[node[down]], np.tile(entry[down], 2)
-            node = np.append(child, child + 1)
-            by = np.argsort(node, kind="stable")
-            node, entry = node[by].astype(np.int64), entry[by]
+            else:
+                todo += [(self.left[node], some), (self.left[node] + 1, some)]
         by = np.argsort(chosen[single], kind="stable")
         some, first = np.unique(chosen[single][by], return_index=True)
         if len(some):
