@@ -6,23 +6,28 @@ A page is parsed once, in linear time, into blocks in page order, each of a zone
   forms, and elements whose class, id or role is a name for a menu, header,
   footer, sidebar, notice, advert or reader comments.  Scripts, styles, frames'
   and templates' raw content and comments are no text at all;
-* *article*: what else stands in an ``article`` (or ``main``); an article's own
-  ``header`` holds its title and stays;
-* *open*: the rest, of which markup says nothing.
+* *article*: what else stands in an ``article``; its own ``header`` holds its
+  title and stays, as do quotations and links in its sentences, however they are called;
+* *open*: the rest, of which markup says nothing, ``main`` outside an article included.
 
 Token streams of a host's pages (their open blocks, and their dropped ones, end
 to end) are entered into a suffix array that is sorted to the depth of ``RUN``
 tokens: a suffix's entry is the hash of its host and first RUN tokens, and
 entries meet by shuffle, so that an array of any size is spread over all tasks
-and equal entries are combined before they are sent.  A run that open blocks hold on
-two or more distinct pages of the host, or in dropped blocks of two, is repeated
-and covers its tokens; an open block stays if it keeps a unique run, that is if at
-least half of its tokens are uncovered.  This holds on every page, with an article
-or without.  A block of an article stays whatever it repeats: articles share
+and equal entries are combined before they are sent.  No order among different
+entries is needed for that, so none is made: windows are hashed and grouped.  A
+run that open blocks hold on ``LEAST`` distinct pages of the host and a ``SHARE`` of
+them, or that two pages hold in dropped blocks, is repeated and covers its tokens;
+an open block stays if it keeps a unique run, that is if at least half of its
+tokens are uncovered, and a page that would lose all of its text keeps it (an
+article at several addresses is no boilerplate).  This holds on every page, with an
+article or without.  A block of an article stays whatever it repeats: articles share
 passages and lines with each other and with adverts, and all of them are text.
 
 A name counts if all of its words are known ones (``share-bar``, not
-``share-price``); ids of headings are targets of links and do not count.
+``share-price``), glued ones included (``sharebar``), letters, versions and the like
+left out (``js-share-v2``).  Names of elements within a line do not count, but for
+adverts that are no links; ids of headings are targets of links and do not count.
 White space within a block is turned into single spaces, character references
 are decoded, and blocks are joined by two line feeds.
 
@@ -47,9 +52,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import scratch
+from .common import few, scratch
 
 RUN = 8
+LEAST, SHARE = 3, 0.1
 DROPPED, OPEN, ARTICLE = 0, 1, 2
 #: Marked rows up to which the marks are sent to all tasks.
 BROADCAST_ROWS = 200_000
@@ -69,16 +75,21 @@ _SIBLINGS = frozenset("li tr td th dd dt option".split())
 _UNWANTED = frozenset("nav footer aside form menu head".split())
 _ROLES = frozenset("navigation menu menubar contentinfo complementary search form".split())
 # Names of what is no main text, and words that only tell where or how such a thing stands.
-_NAMES = re.compile(r"ads?|advert|advertisement|advertising|adsense|banner|promo|promotion|sponsor|sponsored|sidebar|menu|nav|navbar|navigation|topnav|footer|header|masthead|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|recommendations|comments?|commentlist|disqus|replies|respond|breadcrumbs?|pagination|pager|login|search|toolbar|copyright|disclaimer|paywall", re.I)
+_NAMES = re.compile(r"ads?|advert|advertisement|advertising|adsense|banner|promo|promotion|sponsor|sponsored|sidebar|menu|nav|navbar|navigation|topnav|footer|header|masthead|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|subscription|signup|share|sharing|social|related|topbar|recommended|recommendations|comments?|commentlist|disqus|replies|respond|breadcrumbs?|pagination|pager|login|search|toolbar|copyright|disclaimer|paywall", re.I)
 _PLACES = re.compile(r"bar|bars|box|block|section|container|wrapper|wrap|list|area|items?|links?|panel|widgets?|inner|outer|top|bottom|left|right|side|label|content|site|page|main|global|primary|secondary|form|buttons?|icons?|unit|slot|text|title|group|row|col|column|thread|reader|user|post|article|entry|blog|overlay|\d+", re.I)
+_ADVERTS = re.compile(r"ads?|ads?by\w+|advert|advertisement|advertising|adsense|promo|promotion|sponsor|sponsored", re.I)
+_AFFIXES = re.compile(r"[a-z]{1,2}|v\d+|web|app|mod|new|old", re.I)
+_GLUED = re.compile(rf"(?:{_PLACES.pattern})*(?:{_NAMES.pattern}|adsby\w+)(?:{_NAMES.pattern}|{_PLACES.pattern})*", re.I)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
 def _named(name: str) -> bool:
     """Whether all words of a class or id (joined by hyphens, underscores or capitals) are known, one at least as a name."""
     words = _WORDS.findall(name)
-    known = [bool(_NAMES.fullmatch(w)) for w in words]
-    return any(known) and all(k or _PLACES.fullmatch(w) for k, w in zip(known, words, strict=True))
+    known = [bool(_NAMES.fullmatch(w)) or len(w) > 5 and bool(_GLUED.fullmatch(w)) for w in words]
+    if any(known):
+        return all(k or _PLACES.fullmatch(w) or _AFFIXES.fullmatch(w) for k, w in zip(known, words, strict=True))
+    return len(words) == 2 and bool(_NAMES.fullmatch("".join(words)))
 
 
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
@@ -86,6 +97,7 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
+    within = tag not in _BLOCKS and tag not in _HOLDERS
     for m in _ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind == "role":
@@ -93,6 +105,8 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
                 return True
         elif kind == "class" or tag not in ("h1", "h2", "h3", "h4", "h5", "h6"):
             for name in value.split():
+                if within and (tag == "a" or not any(_ADVERTS.fullmatch(w) for w in _WORDS.findall(name))) or (inside and tag == "blockquote"):
+                    continue
                 # The header of an article is its own.
                 if _named(name) and not (inside and name.lower().endswith("header")):
                     return True
@@ -115,16 +129,16 @@ def _closed(page: str, at: int) -> int:
 def blocks(page: str) -> list[tuple[int, str]]:
     """(zone, text) of every block, in page order.  The page is gone through once: a search that fails ends it or is not made again."""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, dropped, inside an article or main
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, dropped, inside an article or main, inside an article
     depth: dict[str, int] = {}
     wanted: list[str] = []
     dropped_: list[str] = []
     quotes = True
     at, size = 0, len(page)
-    dropped = inside = False
+    dropped = inside = article = False
 
     def flush() -> None:
-        for parts, zone in ((dropped_, DROPPED), (wanted, ARTICLE if inside else OPEN)):
+        for parts, zone in ((dropped_, DROPPED), (wanted, ARTICLE if article else OPEN)):
             if parts:
                 joined = "".join(parts)
                 if "&" in joined:
@@ -135,9 +149,9 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 parts.clear()
 
     def pop() -> None:
-        nonlocal dropped, inside
+        nonlocal dropped, inside, article
         depth[stack.pop()[0]] -= 1
-        _, dropped, inside = stack[-1] if stack else ("", False, False)
+        _, dropped, inside, article = stack[-1] if stack else ("", False, False, False)
 
     def keep(a: int, b: int) -> None:
         if b > a:
@@ -199,7 +213,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
         unwanted = dropped or _unwanted(tag, attributes, inside)
         if (tag in _HOLDERS or unwanted) and not attributes.endswith("/"):
             dropped, inside = unwanted, inside or (tag in ("article", "main") and not unwanted)
-            stack.append((tag, dropped, inside))
+            article = article or (tag == "article" and not unwanted)
+            stack.append((tag, dropped, inside, article))
             depth[tag] = depth.get(tag, 0) + 1
     flush()
     return out
@@ -244,18 +259,19 @@ def _entries(pages: list[list[tuple[int, str]]], salts: np.ndarray) -> list[list
     return streams
 
 
-_PARSED = "page_id long, url string, zones array<tinyint>, texts array<string>, dropped array<long>, open array<long>"
+_PARSED = "page_id long, url string, host long, zones array<tinyint>, texts array<string>, dropped array<long>, open array<long>"
 _TEXTS = "page_id long, url string, text string, n_chars long"
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.string(), pa.list_(pa.int8()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64()))
 
     def sent(rows: list[tuple]) -> pa.RecordBatch:
         ids, urls, pages = zip(*rows, strict=True)
-        dropped, open_ = _entries(list(pages), _salts(list(urls)))
-        columns = (ids, urls, [[z for z, _ in p] for p in pages], [[t for _, t in p] for p in pages], [np.unique(x) for x in dropped], open_)
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["page_id", "url", "zones", "texts", "dropped", "open"])
+        salts = _salts(list(urls))
+        dropped, open_ = _entries(list(pages), salts)
+        columns = (ids, urls, salts.view(np.int64).tolist(), [[z for z, _ in p] for p in pages], [[t for _, t in p] for p in pages], [np.unique(x) for x in dropped], open_)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["page_id", "url", "host", "zones", "texts", "dropped", "open"])
 
     for whole in batches:
         rows, size = [], 0
@@ -286,7 +302,7 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if z == ARTICLE or z == OPEN and 2 * int(covered[at : at + n].sum()) <= n:
                     kept.append(t)
                 at += n
-            found.append("\n\n".join(kept))
+            found.append("\n\n".join(kept or [t for z, t in zip(zones, texts, strict=True) if z == OPEN]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
@@ -305,13 +321,18 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     whole.write.option("compression", "zstd").parquet(f"{at}/parsed")
     parsed = spark.read.schema(whole.schema).parquet(f"{at}/parsed")
 
-    some = parsed.select("page", F.explode("dropped").alias("head"), F.lit(True).alias("markup"))
-    more = parsed.select(F.col("content").alias("page"), F.explode("open").alias("head"), F.lit(False).alias("markup"))
-    ends = [f(F.when(c, F.col("page"))).alias(n) for n, f, c in (("d0", F.min, F.col("markup")), ("d1", F.max, F.col("markup")), ("o0", F.min, ~F.col("markup")), ("o1", F.max, ~F.col("markup")))]
-    array = some.unionByName(more).groupBy("head").agg(*ends)
-    repeated = array.where((F.col("d0") != F.col("d1")) | (F.col("o0") != F.col("o1"))).select("head")
+    # Pages of one content are one page; of these the first row stands for all.
+    first = parsed.groupBy("host", "content").agg(F.min("row").alias("row"))
+    pages = few(first.groupBy("host").agg(F.count("*").alias("pages")), broadcast_rows)
+    some = parsed.select("host", "page", F.explode("dropped").alias("head"), F.lit(True).alias("markup"))
+    more = parsed.join(first.select("row"), "row", "left_semi").select("host", F.lit(0).cast("long").alias("page"), F.explode(F.array_distinct("open")).alias("head"), F.lit(False).alias("markup"))
+    ends = [f(F.when(F.col("markup"), F.col("page"))).alias(n) for n, f in (("d0", F.min), ("d1", F.max))]
+    array = some.unionByName(more).groupBy("host", "head").agg(*ends, F.count_if(~F.col("markup")).alias("held"))
+    enough = (F.col("held") >= LEAST) & (F.col("held") >= SHARE * F.col("pages"))
+    repeated = array.where((F.col("d0") != F.col("d1")) | (F.col("held") >= LEAST)).join(pages, "host").where((F.col("d0") != F.col("d1")) | enough).select("head").distinct()
     starts = parsed.select("row", F.posexplode("open").alias("start", "head"))
-    marked = starts.join(repeated, "head").groupBy("row").agg(F.collect_list("start").alias("marks"))
+    # A line of all pages of a host is one head with many starts: sent to all tasks while that is proven small.
+    marked = starts.join(few(repeated, broadcast_rows), "head").groupBy("row").agg(F.collect_list("start").alias("marks"))
     marked.write.parquet(f"{at}/marked")
     marked = spark.read.schema(marked.schema).parquet(f"{at}/marked")
     if marked.count() <= broadcast_rows:
