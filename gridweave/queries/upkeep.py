@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from ..operators import windows as W
 from ..plans import features, maintain, serving
 from ..sources import readers, sinks, snapshots
 from ..streaming import jobs
@@ -236,15 +238,50 @@ def stream_sessions(spark, sf):
 def stream_drought(spark, sf):
     """The drought index of a stream of days, whose state goes on from batch to batch; a day without rain data leaves it."""
     c = lcube(spark, sf).select(F.col("cell").cast("long").alias("cell"), "day", (F.col("rain") / 10).alias("rain"), "tmax", F.lit(500.0).alias("annual"))
+    with _states(spark):
+        return rounded(_collected(spark, jobs.drought(_halves(spark, c, F.lit("1998-06-01").cast("date"))), "drought"), 4)
+
+
+@query(f"WITH {LCUBE}, t AS (SELECT cell, day, sum(rain / 2400) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN 364 PRECEDING AND CURRENT ROW) AS total FROM lcube), k AS (SELECT * FROM (VALUES ('whole'), ('from a state')) v(start)) SELECT k.start, CAST(t.cell AS BIGINT) AS cell, t.day, round(t.total, 6) + 0.0 AS total, true AS same FROM t, k WHERE k.start = 'whole' OR t.day > (SELECT max(day) FROM lcube) - 400")
+def stream_features(spark, sf):
+    """Features that look back, of a stream of days from its start and of one that goes on from a batch build's state, and whether all equal the batch chain's."""
+    cube = _years(spark, sf)
+    annual = features.annual_rain(cube)
+    w = W.along()
+    whole = W.run_lengths(features.sums(cube, w), w, time_since_last_fire=F.coalesce(F.col("is_fire"), F.lit(0)) < 0.5)
+    at = f"{sinks.shared_dir(spark)}/streams/built-{uuid.uuid4().hex}"
+    whole = features.droughts(features.anomalies(whole), annual)
+    whole.write.parquet(at)
+    whole = spark.read.schema(whole.schema).parquet(at)
+    cut = cube.agg(F.date_sub(F.max("day"), 400).alias("cut")).first().cut
+    done, rows = whole.where(F.col("day") <= F.lit(cut)), jobs.looking_back(cube, annual)
+    state = jobs.state_of(cube, str(cut), features.state(done, str(cut)), features.moments(done))
+    with _states(spark):
+        first = _collected(spark, jobs.features(_halves(spark, rows, F.lit(cut))), "features")
+        later = rows.where(F.col("day") > F.lit(cut))
+        second = _collected(spark, jobs.features(_halves(spark, later, F.date_add(F.lit(cut), 150)), state), "features")
+    out = None
+    for name, found in (("whole", first), ("from a state", second)):
+        one = _compared(found.withColumn("cell", F.col("cell").cast("int")), whole, "precip_sum_365d").select(F.lit(name).alias("start"), F.col("cell").cast("long").alias("cell"), "day", "total", "same")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _halves(spark, rows, after):
+    """A stream of rows in two batches: days up to one, and later ones."""
     at = f"{sinks.shared_dir(spark)}/streams/days-{uuid.uuid4().hex}"
-    # Two files, so that there are two batches.
-    half = F.col("day") > F.lit("1998-06-01").cast("date")
-    for k, part in enumerate((c.where(~half), c.where(half))):
+    for k, part in enumerate((rows.where(F.col("day") <= after), rows.where(F.col("day") > after))):
         part.coalesce(1).write.mode("append").parquet(f"{at}/{k}")
+    return jobs.read_new(spark, f"{at}/*", rows.schema)
+
+
+@contextmanager
+def _states(spark):
+    """With the state store that these streams need."""
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
     spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        return rounded(_collected(spark, jobs.drought(jobs.read_new(spark, f"{at}/*", c.schema)), "drought"), 4)
+        yield
     finally:
         spark.conf.set(name, before)
