@@ -60,11 +60,16 @@ def partitions(spark: SparkSession) -> int:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = tv.BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, object, object]]:
-    """(rows, offsets, bytes) of about ``limit`` bytes of text each; the offsets start at 0."""
+    """(rows, offsets, bytes) of about ``limit`` bytes of text each; the offsets start at 0.
+
+    What Arrow keeps of freed batches goes back when the rows end: workers wait for other stages' tasks.
+    """
     for batch in batches:
         offsets, body = tv.utf8(batch.column(batch.schema.get_field_index(text)))
         for a, b in tv.blocks(offsets, limit):
             yield batch.slice(a, b - a), offsets[a : b + 1] - offsets[a], body[offsets[a] : offsets[b]]
+        del batch, offsets, body
+        pa.default_memory_pool().release_unused()
 
 
 def id_bucket(column, modulus: int):
