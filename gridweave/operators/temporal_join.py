@@ -61,19 +61,25 @@ def edition_year(year: Column) -> Column:
 def warm_start(targets: DataFrame, history: DataFrame, value: str = "value", keys: tuple[str, ...] = ("cell",)) -> DataFrame:
     """(keys, day, source_day, value): the value of the nearest day of the year in another year, of ties the latest.
 
-    History meets a target by day of year: a target asks for days of the year
-    around it, nearest first, so the join is by equality; the year is short
-    enough to ask for all of them.
+    Of a day of the year only the two latest days can be asked for (the later one,
+    or if that is of the target's own year, the other one), so a key's history is
+    one row with at most 732 entries; a target meets that row alone and takes its
+    least entry, without a row for each candidate.
     """
-    apart = F.abs(F.dayofyear("day") - F.col("doy"))
-    near = F.least(apart, 366 - apart)
-    source = history.select(*keys, F.col("day").alias("source_day"), F.dayofyear("day").alias("doy"), F.col(value))
-    # The latest day of each day of the year, and the latest of another year than that one's.
-    w = Window.partitionBy(*keys, "doy").orderBy(F.desc("source_day"))
-    latest = source.withColumn("r", F.row_number().over(w)).where("r <= 2").drop("r")
-    pairs = targets.select(*keys, "day").join(latest, list(keys)).where(F.year("day") != F.year("source_day"))
-    best = pairs.groupBy(*keys, "day").agg(F.min_by(F.struct("source_day", value), F.struct(near.alias("n"), (-F.unix_date("source_day")).alias("u"))).alias("s"))
-    return best.select(*keys, "day", "s.source_day", F.col(f"s.{value}").alias(value))
+    w = Window.partitionBy(*keys, "_doy").orderBy(F.desc("source_day"))
+    source = history.select(*keys, F.col("day").alias("source_day"), F.dayofyear("day").alias("_doy"), F.col(value).alias("_v"))
+    latest = source.withColumn("_r", F.row_number().over(w)).where("_r <= 2")
+    entry = F.struct("_doy", F.year("source_day").alias("_year"), "source_day", "_v")
+    held = latest.groupBy(*keys).agg(F.collect_list(entry).alias("_held"))
+    asked = targets.select(*keys, "day", F.dayofyear("day").alias("_at"), F.year("day").alias("_of")).join(held, list(keys))
+
+    def ordered(e: Column) -> Column:
+        apart = F.abs(F.col("_at") - e._doy)
+        return F.struct(F.least(apart, 366 - apart).alias("near"), (-F.unix_date(e.source_day)).alias("late"), e.source_day.alias("source_day"), e._v.alias("v"))
+
+    others = F.filter("_held", lambda e: e._year != F.col("_of"))
+    best = asked.withColumn("_s", F.array_min(F.transform(others, ordered))).where("_s is not null")
+    return best.select(*keys, "day", "_s.source_day", F.col("_s.v").alias(value))
 
 
 def recent_or(live: Column, cached: Column, default: Column) -> tuple[Column, Column]:

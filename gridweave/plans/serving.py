@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import aggregates as A
+from ..operators.metrics import ranked
 from ..operators.sampling import top
 from ..schema import CAUSES
 
@@ -70,9 +71,19 @@ def riskiest(df: DataFrame, n: int = 5, p: str = "p", region: str = "region") ->
     return first.select(place.alias("place"), F.col(region).alias("region"), "risk", S.risk_band(F.col("risk")).alias("tier"))
 
 
-def stretch(df: DataFrame, p: str = "p") -> DataFrame:
-    """(p99): the 99th percentile of positive scores, interpolated."""
-    return df.where(F.col(p) > 0).agg(F.percentile(p, F.lit(0.99)).alias("p99"))
+def stretch(df: DataFrame, p: str = "p", share: float = 0.99) -> DataFrame:
+    """(p99): that percentile of positive scores, interpolated between the two nearest.
+
+    Scores are counted and placed by ranges (:func:`metrics.ranked`), so no task holds all of them.
+    """
+    r = ranked(df.where(F.col(p) > 0).withColumn("_one", F.lit(0)), p, "_one")
+    at = share * (F.sum("n") - 1)
+    place = r.agg(F.sum("n").alias("_all"), F.floor(at).alias("_k"), (at - F.floor(at)).alias("_part"))
+    first = F.col("_all") - F.col("n_above") - F.col("n")  # how many are less
+    holds = lambda k: (first <= k) & (k < first + F.col("n"))
+    both = r.join(F.broadcast(place)).where(holds(F.col("_k")) | holds(F.col("_k") + 1))
+    low, high = F.min("score"), F.max("score")
+    return both.agg((low + (high - low) * F.max("_part")).alias("p99"))
 
 
 # satellites' passes in minutes of the day (UTC), and hours until their data can be fetched.

@@ -378,6 +378,38 @@ def test_nearest_events_equal_all_pairs_on_sparse_grids(spark):
         assert r.exposure == (pytest.approx(want) if want is not None else None)
 
 
+def test_ranks_of_many_ties_and_gaps(spark):
+    rng = np.random.default_rng(6)
+    n = 3000
+    v = np.stack([np.where(rng.random(n) < 0.9, 0.0, rng.normal(size=n)), rng.integers(0, 40, n).astype(float), rng.normal(size=n), np.full(n, 7.0)], 1)
+    v[rng.random(n) < 0.2, 2] = np.nan
+    v[:, 1] += v[:, 0]
+    names = ["zeros", "whole", "gaps", "same", "none"]
+    df = spark.createDataFrame([(i, *[None if np.isnan(x) else float(x) for x in r], None) for i, r in enumerate(v)], "id int, zeros double, whole double, gaps double, same double, none double").repartition(5)
+    rank = lambda x: np.array([(x < a).sum() + ((x == a).sum() + 1) / 2 for a in x])
+    want = {}
+    for i, a in enumerate(names[:3]):
+        for j, b in enumerate(names[:3]):
+            if i < j:
+                r = [np.full(n, np.nan), np.full(n, np.nan)]
+                for k, c in enumerate((i, j)):
+                    r[k][~np.isnan(v[:, c])] = rank(v[~np.isnan(v[:, c]), c])
+                both = ~np.isnan(r[0] + r[1])
+                want[a, b] = np.corrcoef(r[0][both], r[1][both])[0, 1]
+    got = {(r.x, r.y): r.rho for r in correlation.spearman_pairs(df, names).collect()}
+    assert len(got) == 10 and all(got[k] == pytest.approx(x) for k, x in want.items())
+    assert all(rho is None for (a, b), rho in got.items() if {"same", "none"} & {a, b})
+    parts = correlation.ranks(df, names, 16)
+    assert parts.count() == n and sorted(r.r0 for r in parts.select("r0").collect()) == sorted(rank(v[:, 0]))
+
+
+def test_percentile_of_scores_by_ranges(spark):
+    for values in ([0.5], [0.1, 0.2, 0.2, 0.9], [float(x) for x in np.random.default_rng(2).integers(1, 50, 777) / 50]):
+        df = spark.createDataFrame([(x,) for x in [*values, 0.0, -1.0]], "p double")
+        assert serving.stretch(df).first().p99 == pytest.approx(np.percentile(values, 99))
+    assert serving.stretch(df.where("p < 0")).first().p99 is None
+
+
 def test_running_sums_of_any_size(spark):
     w, nan, inf = W.along(), float("nan"), float("inf")
     total = lambda values, n=365: column(series(spark, values).withColumn("y", W.trailing_sum(F.col("x"), n, w)), "y")
