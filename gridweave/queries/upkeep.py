@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import windows as W
 from ..plans import features, maintain, serving
-from ..sources import readers, sinks, snapshots
+from ..sources import arrays, readers, sinks, snapshots
 from ..streaming import jobs
 from .base import ECUBE, LCUBE, WIDE, ecube, events, lcube, plot, query, r, rounded, table
 from .windows import DRY
@@ -187,6 +187,15 @@ def column_replace(spark, sf):
     return new.join(old.withColumnRenamed("rain", "before"), ["cell", "day"]).select("cell", "day", "before", "after", r("tmax").alias("tmax"), r("heat").alias("heat"), F.lit(version).cast("long").alias("version"))
 
 
+@query(f"WITH {LCUBE} SELECT day, cell, rain FROM lcube WHERE day >= DATE '1997-03-01' AND day < DATE '1997-04-01' AND rain IS NOT NULL")
+def bronze_scan(spark, sf):
+    """A month of one variable of daily array files, written from the cube; other files and members are not opened."""
+    c, at = lcube(spark, sf), f"{sinks.shared_dir(spark)}/streams/arrays-{uuid.uuid4().hex}"
+    arrays.write_days(c.where("year(day) = 1997"), plot(c), at, ["rain", "tmax"]).count()
+    days = arrays.read_days(spark, at, ["rain"])
+    return days.where("day >= date'1997-03-01' and day < date'1997-04-01'").select("day", "cell", "rain")
+
+
 @query()
 def engineered_features(spark, sf):
     """The whole feature chain; tests hold its parts against plain loops and its edge against the whole."""
