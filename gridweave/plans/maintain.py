@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,7 +104,18 @@ class RunLock:
         """Whether the lock is ours now."""
         age = self.age()
         if age is not None and age >= self.stale:
-            self.store.delete(self.at, False)
+            # Of callers that all see the stale lock one can rename it; a lock that has been made anew meanwhile is put back.
+            gone = self.at.suffix(f".{uuid.uuid4().hex}")
+            try:
+                if not self.store.rename(self.at, gone):
+                    return False
+            except Exception:  # another caller was first
+                return False
+            fresh = time.time() / 60 - self.store.getFileStatus(gone).getModificationTime() / 60000 < self.stale
+            if fresh:
+                self.store.rename(gone, self.at)
+                return False
+            self.store.delete(gone, False)
         elif age is not None:
             return False
         # The file system makes the file for one caller only.

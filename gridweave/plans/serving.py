@@ -91,19 +91,20 @@ PASSES = (("NOAA-21", 100), ("NOAA-21", 750), ("NOAA-20", 125), ("NOAA-20", 775)
 SETTLE_HOURS = 3.5
 
 
-def passes(spark: SparkSession, issue: Column, now: Column, fetched: Column) -> DataFrame:
-    """(satellite, minute, settles, state): in, miss or later, by when a pass can be fetched and when the data was."""
-    table = spark.createDataFrame(list(PASSES), "satellite string, minute int")
+def passes(df: DataFrame, issue: Column, now: Column, fetched: Column) -> DataFrame:
+    """df with a row for each pass of its issue day: satellite, minute, settles and state: in, miss or later, by when the pass can be fetched and when the data was."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("satellite"), F.lit(m).alias("minute")) for s, m in PASSES])).alias("_pass")
+    table = df.select("*", each).withColumns({"satellite": F.col("_pass.satellite"), "minute": F.col("_pass.minute")}).drop("_pass")
     settles = F.timestamp_seconds(F.unix_timestamp(issue.cast("timestamp")) + F.col("minute") * 60 + int(SETTLE_HOURS * 3600))
     state = F.when(now < F.col("settles"), "later").when(fetched.isNull() | (fetched >= F.col("settles")), "in").otherwise("miss")
     return table.withColumn("settles", settles).withColumn("state", state)
 
 
-def status(found: DataFrame) -> DataFrame:
-    """(status, caption) of all passes."""
+def status(found: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, status, caption) of all passes."""
     missed, later, n = F.count_if(F.col("state") == "miss"), F.min(F.when(F.col("state") == "later", F.col("settles"))), F.count("*")
     said = F.when(missed > 0, "newer passes have landed, refresh pending").when(later.isNotNull(), F.concat(F.lit("next update "), F.date_format(later, "HH:mm"))).otherwise(F.concat(F.lit("all "), n.cast("string"), F.lit(" passes in")))
-    return found.agg(F.when(missed > 0, "PARTIAL").otherwise("LIVE").alias("status"), said.alias("caption"))
+    return found.groupBy(*keys).agg(F.when(missed > 0, "PARTIAL").otherwise("LIVE").alias("status"), said.alias("caption"))
 
 
 def degraded(tags: Column) -> Column:

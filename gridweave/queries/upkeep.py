@@ -93,10 +93,25 @@ def upsert_by_key(spark, sf):
     return maintain.upserted(o.where("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_totalprice").alias("v")), o.where("o_orderpriority = '1-URGENT'").select("o_orderkey", (-F.col("o_totalprice")).alias("v")), ["o_orderkey"])
 
 
-@query("WITH p(satellite, minute) AS (VALUES ('NOAA-21', 100), ('NOAA-21', 750), ('NOAA-20', 125), ('NOAA-20', 775), ('Suomi NPP', 150), ('Suomi NPP', 800)), s AS (SELECT *, TIMESTAMP '2024-01-15 00:00:00' + to_minutes(minute + 210) AS settles FROM p) SELECT satellite, CAST(minute AS INTEGER) AS minute, CASE WHEN TIMESTAMP '2024-01-15 16:30:00' < settles THEN 'later' WHEN TIMESTAMP '2024-01-15 06:00:00' >= settles THEN 'in' ELSE 'miss' END AS state FROM s")
+_PASS = "WITH p(satellite, minute) AS (VALUES ('NOAA-21', 100), ('NOAA-21', 750), ('NOAA-20', 125), ('NOAA-20', 775), ('Suomi NPP', 150), ('Suomi NPP', 800)), n AS (SELECT event_id, CAST(ts AS DATE) AS issue, ts AS now, CASE WHEN event_id % 5 > 0 THEN ts - to_hours(CAST(event_id % 9 AS INTEGER)) END AS fetched FROM events), s AS (SELECT n.*, p.satellite, CAST(p.minute AS INTEGER) AS minute, CAST(issue AS TIMESTAMP) + to_minutes(p.minute + 210) AS settles FROM n, p), st AS (SELECT *, CASE WHEN now < settles THEN 'later' WHEN fetched IS NULL OR fetched >= settles THEN 'in' ELSE 'miss' END AS state FROM s)"
+
+
+def _passes(spark, sf):
+    """The passes of each event's day, as seen at its time with data that was fetched up to eight hours before."""
+    e = events(spark, sf).select("event_id", "day", F.col("ts").cast("timestamp").alias("now"))
+    fetched = F.when(F.col("event_id") % 5 > 0, F.timestamp_micros(F.unix_micros("now") - F.col("event_id") % 9 * F.lit(3_600_000_000)))
+    return serving.passes(e, F.col("day"), F.col("now"), fetched)
+
+
+@query(f"{_PASS} SELECT event_id, satellite, minute, state FROM st")
 def pass_state(spark, sf):
-    at = lambda s: F.lit(s).cast("timestamp")
-    return serving.passes(spark, F.lit("2024-01-15").cast("date"), at("2024-01-15 16:30:00"), at("2024-01-15 06:00:00")).select("satellite", "minute", "state")
+    return _passes(spark, sf).select("event_id", "satellite", "minute", "state")
+
+
+@query(f"{_PASS} SELECT event_id, CASE WHEN count(*) FILTER (state = 'miss') > 0 THEN 'PARTIAL' ELSE 'LIVE' END AS status, CASE WHEN count(*) FILTER (state = 'miss') > 0 THEN 'newer passes have landed, refresh pending' WHEN count(*) FILTER (state = 'later') > 0 THEN 'next update ' || strftime(min(settles) FILTER (state = 'later'), '%H:%M') ELSE 'all 6 passes in' END AS caption FROM st GROUP BY event_id")
+def pass_status(spark, sf):
+    """What all passes of a day amount to."""
+    return serving.status(_passes(spark, sf), ("event_id",))
 
 
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'complete' WHEN 'F' THEN 'event feed persisted' ELSE 'weather not refreshed' END AS banner FROM orders")
@@ -196,6 +211,18 @@ def bronze_scan(spark, sf):
     return days.where("day >= date'1997-03-01' and day < date'1997-04-01'").select("day", "cell", "rain")
 
 
+@query(f"WITH {LCUBE}, s AS (SELECT cell, day, sum(rain) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS total FROM lcube), m AS (SELECT cell, avg(coalesce(rain, 0)) AS mean FROM lcube GROUP BY cell) SELECT s.cell, s.day, round(s.total, 6) + 0.0 AS total, round(m.mean, 6) + 0.0 AS mean, l.tmax IS NOT NULL AS joined FROM s JOIN m ON m.cell = s.cell JOIN lcube l ON l.cell = s.cell AND l.day = s.day")
+def bucketed_layout(spark, sf):
+    """Windows, a grouping and joins by cell over tables in buckets, which need no shuffle (a test reads the plan)."""
+    c, at, n = lcube(spark, sf), f"{sinks.shared_dir(spark)}/streams/buckets-{uuid.uuid4().hex}", 8
+    rain = sinks.bucketed(c.select("cell", "day", "rain"), f"b{uuid.uuid4().hex}", f"{at}/rain", n, ["cell"], ["cell", "day"])
+    heat = sinks.bucketed(c.select("cell", "day", "tmax"), f"b{uuid.uuid4().hex}", f"{at}/heat", n, ["cell"], ["cell", "day"])
+    summed = rain.select("cell", "day", W.trailing_sum(F.col("rain"), 30, W.along()).alias("total"))
+    means = rain.groupBy("cell").agg(F.avg(F.coalesce("rain", F.lit(0.0))).alias("mean"))
+    joined = summed.join(means.hint("merge"), "cell").join(heat.hint("merge"), ["cell", "day"])
+    return joined.select("cell", "day", r("total").alias("total"), r("mean").alias("mean"), F.col("tmax").isNotNull().alias("joined"))
+
+
 @query()
 def engineered_features(spark, sf):
     """The whole feature chain; tests hold its parts against plain loops and its edge against the whole."""

@@ -8,14 +8,18 @@ import re
 LAND_COVER_CLASSES = tuple(sorted(map(str, range(1, 45))))
 LAND_COVER_SHARES = ("agricultural", "arable_land", "artificial", "artificial_vegetation", "forest_and_semi_natural", "forest", "heterogeneous_agriculture", "industrial", "inland_waters", "inland_wetlands", "marine_waters", "maritime_wetlands", "mine", "open_space", "permanent_crops", "scrub", "urban_fabric", "waterbody", "wetlands")
 OTHER_FEATURES = (
-    *("EVI", "FAPAR", "LAI", "LST", "NDVI", "RH_max", "RH_mean", "RH_min", "RH_range"),
-    *("aspect_1", "aspect_2", "aspect_3", "aspect_4", "aspect_5", "aspect_6", "aspect_7", "aspect_8", "aspect_NODATA", "aspect_eastness", "aspect_southness"),
-    *("built_s", "burn_frequency_365d", "dist_to_fire", "dist_to_railways_mean", "dist_to_railways_stdev", "dist_to_roads_mean", "dist_to_roads_stdev", "dist_to_urban"),
-    *("dist_to_waterways_mean", "dist_to_waterways_stdev", "elevation_mean", "elevation_stdev", "emc_peak", "ffwi", "fire_upwind_exposure", "fvc", "hli", "is_natura2000", "kbdi"),
-    *("lai_anomaly", "ndvi_anomaly", "popdens", "precip_sum_180d", "precip_sum_30d", "precip_sum_365d", "precip_sum_7d", "precip_sum_90d", "roughness_mean", "roughness_stdev"),
-    *("slope_mean", "slope_stdev", "soil_moisture_mean", "soil_temperature_mean", "spi_90d", "surface_pressure_max", "surface_pressure_mean", "surface_pressure_min", "surface_pressure_range"),
-    *("t2m_max", "t2m_mean", "t2m_min", "t2m_range", "terrain_curvature", "time_since_last_fire", "total_precipitation_mean", "tpi"),
-    *("wind_speed_max", "wind_speed_mean", "wind_u_atmaxspeed", "wind_u_mean", "wind_v_atmaxspeed", "wind_v_mean"),
+    "EVI", "FAPAR", "LAI", "LST", "NDVI", "RH_max", "RH_mean", "RH_min", "RH_range", "aspect_1", "aspect_2",
+    "aspect_3", "aspect_4", "aspect_5", "aspect_6", "aspect_7", "aspect_8", "aspect_NODATA", "aspect_eastness",
+    "aspect_southness", "built_s", "burn_frequency_365d", "dist_to_fire", "dist_to_railways_mean",
+    "dist_to_railways_stdev", "dist_to_roads_mean", "dist_to_roads_stdev", "dist_to_urban",
+    "dist_to_waterways_mean", "dist_to_waterways_stdev", "elevation_mean", "elevation_stdev", "emc_peak", "ffwi",
+    "fire_upwind_exposure", "fvc", "hli", "is_natura2000", "kbdi", "lai_anomaly", "ndvi_anomaly", "popdens",
+    "precip_sum_180d", "precip_sum_30d", "precip_sum_365d", "precip_sum_7d", "precip_sum_90d", "roughness_mean",
+    "roughness_stdev", "slope_mean", "slope_stdev", "soil_moisture_mean", "soil_temperature_mean", "spi_90d",
+    "surface_pressure_max", "surface_pressure_mean", "surface_pressure_min", "surface_pressure_range", "t2m_max",
+    "t2m_mean", "t2m_min", "t2m_range", "terrain_curvature", "time_since_last_fire", "total_precipitation_mean",
+    "tpi", "wind_speed_max", "wind_speed_mean", "wind_u_atmaxspeed", "wind_u_mean", "wind_v_atmaxspeed",
+    "wind_v_mean",
 )
 FEATURES = (*(f"CLC_2018_{c}" for c in LAND_COVER_CLASSES), *(f"CLC_2018_{s}_proportion" for s in LAND_COVER_SHARES), *OTHER_FEATURES)
 

@@ -41,17 +41,28 @@ def refused(spark: SparkSession, path: str) -> DataFrame:
 
 def _feed(spark: SparkSession, path: str) -> DataFrame:
     names = [c.split()[0] for c in DETECTIONS.split(", ")]
-    # Files hold a header each; a service that refuses a request sends its reason instead.
-    head = spark.read.text(path).limit(1).collect()
-    if head and not set(names[:2]) <= {c.strip().lower() for c in head[0].value.split(",")}:
-        raise ValueError(f"no detections: {head[0].value[:200]}")
-    columns = [c.strip() for c in head[0].value.split(",")] if head else names
     kinds = dict(c.split() for c in DETECTIONS.split(", "))
-    schema = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in columns) + ", _bad string"
-    lines = spark.read.text(path).where(F.col("value") != (head[0].value if head else ""))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    # Files hold a header each, of columns in an order of their own; a service that refuses a request sends its reason instead.
+    said = F.transform(F.split("value", ","), lambda c: F.lower(F.trim(c)))
+    header = F.array_contains(said, names[0]) & F.array_contains(said, names[1])
+    heads = lines.where(header).groupBy("_file").agg(F.min("value").alias("_head"))
+    whole = lines.join(F.broadcast(heads), "_file", "left")  # a row a file
+    if (odd := whole.where("_head is null and trim(value) <> ''").first()) is not None:
+        raise ValueError(f"no detections: {odd.value[:200]}")
+    orders = [r._head for r in heads.select("_head").distinct().collect()]
     # As an expression, so that what a line is does not depend on the columns that are asked for.
-    rows = lines.select(F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("d"))
-    return rows.select(*[F.col(f"d.{c}").alias(c) for c in names if c in columns], "d._bad")
+    rows, found = None, []
+    for head in sorted(orders):
+        columns = [c.strip().lower() for c in head.split(",")]
+        found += [c for c in columns if c in kinds and c not in found]
+        schema = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in columns) + ", _bad string"
+        one = F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+        same = F.struct(*[(one[c] if c in columns else F.lit(None).cast(kinds[c])).alias(c) for c in names], one["_bad"].alias("_bad"))
+        rows = F.when(F.col("_head") == head, same) if rows is None else rows.when(F.col("_head") == head, same)
+    if rows is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", _bad string")
+    return whole.where(~header).select(rows.alias("d")).select(*[F.col(f"d.{c}").alias(c) for c in names if c in found], "d._bad")
 
 
 # Classes of the geostationary product that are fires.

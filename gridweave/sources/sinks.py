@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,20 +31,53 @@ def replace_days(df: DataFrame, path: str, day: str = "day") -> None:
     df.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
-def append_new(df: DataFrame, path: str, day: str = "day") -> DataFrame:
-    """Appends days that the table does not have and returns them; a second call appends nothing."""
+def _folder(spark: SparkSession, path: str):
+    """(the file system, a path of it)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def append_new(df: DataFrame, path: str, day: str = "day", gate: list[str] | None = None) -> DataFrame:
+    """Appends days that the table does not have and returns them; a second call appends nothing.
+
+    df is computed once: its days are written where no reader looks, and each is
+    renamed into the table.  With ``gate``, columns that must have a finite value are
+    counted by the pass that writes, and without one nothing is appended and the
+    columns are named in an error.
+    """
     spark = df.sparkSession
+    kind = df.schema[day].dataType
     if exists(spark, path):
-        have = spark.read.parquet(path).select(F.col(day).cast("date").alias(day)).distinct()
+        have = spark.read.parquet(path).select(F.col(day).cast(kind).alias(day)).distinct()
         df = df.join(F.broadcast(have), day, "left_anti")
-    df.repartition(day).write.mode("append").partitionBy(day).parquet(path)
-    return df.select(day).distinct()
+    seen = Observation()
+    counted = df.observe(seen, F.count("*").alias("_rows"), *[finite(c).alias(f"_{c}") for c in gate or []])
+    draft = f"{path}/_draft-{uuid.uuid4().hex}"
+    counted.repartition(day).write.partitionBy(day).parquet(draft)
+    store, at = _folder(spark, draft)
+    try:
+        entries = [e for e in store.listStatus(at) if e.getPath().getName().startswith(f"{day}=")]
+        # Without rows there may be no counts either.
+        if empty := [c for c in gate or [] if entries and not seen.get[f"_{c}"]]:
+            raise ValueError(f"no finite value in {', '.join(empty)}")
+        added = []
+        for entry in entries:
+            name = entry.getPath().getName()
+            if store.rename(entry.getPath(), _folder(spark, f"{path}/{name}")[1]):
+                added.append((name.partition("=")[2],))
+    finally:
+        store.delete(at, True)
+    return spark.createDataFrame(sorted(added), f"`{day}` string").select(F.col(day).cast(kind).alias(day))
+
+
+def finite(c: str) -> Column:
+    """How many finite values a column has."""
+    return F.count(F.when(F.col(c).isNotNull() & (F.abs(F.col(c).cast("double")) < float("inf")), 1))
 
 
 def quality_gate(df: DataFrame, columns: list[str]) -> DataFrame:
     """df, or an error naming the columns that have no finite value."""
-    finite = lambda c: F.count(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), 1)).alias(c)
-    row = df.agg(*[finite(c) for c in columns]).first()
+    row = df.agg(*[finite(c).alias(c) for c in columns]).first()
     if empty := [c for c in columns if not row[c]]:
         raise ValueError(f"no finite value in {', '.join(empty)}")
     return df
@@ -69,6 +103,17 @@ def relaid(df: DataFrame, files: int, by: list[str], sort: list[str]) -> DataFra
     return df.repartition(files, *by).sortWithinPartitions(*sort)
 
 
+def bucketed(df: DataFrame, table: str, path: str, buckets: int, by: list[str], sort: list[str]) -> DataFrame:
+    """df as a table in ``buckets`` by key, sorted within: joins and windows by the key shuffle none of it.
+
+    Joins of two such tables need the same number of buckets; joins by further columns too (a day) keep to the buckets
+    in sessions with ``spark.sql.requireAllClusterKeysForCoPartition`` off.
+    """
+    spark = df.sparkSession
+    df.repartition(buckets, *by).write.mode("overwrite").bucketBy(buckets, *by).sortBy(*sort).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def stacked(df: DataFrame, features: list[str], stats: dict[str, tuple[float, float]]) -> DataFrame:
     """(day, cell, x array<float>): features standardised and in order, missing ones at their mean."""
     return df.select("day", "cell", F.array(*[F.coalesce((F.col(f) - stats[f][0]) / stats[f][1], F.lit(0.0)).cast("float") for f in features]).alias("x"))
