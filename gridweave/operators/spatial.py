@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.projection import equal_area
 from ..grid import Grid
 
 
@@ -313,6 +315,57 @@ def polygon_cells(polygons: DataFrame, grid: Grid, ring: str = "ring") -> DataFr
     return rows.where(inside_ring(x, y, F.col(ring))).withColumn("cell", grid.cell(F.col("_y"), F.col("_x"))).drop("_y", "_x")
 
 
+def projected(parts: Column | str) -> Column:
+    """Parts of rings of (x: longitude, y: latitude) with their corners in the European grid."""
+    def corner(p: Column) -> Column:
+        east, north = equal_area(p.x, p.y)
+        return F.struct(east.alias("x"), north.alias("y"))
+
+    return F.transform(parts, lambda rings: F.transform(rings, lambda ring: F.transform(ring, corner)))
+
+
+def scanned_cells(polygons: DataFrame, grid: Grid, parts: str = "parts", keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    """(keys, cell) for cells whose centre lies in a polygon: an array of parts, each an array of rings (the outer one and holes) of structs x, y.
+
+    Edges cross the rows of the grid, a row's crossings are put in order, and
+    every other stretch between them is filled; so a part's holes are open,
+    whatever the rings' orientation and whether they are closed.  What is worked on
+    grows with the edges' rows and the filled cells, not with bounding boxes.
+    Corners are in the grid's projection (see :func:`projected`); a part without
+    a ring of three corners has no cells.
+    """
+    points = polygons.select(*keys, F.posexplode(parts).alias("_part", "_rings")).select(*keys, "_part", F.explode("_rings").alias("_ring"))
+    n = F.size("_ring")
+    edge = lambda p, i: F.struct(p.alias("a"), F.element_at("_ring", F.when(i == n - 1, F.lit(1)).otherwise(i + 2)).alias("b"))
+    edges = points.where(n > 2).select(*keys, "_part", F.explode(F.transform("_ring", edge)).alias("e")).select(*keys, "_part", *[F.col(f"e.{p}.{c}").cast("double").alias(f"{p}{c}") for p in "ab" for c in "xy"])
+    row = lambda y: (F.col(y) - grid.y0) / grid.dy
+    top, bottom = F.greatest(F.ceil(F.least(row("ay"), row("by"))), F.lit(0)), F.least(F.floor(F.greatest(row("ay"), row("by"))), F.lit(grid.ny - 1))
+    crossed = edges.withColumns({"_a": top.cast("int"), "_b": bottom.cast("int")}).where("ay <> by and _a <= _b").select("*", F.explode(F.sequence("_a", "_b")).alias("_y"))
+    at = grid.y0 + grid.dy * F.col("_y")
+    crossed = crossed.where((F.col("ay") > at) != (F.col("by") > at))
+    x = ((F.col("ax") + (at - F.col("ay")) * (F.col("bx") - F.col("ax")) / (F.col("by") - F.col("ay"))) - grid.x0) / grid.dx
+    along = Window.partitionBy(*keys, "_part", "_y").orderBy("_x")
+    spans = crossed.select(*keys, "_part", "_y", x.alias("_x")).withColumns({"_next": F.lead("_x").over(along), "_n": F.row_number().over(along)}).where("_n % 2 = 1 and _next is not null")
+    # A centre on the left end is in, one on the right end is not; with columns that run west it is the other way round.
+    first, last = (F.ceil("_x"), F.ceil("_next") - 1) if grid.dx > 0 else (F.floor("_x") + 1, F.floor("_next"))
+    filled = spans.withColumns({"_a": F.greatest(first, F.lit(0)).cast("int"), "_b": F.least(last, F.lit(grid.nx - 1)).cast("int")}).where("_a <= _b").select(*keys, "_y", F.explode(F.sequence("_a", "_b")).alias("_x"))
+    return filled.select(*keys, grid.cell(F.col("_y"), F.col("_x")).alias("cell")).distinct()
+
+
+def display_index(spark: SparkSession, grid: Grid, width: int, height: int, west: float, south: float, east: float, north: float) -> DataFrame:
+    """(pixel, cell): the grid's cell under each pixel of a Mercator picture of these bounds (degrees), pixels row by row from the north-west; -1 outside the grid."""
+    pixel = F.col("id")
+    top, bottom = mercator(north), mercator(south)
+    lon = west + (east - west) * (F.pmod(pixel, F.lit(width)) + 0.5) / width
+    y = top + (bottom - top) * (F.floor(pixel / width) + 0.5) / height
+    lat = F.degrees(2 * F.atan(F.exp(y)) - math.pi / 2)
+    return spark.range(width * height).select(pixel.alias("pixel"), F.coalesce(grid.located(lon, lat), F.lit(-1)).alias("cell"))
+
+
+def mercator(lat: float) -> float:
+    return math.log(math.tan(math.pi / 4 + math.radians(lat) / 2))
+
+
 def gathered(values: DataFrame, index: DataFrame, value: str = "value") -> DataFrame:
     """(pixel, value): a raster shown through an index map (pixel, cell); a cell of -1 is nothing."""
     return index.join(values.select("cell", value), "cell", "left").select("pixel", value)

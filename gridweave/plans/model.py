@@ -6,12 +6,13 @@ from collections.abc import Callable
 from functools import reduce
 from itertools import product
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..operators import metrics
@@ -58,8 +59,6 @@ def calibrated(model: IsotonicRegressionModel, df: DataFrame, p: str = "p") -> D
 
 def permuted(df: DataFrame, feature: str, seed: int, tie: str) -> DataFrame:
     """df with one feature shuffled: rows take each other's value by two orders of a hash, bucket by bucket."""
-    from pyspark.sql import Window
-
     buckets = 64
     place = F.pmod(F.xxhash64(tie), F.lit(buckets))
     a = df.withColumn("_b", place).withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(order_of(tie))))
@@ -117,6 +116,77 @@ def searched(train: DataFrame, val: DataFrame, features: list[str], grid: dict[s
     return best
 
 
+def suggested(trials: list[tuple[dict, float]], space: dict[str, list], seed: int = 0, best: float = 0.25, draws: int = 32) -> dict:
+    """The next setting to try, by the ratio of two densities: of the values of the best trials and of the others'.
+
+    Values are places on their lists; a density is a sum of triangular kernels over
+    the trials' places and an even share.  Draws from the first one are by a fixed
+    seed and the number of trials, so the same trials ask for the same setting; one
+    that was tried is not asked for again while others are left.
+    """
+    rng = np.random.default_rng([seed, len(trials)])
+    order = sorted(range(len(trials)), key=lambda i: -trials[i][1])
+    many = max(1, int(np.ceil(best * len(trials))))
+    tried = {tuple(space[k].index(t[k]) for k in space) for t, _ in trials}
+
+    def densities(chosen: list[int]) -> list[np.ndarray]:
+        out = []
+        for k, values in space.items():
+            n = len(values)
+            reach = max(1.0, n / 4)
+            at = np.array([values.index(trials[i][0][k]) for i in chosen], float).reshape(-1, 1)
+            weight = np.ones(n) / n + np.maximum(0.0, 1 - np.abs(np.arange(n) - at) / reach).sum(0)
+            out.append(weight / weight.sum())
+        return out
+
+    good, rest = densities(order[:many]), densities(order[many:])
+    found = {tuple(int(rng.choice(len(d), p=d)) for d in good) for _ in range(draws)}
+    if not found - tried:
+        found = set(product(*[range(len(v)) for v in space.values()])) if np.prod([len(v) for v in space.values()]) <= 4096 else found
+    ratio = lambda p: sum(float(np.log(g[i] / r[i])) for g, r, i in zip(good, rest, p, strict=True))
+    top = max(sorted(found - tried or found), key=ratio)
+    return {k: v[i] for (k, v), i in zip(space.items(), top, strict=True)}
+
+
+def searched_by_density(score: Callable[[dict], float], space: dict[str, list], trials: int = 20, start: int = 6, seed: int = 0) -> list[tuple[dict, float]]:
+    """(setting, score) of all trials in order: some drawn evenly, then those that :func:`suggested` asks for."""
+    rng, done = np.random.default_rng(seed), []
+    for k in range(trials):
+        if k < start:
+            setting = {name: values[int(rng.integers(len(values)))] for name, values in space.items()}
+        else:
+            setting = suggested(done, space, seed)
+        known = [s for t, s in done if t == setting]
+        done.append((setting, known[0] if known else score(setting)))
+    return done
+
+
+def by_definition(cube: DataFrame, labels: dict[str, Column], derive: Callable[[DataFrame], DataFrame], features: list[str], fit: Callable[[DataFrame, list[str]], Callable[[DataFrame], DataFrame]], tie: str = "id") -> list[dict]:
+    """Metrics of a model for each definition of an event, fitted and judged on that definition's own matrix by a chronological split.
+
+    ``derive`` makes (tie, day, y, features) of a cube with that definition; ``fit``
+    gives what adds p.  A row a definition reaches the driver.
+    """
+    out = []
+    for name, definition in labels.items():
+        data = chronological(derive(cube.withColumn("is_fire", definition)).where("y is not null"))
+        val = fit(data.where("part = 'train'"), features)(data.where("part = 'val'"))
+        found = metrics.average_precision(val, "p", "y").first(), metrics.roc_auc(val, "p", "y").first(), metrics.r_precision(val, "p", "y", tie).first()
+        out.append({"label": name, "ap": found[0].ap, "auc": found[1].auc, "precision_at_k": found[2].precision, "n_pos": found[1].n_pos, "n_neg": found[1].n_neg})
+    return out
+
+
+def forecast_gain(df: DataFrame, features: list[str], weather: list[str], fit: Callable[[DataFrame, list[str]], Callable[[DataFrame], DataFrame]], lead: int = 1) -> dict[str, float | None]:
+    """Average precision without a forecast, with the weather of t + lead in its place, and with both; on the rows that all three have."""
+    w = Window.partitionBy("cell").orderBy("day")
+    both = with_lead(df, weather, lead, True, w).where(" and ".join(f"{f}_lead{lead} is not null" for f in weather))
+    later = [f"{f}_lead{lead}" for f in weather]
+    data = chronological(both.where("y is not null"))
+    train, val = data.where("part = 'train'"), data.where("part = 'val'")
+    sets = {"without": features, "instead": [f for f in features if f not in weather] + later, "with": features + later}
+    return {name: metrics.average_precision(fit(train, names)(val), "p", "y").first().ap for name, names in sets.items()}
+
+
 def early_stopped(scores: list[tuple[float, float]], alpha: float = 0.5, patience: int = 3) -> int:
     """The step to keep by a blend of two precisions (new events, spread); looking ends after ``patience`` steps without a better one."""
     best, at = -1.0, 0

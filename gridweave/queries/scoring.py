@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics, sampling
@@ -82,8 +83,6 @@ def causes(spark, sf):
 
 def _learning(spark, sf):
     """(day, cell, x1..x3, y): features of a day, the event of the next."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("cell").orderBy("day")
     c = ecube(spark, sf).withColumns({"y": F.lead("is_fire").over(w), "x1": F.col("mean"), "x2": F.col("n").cast("double"), "x3": F.sum("n").over(w.rowsBetween(-6, 0)).cast("double")})
     return sampling.chronological(c.where("y is not null")).withColumn("regime", F.when(F.col("n") > 2, 2).otherwise(1))
@@ -125,6 +124,31 @@ def drivers(spark, sf):
     return found.select("regime", "feature", r("drop").alias("drop"), "rank")
 
 
+def _logistic(train, names):
+    """What adds p, fitted on train."""
+    m = model.logistic(train, names)
+    return lambda df: model.scored(m, df, names)
+
+
+@query()
+def label_definitions(spark, sf):
+    """Metrics of models that are fitted and judged by different definitions of an event."""
+    c = ecube(spark, sf)
+    w = Window.partitionBy("cell").orderBy("day")
+    derive = lambda d: d.select("day", "cell", F.concat_ws("|", "day", "cell").alias("id"), F.lead("is_fire").over(w).alias("y"), F.col("mean").alias("x1"), F.col("n").cast("double").alias("x2"))
+    labels = {"any": F.col("is_fire"), "busy": F.col("is_fire") * (F.col("n") > 1).cast("int"), "high": (F.coalesce("mean", F.lit(0.0)) > 60).cast("int")}
+    found = model.by_definition(c, labels, derive, ["x1", "x2"], _logistic)
+    return rounded(spark.createDataFrame([tuple(r.values()) for r in found], "label string, ap double, auc double, precision_at_k double, n_pos long, n_neg long"))
+
+
+@query()
+def forecast_gain(spark, sf):
+    """Precision without a forecast, with one in place of the day's weather, and with both."""
+    data = _learning(spark, sf).drop("part")
+    found = model.forecast_gain(data, _X, ["x1", "x2"], _logistic)
+    return rounded(spark.createDataFrame(list(found.items()), "features string, ap double"))
+
+
 @query()
 def group_ablation(spark, sf):
     """Precision without each group of features."""
@@ -143,8 +167,6 @@ def feature_importance(spark, sf):
 
 @query(f"WITH {ECUBE}, b AS (SELECT cell, day, is_fire AS y, -coalesce(day - max(CASE WHEN is_fire = 1 THEN day END) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 99)::DOUBLE AS persistence FROM ecube), g AS (SELECT persistence AS p, count(*) AS n, sum(y) AS pos FROM b GROUP BY 1), c AS (SELECT pos, sum(n) OVER (ORDER BY p DESC) AS cn, sum(pos) OVER (ORDER BY p DESC) AS cp FROM g) SELECT round(sum(pos * (cp / cn::DOUBLE)) / sum(pos), 6) + 0.0 AS ap FROM c")
 def persistence_baseline(spark, sf):
-    from pyspark.sql import Window
-
     before = Window.partitionBy("cell").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     last = F.max(F.when(F.col("is_fire") == 1, F.col("day"))).over(before)
     b = ecube(spark, sf).withColumn("p", -F.coalesce(F.datediff("day", last), F.lit(99)).cast("double"))

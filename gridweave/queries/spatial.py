@@ -111,6 +111,16 @@ def polygon_cells(spark, sf):
     return G.polygon_cells(p, grid).select("id", "cell")
 
 
+@query("WITH p AS (SELECT s_suppkey AS id, (s_suppkey % 23)::DOUBLE + 0.25 AS x, (s_suppkey % 19)::DOUBLE + 0.25 AS y FROM supplier), g AS (SELECT CAST(a.range AS INTEGER) AS i, CAST(b.range AS INTEGER) AS j FROM range(30) a, range(30) b) SELECT p.id, CAST(j * 30 + i AS INTEGER) AS cell FROM p, g WHERE (i > x AND i < x + 6 AND j > y AND j < y + 5 AND NOT (i > x + 2 AND i < x + 4 AND j > y + 1 AND j < y + 3)) OR (i > x + 7 AND j > y AND (i - x - 7) + (j - y) < 3)")
+def polygon_holes(spark, sf):
+    """Cells of polygons of two parts, a rectangle with a hole and a triangle."""
+    grid = Grid(0.0, 0.0, 1.0, 1.0, 30, 30)
+    x, y = F.pmod("s_suppkey", F.lit(23)) + 0.25, F.pmod("s_suppkey", F.lit(19)) + 0.25
+    ring = lambda *corners: F.array(*[F.struct((x + a).cast("double").alias("x"), (y + b).cast("double").alias("y")) for a, b in corners])
+    parts = F.array(F.array(ring((0, 0), (6, 0), (6, 5), (0, 5)), ring((2, 1), (2, 3), (4, 3), (4, 1), (2, 1))), F.array(ring((7, 0), (10, 0), (7, 3))))
+    return G.scanned_cells(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), parts.alias("parts")), grid)
+
+
 @query(f"""{_NEAR}, al AS (SELECT day, cell FROM c WHERE u > 9),
 q AS (SELECT day, cell, sqrt(d2) * 2 AS d FROM k WHERE k = 1), ev2 AS (SELECT day, cell FROM c WHERE e = 1),
 b AS (SELECT e.day, e.cell, min((e.cell % 10 - a.cell % 10) * (e.cell % 10 - a.cell % 10) + (e.cell // 10 - a.cell // 10) * (e.cell // 10 - a.cell // 10)) AS d2 FROM ev2 e LEFT JOIN al a ON a.day = e.day GROUP BY 1, 2)

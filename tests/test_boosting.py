@@ -97,3 +97,14 @@ def test_precision_is_not_below_that_of_trees_without_missing_values(spark, smal
     theirs = model.scored(model.boosted(train, _X, trees=5, depth=3), val, _X)
     ap = [metrics.average_precision(s, "p", "y").first()[0] for s in (ours, theirs)]
     assert ap[0] >= ap[1] - 0.01
+
+
+def test_search_by_densities_beats_a_grid_of_its_size():
+    space = {"depth": list(range(2, 12)), "rate": [0.01 * k for k in range(1, 31)], "l2": [0.1 * k for k in range(1, 21)]}
+    surface = lambda s: -((s["depth"] - 7) ** 2) / 10 - ((s["rate"] - 0.17) ** 2) * 100 - (s["l2"] - 1.3) ** 2
+    grid = [{"depth": d, "rate": r, "l2": z} for d in (2, 6, 10) for r in (0.01, 0.11, 0.21) for z in (0.1, 0.8, 1.5)]
+    for seed in range(5):
+        trials = model.searched_by_density(surface, space, trials=27, seed=seed)
+        assert max(s for _, s in trials) > max(map(surface, grid)) and trials == model.searched_by_density(surface, space, trials=27, seed=seed)
+    small = {"a": [1, 2], "b": [1, 2]}
+    assert len({tuple(t.values()) for t, _ in model.searched_by_density(lambda s: s["a"], small, trials=8, start=2)}) == 4
