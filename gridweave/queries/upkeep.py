@@ -223,11 +223,37 @@ def bucketed_layout(spark, sf):
     return joined.select("cell", "day", r("total").alias("total"), r("mean").alias("mean"), F.col("tmax").isNotNull().alias("joined"))
 
 
-@query()
+_PAST = "PARTITION BY cell ORDER BY day ROWS BETWEEN {} PRECEDING AND CURRENT ROW"
+_CHAIN = f"""WITH RECURSIVE {ECUBE},
+f AS (SELECT day, cell, is_fire, n, coalesce(mean, 0) AS m, CAST(cell % 7 AS DOUBLE) AS k FROM ecube),
+c AS (SELECT day, cell, is_fire, m / 50 AS rain, 15 + k + m / 10 AS t, 60 - m / 5 AS rh, k / 2 + n AS w, k - 3 AS u, 3 - k AS v, 0.3 + k / 20 AS ndvi, row_number() OVER (PARTITION BY cell ORDER BY day) AS r FROM f),
+ny AS (SELECT greatest(16, max(cell) // 10 + 1) AS ny FROM c),
+d AS (SELECT c.day, c.cell, o.cell AS near, (c.cell % 10 - o.cell % 10) * (c.cell % 10 - o.cell % 10) + (c.cell // 10 - o.cell // 10) * (c.cell // 10 - o.cell // 10) AS d2 FROM c LEFT JOIN (SELECT day, cell FROM c WHERE is_fire = 1) o ON o.day = c.day),
+e AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY day, cell ORDER BY d2, near) = 1),
+y AS (SELECT cell, sum(24 * rain) / (((SELECT max(day) - min(day) FROM c) + 1) / 365.25) AS annual FROM c GROUP BY cell),
+walk AS (SELECT cell, CAST(0 AS BIGINT) AS r, 0.0::DOUBLE AS q, 0.0::DOUBLE AS wet FROM y
+UNION ALL
+SELECT s.cell, s.r, least(g.g + greatest((203.2 - g.g) * (0.968 * exp(0.0875 * s.t + 1.5552) - 8.30) / (1 + 10.88 * exp(-0.001736 * y.annual)) * 1e-3, 0), 203.2), g.spell
+FROM walk x JOIN c s ON s.cell = x.cell AND s.r = x.r + 1 JOIN y ON y.cell = x.cell,
+LATERAL (SELECT CASE WHEN s.rain > 0 THEN x.wet + 24 * s.rain ELSE 0 END AS spell, greatest(x.q - CASE WHEN s.rain > 0 THEN greatest(x.wet + 24 * s.rain - 5.08, 0) - greatest(x.wet - 5.08, 0) ELSE 0 END, 0) AS g) g),
+p AS (SELECT c.*, t * 9 / 5 + 32 AS f, sum(rain) OVER ({_PAST.format(6)}) AS s7, sum(rain) OVER ({_PAST.format(89)}) AS s90, sum(rain) OVER ({_PAST.format(364)}) AS s365,
+  r - coalesce(max(CASE WHEN is_fire = 1 THEN r END) OVER ({_PAST.format("UNBOUNDED")}), 0) AS since, CASE WHEN r >= 365 THEN sum(is_fire) OVER ({_PAST.format(364)}) END AS burn FROM c),
+z AS (SELECT *, greatest(CASE WHEN rh < 10 THEN 0.03229 + 0.281073 * rh - 0.000578 * rh * f WHEN rh <= 50 THEN 2.22749 + 0.160107 * rh - 0.014784 * f ELSE 21.0606 + 0.005565 * rh * rh - 0.00035 * rh * f - 0.483199 * rh END, 0) AS emc,
+  greatest(0.6108 * exp(17.625 * t / (t + 243.04)) * (1 - rh / 100), 0) AS vpd, count(s90) OVER b AS n90, (s90 - avg(s90) OVER b) / (stddev_pop(s90) OVER b + 1e-6) AS z90 FROM p WINDOW b AS (PARTITION BY cell, dayofyear(day) ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h AS (SELECT z.*, least(emc, 30) / 30 AS g, e.near, e.d2, x.q, CAST(z.day + 1 AS DATE) AS next FROM z JOIN e ON e.day = z.day AND e.cell = z.cell JOIN walk x ON x.cell = z.cell AND x.r = z.r)
+SELECT day, cell, round(coalesce(sqrt(d2) * 2, sqrt(10 * 10 + (SELECT ny * ny FROM ny)) * 2), 4) + 0.0 AS dist_to_fire,
+  round(CASE WHEN near IS NULL OR d2 = 0 THEN 0 ELSE (u * (cell % 10 - near % 10) * 2000 - v * (cell // 10 - near // 10) * 2000) / (d2 * 4000000.0::DOUBLE) END, 4) + 0.0 AS fire_upwind_exposure,
+  round(s7, 4) + 0.0 AS precip_sum_7d, round(s365, 4) + 0.0 AS precip_sum_365d, CAST(since AS INTEGER) AS time_since_last_fire, round(CAST(burn AS DOUBLE), 4) + 0.0 AS burn_frequency_365d,
+  CASE WHEN n90 >= 2 THEN round(least(greatest(z90, -10), 10), 4) + 0.0 END AS spi_90d, round(q, 4) + 0.0 AS kbdi, round(emc, 4) + 0.0 AS emc_peak,
+  round((1 - 2 * g + 1.5 * g * g - 0.5 * g * g * g) * sqrt(1 + (2.236936 * w) * (2.236936 * w)) / 0.3002, 4) + 0.0 AS ffwi, round(vpd, 4) + 0.0 AS vpd_peak, round(vpd * w, 4) + 0.0 AS hdw,
+  round(least(greatest(pow((ndvi - 0.05) / (0.86 - 0.05), 2), 0), 1), 4) + 0.0 AS fvc, round(sin(2 * pi() * (dayofyear(next) - 1) / 365.25), 4) + 0.0 AS doy_sin, round(cos(2 * pi() * (isodow(next) - 1) / 7), 4) + 0.0 AS dow_cos_tp1 FROM h"""
+
+
+@query(_CHAIN)
 def engineered_features(spark, sf):
-    """The whole feature chain; tests hold its parts against plain loops and its edge against the whole."""
+    """The whole feature chain."""
     out = features.engineered(_full(spark, sf), plot(events(spark, sf), WIDE))
-    return rounded(out.select("day", "cell", "dist_to_fire", "fire_upwind_exposure", "precip_sum_7d", "precip_sum_365d", "time_since_last_fire", "burn_frequency_365d", "spi_90d", "kbdi", "emc_peak", "ffwi", "vpd_peak", "hdw", "fvc", "doy_sin", "dow_cos_tp1"))
+    return rounded(out.select("day", "cell", "dist_to_fire", "fire_upwind_exposure", "precip_sum_7d", "precip_sum_365d", "time_since_last_fire", "burn_frequency_365d", "spi_90d", "kbdi", "emc_peak", "ffwi", "vpd_peak", "hdw", "fvc", "doy_sin", "dow_cos_tp1"), 4)
 
 
 def _collected(spark, stream, name: str, mode: str = "append"):
