@@ -241,19 +241,19 @@ p AS (SELECT c.*, t * 9 / 5 + 32 AS f, sum(rain) OVER ({_PAST.format(6)}) AS s7,
 z AS (SELECT *, greatest(CASE WHEN rh < 10 THEN 0.03229 + 0.281073 * rh - 0.000578 * rh * f WHEN rh <= 50 THEN 2.22749 + 0.160107 * rh - 0.014784 * f ELSE 21.0606 + 0.005565 * rh * rh - 0.00035 * rh * f - 0.483199 * rh END, 0) AS emc,
   greatest(0.6108 * exp(17.625 * t / (t + 243.04)) * (1 - rh / 100), 0) AS vpd, count(s90) OVER b AS n90, (s90 - avg(s90) OVER b) / (stddev_pop(s90) OVER b + 1e-6) AS z90 FROM p WINDOW b AS (PARTITION BY cell, dayofyear(day) ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 h AS (SELECT z.*, least(emc, 30) / 30 AS g, e.near, e.d2, x.q, CAST(z.day + 1 AS DATE) AS next FROM z JOIN e ON e.day = z.day AND e.cell = z.cell JOIN walk x ON x.cell = z.cell AND x.r = z.r)
-SELECT day, cell, round(coalesce(sqrt(d2) * 2, sqrt(10 * 10 + (SELECT ny * ny FROM ny)) * 2), 4) + 0.0 AS dist_to_fire,
-  round(CASE WHEN near IS NULL OR d2 = 0 THEN 0 ELSE (u * (cell % 10 - near % 10) * 2000 - v * (cell // 10 - near // 10) * 2000) / (d2 * 4000000.0::DOUBLE) END, 4) + 0.0 AS fire_upwind_exposure,
-  round(s7, 4) + 0.0 AS precip_sum_7d, round(s365, 4) + 0.0 AS precip_sum_365d, CAST(since AS INTEGER) AS time_since_last_fire, round(CAST(burn AS DOUBLE), 4) + 0.0 AS burn_frequency_365d,
-  CASE WHEN n90 >= 2 THEN round(least(greatest(z90, -10), 10), 4) + 0.0 END AS spi_90d, round(q, 4) + 0.0 AS kbdi, round(emc, 4) + 0.0 AS emc_peak,
-  round((1 - 2 * g + 1.5 * g * g - 0.5 * g * g * g) * sqrt(1 + (2.236936 * w) * (2.236936 * w)) / 0.3002, 4) + 0.0 AS ffwi, round(vpd, 4) + 0.0 AS vpd_peak, round(vpd * w, 4) + 0.0 AS hdw,
-  round(least(greatest(pow((ndvi - 0.05) / (0.86 - 0.05), 2), 0), 1), 4) + 0.0 AS fvc, round(sin(2 * pi() * (dayofyear(next) - 1) / 365.25), 4) + 0.0 AS doy_sin, round(cos(2 * pi() * (isodow(next) - 1) / 7), 4) + 0.0 AS dow_cos_tp1 FROM h"""
+SELECT day, cell, round(coalesce(sqrt(d2) * 2, sqrt(10 * 10 + (SELECT ny * ny FROM ny)) * 2), 6) + 0.0 AS dist_to_fire,
+  round(CASE WHEN near IS NULL OR d2 = 0 THEN 0 ELSE (u * (cell % 10 - near % 10) * 2000 - v * (cell // 10 - near // 10) * 2000) / (d2 * 4000000.0::DOUBLE) END, 6) + 0.0 AS fire_upwind_exposure,
+  round(s7, 6) + 0.0 AS precip_sum_7d, round(s365, 6) + 0.0 AS precip_sum_365d, CAST(since AS INTEGER) AS time_since_last_fire, round(CAST(burn AS DOUBLE), 6) + 0.0 AS burn_frequency_365d,
+  CASE WHEN n90 >= 2 THEN round(least(greatest(z90, -10), 10), 6) + 0.0 END AS spi_90d, round(q, 6) + 0.0 AS kbdi, round(emc, 4) + 0.0 AS emc_peak,
+  round((1 - 2 * g + 1.5 * g * g - 0.5 * g * g * g) * sqrt(1 + (2.236936 * w) * (2.236936 * w)) / 0.3002, 6) + 0.0 AS ffwi, round(vpd, 6) + 0.0 AS vpd_peak, round(vpd * w, 6) + 0.0 AS hdw,
+  round(least(greatest(pow((ndvi - 0.05) / (0.86 - 0.05), 2), 0), 1), 6) + 0.0 AS fvc, round(sin(2 * pi() * (dayofyear(next) - 1) / 365.25), 6) + 0.0 AS doy_sin, round(cos(2 * pi() * (isodow(next) - 1) / 7), 6) + 0.0 AS dow_cos_tp1 FROM h"""
 
 
 @query(_CHAIN)
 def engineered_features(spark, sf):
     """The whole feature chain."""
     out = features.engineered(_full(spark, sf), plot(events(spark, sf), WIDE))
-    return rounded(out.select("day", "cell", "dist_to_fire", "fire_upwind_exposure", "precip_sum_7d", "precip_sum_365d", "time_since_last_fire", "burn_frequency_365d", "spi_90d", "kbdi", "emc_peak", "ffwi", "vpd_peak", "hdw", "fvc", "doy_sin", "dow_cos_tp1"), 4)
+    return rounded(out.select("day", "cell", "dist_to_fire", "fire_upwind_exposure", "precip_sum_7d", "precip_sum_365d", "time_since_last_fire", "burn_frequency_365d", "spi_90d", "kbdi", "emc_peak", "ffwi", "vpd_peak", "hdw", "fvc", "doy_sin", "dow_cos_tp1").withColumn("emc_peak", r("emc_peak", 4)))
 
 
 def _collected(spark, stream, name: str, mode: str = "append"):
