@@ -1,4 +1,4 @@
-"""Counts of the pass that writes, appends that leave nothing, tables in buckets, locks, headers by file."""
+"""Gates, appends that leave nothing, tables in buckets, locks, headers by file."""
 
 import os
 from datetime import date
