@@ -15,6 +15,11 @@ from .base import ECUBE, LCUBE, WIDE, ecube, events, lcube, plot, query, r, roun
 from .windows import DRY
 
 
+def _work(spark, name: str) -> str:
+    """A new path in the shared folder, under this application's name, with what else it leaves there."""
+    return f"{sinks.shared_dir(spark)}/gridweave/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def json_props(spark, sf):
     return events(spark, sf).select("event_id", F.from_json("props", "k int").k.alias("k"))
@@ -174,7 +179,7 @@ def edge_over_years(spark, sf):
     """A year and a half of new days on five built years, in two edges, and whether all features equal the whole run's."""
     cube = _years(spark, sf)
     grid, annual = plot(cube, WIDE), features.annual_rain(cube)
-    at = f"{sinks.shared_dir(spark)}/streams/edges-{uuid.uuid4().hex}"
+    at = _work(spark, "edges")
 
     def kept(df):
         path = f"{at}/{uuid.uuid4().hex}"
@@ -193,7 +198,7 @@ def edge_over_years(spark, sf):
 @query(f"WITH {LCUBE} SELECT cell, day, rain AS before, coalesce(rain, 0.0::DOUBLE) AS after, round(tmax, 6) + 0.0 AS tmax, round(tmax - 18, 6) + 0.0 AS heat, 3::BIGINT AS version FROM lcube")
 def column_replace(spark, sf):
     """A version of a table before and after one of its columns was replaced and another added, each written alone."""
-    store = snapshots.Snapshots(spark, f"{sinks.shared_dir(spark)}/streams/table-{uuid.uuid4().hex}")
+    store = snapshots.Snapshots(spark, _work(spark, "table"))
     store.create(lcube(spark, sf), ["cell", "day"])
     old = store.read(["rain"])  # held while others write
     store.put(store.read(["rain"]).withColumn("rain", F.coalesce("rain", F.lit(0.0))))
@@ -205,7 +210,7 @@ def column_replace(spark, sf):
 @query(f"WITH {LCUBE} SELECT day, cell, rain FROM lcube WHERE day >= DATE '1997-03-01' AND day < DATE '1997-04-01' AND rain IS NOT NULL")
 def bronze_scan(spark, sf):
     """A month of one variable of daily array files, written from the cube; other files and members are not opened."""
-    c, at = lcube(spark, sf), f"{sinks.shared_dir(spark)}/streams/arrays-{uuid.uuid4().hex}"
+    c, at = lcube(spark, sf), _work(spark, "arrays")
     arrays.write_days(c.where("year(day) = 1997"), plot(c), at, ["rain", "tmax"]).count()
     days = arrays.read_days(spark, at, ["rain"])
     return days.where("day >= date'1997-03-01' and day < date'1997-04-01'").select("day", "cell", "rain")
@@ -214,7 +219,7 @@ def bronze_scan(spark, sf):
 @query(f"WITH {LCUBE}, s AS (SELECT cell, day, sum(rain) OVER (PARTITION BY cell ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS total FROM lcube), m AS (SELECT cell, avg(coalesce(rain, 0)) AS mean FROM lcube GROUP BY cell) SELECT s.cell, s.day, round(s.total, 6) + 0.0 AS total, round(m.mean, 6) + 0.0 AS mean, l.tmax IS NOT NULL AS joined FROM s JOIN m ON m.cell = s.cell JOIN lcube l ON l.cell = s.cell AND l.day = s.day")
 def bucketed_layout(spark, sf):
     """Windows, a grouping and joins by cell over tables in buckets, which need no shuffle (a test reads the plan)."""
-    c, at, n = lcube(spark, sf), f"{sinks.shared_dir(spark)}/streams/buckets-{uuid.uuid4().hex}", 8
+    c, at, n = lcube(spark, sf), _work(spark, "buckets"), 8
     rain = sinks.bucketed(c.select("cell", "day", "rain"), f"b{uuid.uuid4().hex}", f"{at}/rain", n, ["cell"], ["cell", "day"])
     heat = sinks.bucketed(c.select("cell", "day", "tmax"), f"b{uuid.uuid4().hex}", f"{at}/heat", n, ["cell"], ["cell", "day"])
     summed = rain.select("cell", "day", W.trailing_sum(F.col("rain"), 30, W.along()).alias("total"))
@@ -258,7 +263,7 @@ def engineered_features(spark, sf):
 
 def _collected(spark, stream, name: str, mode: str = "append"):
     """What a stream over the table gives once it has taken all in; rows wait in a table of the shared folder."""
-    at = f"{sinks.shared_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"
+    at = _work(spark, name)
     jobs.run_once(stream, f"{at}/checkpoint", lambda batch, number: batch.write.mode("overwrite").parquet(f"{at}/rows/batch={number}"), mode)
     return spark.read.schema(stream.schema).parquet(f"{at}/rows").select(*stream.columns) if sinks.exists(spark, f"{at}/rows") else spark.createDataFrame([], stream.schema)
 
@@ -311,7 +316,7 @@ def stream_features(spark, sf):
     annual = features.annual_rain(cube)
     w = W.along()
     whole = W.run_lengths(features.sums(cube, w), w, time_since_last_fire=F.coalesce(F.col("is_fire"), F.lit(0)) < 0.5)
-    at = f"{sinks.shared_dir(spark)}/streams/built-{uuid.uuid4().hex}"
+    at = _work(spark, "built")
     whole = features.droughts(features.anomalies(whole), annual)
     whole.write.parquet(at)
     whole = spark.read.schema(whole.schema).parquet(at)
@@ -331,7 +336,7 @@ def stream_features(spark, sf):
 
 def _halves(spark, rows, after):
     """A stream of rows in two batches: days up to one, and later ones."""
-    at = f"{sinks.shared_dir(spark)}/streams/days-{uuid.uuid4().hex}"
+    at = _work(spark, "days")
     for k, part in enumerate((rows.where(F.col("day") <= after), rows.where(F.col("day") > after))):
         part.coalesce(1).write.mode("append").parquet(f"{at}/{k}")
     return jobs.read_new(spark, f"{at}/*", rows.schema)
