@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # National holidays of Spain (month, day), next to Good Friday.
@@ -55,10 +55,27 @@ def regions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c, s, n) for c, (s, n) in REGIONS.items()], "code int, subdivision string, name string")
 
 
-def day_spine(df: DataFrame, day: str, *keys: str) -> DataFrame:
-    """Every key of df with every day between df's first and last: a gap-free axis."""
-    bounds = df.agg(F.min(day).alias("a"), F.max(day).alias("b"))
-    return df.select(*keys).distinct().join(F.broadcast(bounds)).select(*keys, F.explode(F.sequence("a", "b")).alias(day))
+#: Rows of a table that are dealt to one task, about; a key's rows stay together.
+ROWS = 100_000
+
+
+def gap_free(df: DataFrame, day: str, key: str, *found: Column) -> DataFrame:
+    """(key, day, what is found): every key of df with every day between df's first and last; found of the day's rows, missing on days without any.
+
+    A day's row is repeated until the next one's day.  So no table of all keys by all
+    days is joined, shuffled or broadcast: only df's own rows are dealt out, by key,
+    to as many tasks as they need, and windows of a key find its days in one place.
+    """
+    size = df.agg(F.count("*").alias("n"), F.min(day).alias("a"), F.max(day).alias("b")).first()
+    first, last = F.lit(size.a).cast("date"), F.lit(size.b).cast("date")
+    rows = df.repartition(max(1, -(-size.n // ROWS)), key).groupBy(key, day).agg(*found)
+    names = [c for c in rows.columns if c not in (key, day)]
+    w = Window.partitionBy(key).orderBy(day)
+    spans = rows.withColumns({"_from": F.when(F.row_number().over(w) == 1, first).otherwise(F.col(day)), "_to": F.coalesce(F.date_sub(F.lead(day).over(w), 1), last)})
+    # A key without a name meets no rows, as in a join.
+    own = (F.col("_at") == F.col(day)) & F.col(key).isNotNull()
+    days = spans.where("_from <= _to").select("*", F.explode(F.sequence("_from", "_to")).alias("_at"))
+    return days.select(key, F.col("_at").alias(day), *[F.when(own, F.col(c)).alias(c) for c in names])
 
 
 def day_index(day: Column, first: Column | str) -> Column:

@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import day_spine
+from ..functions.calendar import gap_free
 from ..grid import Grid
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,9 +60,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 def ecube(spark: SparkSession, sf: str) -> DataFrame:
     """(day, cell, n, mean, is_fire) without gaps."""
-    e = events(spark, sf)
-    found = e.groupBy("day", "cell").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.max((F.col("event_type") == "error").cast("int")).alias("is_fire"))
-    return day_spine(e, "day", "cell").join(found, ["day", "cell"], "left").withColumns({"n": F.coalesce("n", F.lit(0)), "is_fire": F.coalesce("is_fire", F.lit(0))})
+    c = gap_free(events(spark, sf), "day", "cell", F.count("*").alias("n"), F.avg("value").alias("mean"), F.max((F.col("event_type") == "error").cast("int")).alias("is_fire"))
+    return c.select("day", "cell", F.coalesce("n", F.lit(0)).alias("n"), "mean", F.coalesce("is_fire", F.lit(0)).alias("is_fire"))
 
 
 ECUBE = """ev AS (SELECT event_id, ts, CAST(ts AS DATE) AS day, CAST(user_id AS INTEGER) AS cell, event_type, value, props FROM events),
@@ -78,8 +77,7 @@ def tmax(day: Column) -> Column:
 def lcube(spark: SparkSession, sf: str) -> DataFrame:
     """(cell, day, rain, tmax) without gaps."""
     li = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("int").alias("cell"), F.to_date("l_shipdate").alias("day"), F.col("l_quantity").cast("decimal(18,2)").alias("q"))
-    found = li.groupBy("cell", "day").agg(F.sum("q").cast("double").alias("rain"))
-    return day_spine(li, "day", "cell").join(found, ["cell", "day"], "left").withColumn("tmax", tmax(F.col("day")))
+    return gap_free(li, "day", "cell", F.sum("q").cast("double").alias("rain")).withColumn("tmax", tmax(F.col("day")))
 
 
 LCUBE = """li AS (SELECT CAST(l_suppkey AS INTEGER) AS cell, CAST(l_shipdate AS DATE) AS day, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS rain FROM lineitem GROUP BY 1, 2),
