@@ -247,6 +247,10 @@ def _weighted(value: str, power: float) -> Column:
     return F.sum(weight * F.col(value)) / F.sum(weight)
 
 
+#: Pairs of a target and a point that one task orders, about.
+PAIRS = 250_000
+
+
 def _by_squares(known: DataFrame, asked: DataFrame, k: int, power: float, value: str, keys: tuple[str, ...], step: float | None) -> DataFrame:
     """The same by rounds: a target sees the points of its square and the eight around it.
 
@@ -257,7 +261,7 @@ def _by_squares(known: DataFrame, asked: DataFrame, k: int, power: float, value:
     """
     ends = lambda c: (F.min(c).alias(f"{c}0"), F.max(c).alias(f"{c}1"))
     p = known.agg(F.count("*").alias("n"), *ends("px"), *ends("py")).first()
-    t = asked.agg(*ends("tx"), *ends("ty")).first()
+    t = asked.agg(F.count("*").alias("n"), *ends("tx"), *ends("ty")).first()
     if not p.n or t.tx0 is None:
         return asked.join(known.limit(0)).select(*keys, "cell", value)
     x0, y0 = min(p.px0, t.tx0), min(p.py0, t.ty0)
@@ -267,6 +271,8 @@ def _by_squares(known: DataFrame, asked: DataFrame, k: int, power: float, value:
     size = max(step or ((wide * high * k / p.n) ** 0.5 or max(wide, high) * k / p.n), 1.001)
     square = lambda x, y: (F.floor((F.col(x) - x0) / size).alias("bx"), F.floor((F.col(y) - y0) / size).alias("by"))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("o")
+    # A target meets about 9 k points at first, which stay in its task.
+    asked = asked.repartition(max(1, -(-t.n * 9 * k // PAIRS)), "cell")
     todo = asked.join(F.broadcast(known.select(*keys).distinct())) if keys else asked
     done = []
     while True:
