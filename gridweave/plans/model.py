@@ -80,7 +80,9 @@ def without_groups(train: DataFrame, val: DataFrame, features: list[str], label:
     for group in ["none", *dict.fromkeys(map(group_of, features))]:
         kept = [f for f in features if group_of(f) != group]
         if kept:
-            out.append((group, metrics.average_precision(scored(fit(train, kept, label), val, kept), "p", label).first().ap))
+            found = scored(fit(train, kept, label), val, kept).select("p", label).persist()
+            out.append((group, metrics.average_precision(found, "p", label).first().ap))
+            found.unpersist()
     return out
 
 
@@ -169,10 +171,14 @@ def by_definition(cube: DataFrame, labels: dict[str, Column], derive: Callable[[
     """
     out = []
     for name, definition in labels.items():
-        data = chronological(derive(cube.withColumn("is_fire", definition)).where("y is not null"))
-        val = fit(data.where("part = 'train'"), features)(data.where("part = 'val'"))
+        # Fitting and judging read the rows many times, and they come out of windows.
+        rows = derive(cube.withColumn("is_fire", definition)).where("y is not null").select(tie, "day", "y", *features).persist()
+        data = chronological(rows)
+        val = fit(data.where("part = 'train'"), features)(data.where("part = 'val'")).select(tie, "p", "y").persist()
         found = metrics.average_precision(val, "p", "y").first(), metrics.roc_auc(val, "p", "y").first(), metrics.r_precision(val, "p", "y", tie).first()
         out.append({"label": name, "ap": found[0].ap, "auc": found[1].auc, "precision_at_k": found[2].precision, "n_pos": found[1].n_pos, "n_neg": found[1].n_neg})
+        val.unpersist()
+        rows.unpersist()
     return out
 
 
@@ -181,10 +187,18 @@ def forecast_gain(df: DataFrame, features: list[str], weather: list[str], fit: C
     w = Window.partitionBy("cell").orderBy("day")
     both = with_lead(df, weather, lead, True, w).where(" and ".join(f"{f}_lead{lead} is not null" for f in weather))
     later = [f"{f}_lead{lead}" for f in weather]
-    data = chronological(both.where("y is not null"))
+    # Fitting and judging read the rows many times, and they come out of windows.
+    rows = both.where("y is not null").select("day", "y", *features, *later).persist()
+    data = chronological(rows)
     train, val = data.where("part = 'train'"), data.where("part = 'val'")
     sets = {"without": features, "instead": [f for f in features if f not in weather] + later, "with": features + later}
-    return {name: metrics.average_precision(fit(train, names)(val), "p", "y").first().ap for name, names in sets.items()}
+    out = {}
+    for name, names in sets.items():
+        found = fit(train, names)(val).select("p", "y").persist()
+        out[name] = metrics.average_precision(found, "p", "y").first().ap
+        found.unpersist()
+    rows.unpersist()
+    return out
 
 
 def early_stopped(scores: list[tuple[float, float]], alpha: float = 0.5, patience: int = 3) -> int:

@@ -82,10 +82,10 @@ def causes(spark, sf):
 
 
 def _learning(spark, sf):
-    """(day, cell, x1..x3, y): features of a day, the event of the next."""
+    """(day, cell, x1..x3, y): features of a day, the event of the next; cached, since fitting reads the rows many times and they come out of windows."""
     w = Window.partitionBy("cell").orderBy("day")
     c = ecube(spark, sf).withColumns({"y": F.lead("is_fire").over(w), "x1": F.col("mean"), "x2": F.col("n").cast("double"), "x3": F.sum("n").over(w.rowsBetween(-6, 0)).cast("double")})
-    return sampling.chronological(c.where("y is not null")).withColumn("regime", F.when(F.col("n") > 2, 2).otherwise(1))
+    return sampling.chronological(c.where("y is not null").persist()).withColumn("regime", F.when(F.col("n") > 2, 2).otherwise(1))
 
 
 _X = ["x1", "x2", "x3"]

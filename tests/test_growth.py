@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from gridweave.functions import calendar
+from gridweave.operators import spatial
+from gridweave.plans import model
+from gridweave.queries import upkeep
+from gridweave.sources import sinks
 
 
 def plan_of(df):
@@ -14,7 +18,7 @@ def plan_of(df):
 
 def test_a_gap_free_table_is_not_joined_with_all_days(spark, small, monkeypatch):
     monkeypatch.setattr(calendar, "ROWS", 1000)
-    for name in ("grid_validation", "trail_sum_30", "persistence_baseline"):
+    for name in ("grid_validation", "trail_sum_30"):
         plan = plan_of(entry.queries()[name](spark, small))
         assert "Join" not in plan and plan.count("hashpartitioning(cell") == 1, name
 
@@ -27,3 +31,36 @@ def test_gap_free_of_odd_rows(spark):
     found = {(1, d(3)): (3.0, 2), (1, d(6)): (None, 1), (2, d(2)): (7.0, 1), (4, d(8)): (4.0, 1)}
     assert sorted(((r.cell or 0, r.day, r.x, r.n) for r in got), key=lambda r: r[:2]) == [(c, d(2) + timedelta(k), *found.get((c, d(2) + timedelta(k)), (None, None))) for c in (0, 1, 2, 3, 4) for k in range(7)]
     assert calendar.gap_free(df.limit(0), "day", "cell", F.sum("x").alias("x")).count() == 0
+
+
+def test_a_bucket_is_as_large_as_a_task(spark, small, monkeypatch):
+    seen, write = [], sinks.bucketed
+    monkeypatch.setattr(upkeep, "ROWS", 100)
+    monkeypatch.setattr(sinks, "bucketed", lambda df, table, path, buckets, by, sort: seen.append(buckets) or write(df, table, path, buckets, by, sort))
+    rows = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    entry.queries()["bucketed_layout"](spark, small)
+    assert seen == [-(-rows // 100)] * 2
+
+
+def test_targets_are_dealt_out_by_their_pairs(spark, monkeypatch):
+    points = spark.range(40).select(F.col("id").alias("src_id"), (F.col("id") % 7).cast("double").alias("px"), (F.col("id") % 5).cast("double").alias("py"), F.col("id").cast("double").alias("value"))
+    targets = spark.range(60).select(F.col("id").cast("int").alias("cell"), (F.col("id") % 9).cast("double").alias("tx"), (F.col("id") % 4).cast("double").alias("ty"))
+    whole = {r.cell: round(r.value, 9) for r in spatial.interpolated(points, targets, k=3).collect()}
+    monkeypatch.setattr(spatial, "PAIRS", 9 * 3 * 60 // 17)
+    out = spatial.interpolated(points, targets, k=3)
+    assert "hashpartitioning(cell" in plan_of(out) and {r.cell: round(r.value, 9) for r in out.collect()} == whole and len(whole) == 60
+
+
+def test_models_read_their_rows_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        runs.add(1)
+        yield from batches
+
+    df = spark.range(200).select((F.col("id") % 20).cast("int").alias("cell"), F.expr("date_add(date'2024-01-01', cast(id div 20 as int))").alias("day"), (F.col("id") % 3 == 0).cast("int").alias("is_fire"), (F.col("id") % 11).cast("double").alias("x"), F.col("id").cast("string").alias("id")).coalesce(1)
+    df = df.mapInArrow(seen, df.schema)
+    fit = lambda train, names: (train.count(), lambda d: d.withColumn("p", F.col(names[0]) / 11))[1]
+    found = model.by_definition(df, {"any": F.col("is_fire")}, lambda d: d.withColumnRenamed("is_fire", "y"), ["x"], fit)
+    assert runs.value == 1 and found[0]["n_pos"] + found[0]["n_neg"] == 40
+    assert set(model.forecast_gain(df.withColumnRenamed("is_fire", "y"), ["x"], ["x"], fit)) == {"without", "instead", "with"} and runs.value == 2
