@@ -2,14 +2,17 @@
 
 from datetime import date, timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from gridweave.functions import calendar
 from gridweave.operators import spatial
-from gridweave.plans import model
+from gridweave.plans import features, model
 from gridweave.queries import upkeep
 from gridweave.sources import sinks
+from gridweave.streaming import jobs
 
 
 def plan_of(df):
@@ -64,3 +67,67 @@ def test_models_read_their_rows_once(spark):
     found = model.by_definition(df, {"any": F.col("is_fire")}, lambda d: d.withColumnRenamed("is_fire", "y"), ["x"], fit)
     assert runs.value == 1 and found[0]["n_pos"] + found[0]["n_neg"] == 40
     assert set(model.forecast_gain(df.withColumnRenamed("is_fire", "y"), ["x"], ["x"], fit)) == {"without", "instead", "with"} and runs.value == 2
+
+
+class Held:
+    """A value or list of state."""
+
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    put = update
+
+
+class Handle:
+    def getValueState(self, name, schema):  # noqa: N802
+        return Held()
+
+    getListState = getValueState
+
+
+def test_a_cell_has_one_value_of_all_days_of_the_year():
+    rng = np.random.default_rng(5)
+    days = [date(2019, 12, 1) + timedelta(k) for k in range(1600)]
+    rain = np.where(rng.random(1600) < 0.1, np.nan, rng.uniform(0, 1, 1600))
+    table = pd.DataFrame({"cell": 1, "day": days, "rain": 24 * rain, "tmax": 20.0, "annual": 500.0, "rain_mean": rain, "is_fire": (rng.random(1600) < 0.02).astype(int), "NDVI": np.where(rng.random(1600) < 0.05, np.nan, rng.uniform(0, 1, 1600)), "LAI": rng.uniform(1, 2, 1600)})
+    cell = jobs.CellFeatures()
+    cell.init(Handle())
+    got = pd.concat([f for part in (table[:700], table[700:]) for f in cell.handleInputRows((1,), iter([part]), None)]).reset_index(drop=True)
+    for k in range(1600):
+        for n in (7, 365):
+            window = rain[max(0, k - n + 1) : k + 1]
+            assert pd.isna(got[f"precip_sum_{n}d"][k]) if np.isnan(window).all() else abs(got[f"precip_sum_{n}d"][k] - np.nansum(window)) < 1e-9
+        doy = days[k].timetuple().tm_yday
+        for name, x in (("ndvi_anomaly", "NDVI"), ("spi_90d", None)):
+            values = table[x].to_numpy() if x else got["precip_sum_90d"].astype(float).to_numpy()
+            before = [values[j] for j in range(k) if days[j].timetuple().tm_yday == doy and not np.isnan(values[j])]
+            if len(before) < 2 or np.isnan(values[k]):
+                assert pd.isna(got[name][k])
+            else:
+                z = (values[k] - np.mean(before)) / (np.std(before) + 1e-6)
+                assert abs(got[name][k] - min(max(z, -10), 10)) < 1e-6
+
+
+def test_halves_are_written_by_all_tasks(spark, monkeypatch):
+    at = []
+    make = upkeep._work
+    monkeypatch.setattr(upkeep, "_work", lambda s, name: at.append(make(s, name)) or at[-1])
+    rows = spark.range(400).select("id", F.expr("date_add(date'2024-01-01', cast(id % 10 as int))").alias("day")).repartition(4, "id")
+    got = upkeep._in_halves(spark, rows, F.lit("2024-01-04").cast("date"), lambda days: days.select("id"), "ids")
+    assert sorted(r.id for r in got.collect()) == list(range(400))
+    assert all(len(spark.read.parquet(f"{at[0]}/{k}").inputFiles()) == 4 for k in (0, 1))
+
+
+def test_rows_of_cells_and_days_are_merged(spark):
+    cube = spark.range(60).select((F.col("id") % 3).cast("int").alias("cell"), F.expr("date_add(date'2024-01-01', cast(id div 3 as int))").alias("day"), F.lit(0.1).alias("total_precipitation_mean"), F.lit(20.0).alias("t2m_max"))
+    out = features.droughts(cube, features.annual_rain(cube))
+    assert "SortMergeJoin" in plan_of(out) and out.count() == 60
