@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -84,10 +86,14 @@ def regime_priors(df: DataFrame, label: str, regime: str = "regime", eps: float
     return df.groupBy(regime).agg(F.count("*").alias("n"), F.sum(label).cast("long").alias("n_pos")).withColumn("log_odds", F.ln(share))
 
 
-def climatology(train: DataFrame, scored: DataFrame, label: str, keys: tuple[str, ...] = ("cell", "doy")) -> DataFrame:
-    """scored with the training rate of its key; 0 where training has none."""
-    rate = train.groupBy(*keys).agg(F.avg(F.col(label).cast("double")).alias("rate"))
-    return scored.join(rate, list(keys), "left").withColumn("rate", F.coalesce("rate", F.lit(0.0)))
+def climatology(df: DataFrame, label: str, train: Column, keys: tuple[str, ...] = ("cell", "doy")) -> DataFrame:
+    """df with the rate of the label over its key's training rows; 0 where there are none, or a part of the key is missing.
+
+    A window, so that rows that a cell's tasks hold are neither read twice nor dealt out again to be joined.
+    """
+    rate = F.avg(F.when(train, F.col(label).cast("double"))).over(Window.partitionBy(*keys))
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return df.withColumn("rate", F.coalesce(F.when(named, rate), F.lit(0.0)))
 
 
 def expect(df: DataFrame, **columns: str) -> DataFrame:

@@ -130,7 +130,7 @@ def event_day_index(spark, sf):
 @query(f"WITH {LCUBE}, y AS (SELECT cell, day, dayofyear(day) AS doy, CASE WHEN rain > 25 THEN 1 ELSE 0 END AS e FROM lcube), t AS (SELECT cell, doy, avg(e::DOUBLE) AS rate FROM y WHERE year(day) < 2000 GROUP BY 1, 2) SELECT y.cell, y.day, round(coalesce(t.rate, 0), 6) + 0.0 AS rate FROM y LEFT JOIN t ON t.cell = y.cell AND t.doy = y.doy WHERE year(y.day) >= 2000")
 def climatology_score(spark, sf):
     c = lcube(spark, sf).withColumns({"doy": F.dayofyear("day"), "e": F.when(F.col("rain") > 25, 1).otherwise(0)})
-    return A.climatology(c.where(F.year("day") < 2000), c.where(F.year("day") >= 2000), "e").select("cell", "day", r("rate").alias("rate"))
+    return A.climatology(c, "e", F.year("day") < 2000).where(F.year("day") >= 2000).select("cell", "day", r("rate").alias("rate"))
 
 
 @query(f"WITH {SCORES} SELECT regime, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos, round(ln((sum(y) + 1e-8) / (count(*) - sum(y) + 1e-8)), 6) + 0.0 AS log_odds FROM scores GROUP BY regime")

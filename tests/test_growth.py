@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from gridweave.functions import calendar
-from gridweave.operators import spatial
+from gridweave.operators import aggregates, spatial
 from gridweave.plans import features, model
 from gridweave.queries import upkeep
 from gridweave.sources import sinks
@@ -26,6 +26,19 @@ def test_a_gap_free_table_is_not_joined_with_all_days(spark, small, monkeypatch)
         assert "Join" not in plan and plan.count("hashpartitioning(cell") == 1, name
 
 
+def test_a_climatology_deals_its_cube_out_once(spark, small, monkeypatch):
+    monkeypatch.setattr(calendar, "ROWS", 1000)
+    plan = plan_of(entry.queries()["climatology_score"](spark, small))
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_climatology_of_odd_rows(spark):
+    rows = [(1, 5, 1990, 1), (1, 5, 1991, 0), (1, 5, 2001, 1), (1, 5, 2002, None), (1, 6, 2001, 1), (2, 5, 1990, None), (2, 5, 2001, 1), (None, 5, 1990, 1), (None, 5, 2001, 0)]
+    df = spark.createDataFrame(rows, "cell int, doy int, year int, e int")
+    got = aggregates.climatology(df, "e", F.col("year") < 2000).where("year >= 2000").collect()
+    assert sorted(((r.cell or 0, r.doy, r.year, r.rate) for r in got)) == [(0, 5, 2001, 0.0), (1, 5, 2001, 0.5), (1, 5, 2002, 0.5), (1, 6, 2001, 0.0), (2, 5, 2001, 0.0)]
+
+
 def test_gap_free_of_odd_rows(spark):
     d = lambda k: date(2024, 1, k)
     rows = [(1, d(3), 1.0), (1, d(3), 2.0), (1, d(6), None), (2, None, 5.0), (2, d(2), 7.0), (3, None, 9.0), (None, d(4), 8.0), (4, d(8), 4.0)]
