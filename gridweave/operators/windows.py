@@ -66,6 +66,38 @@ def poisoned_sum(x: Column, n: int, w: WindowSpec, whole: bool = False) -> Colum
     return F.when((row >= n) & (F.count(x if whole else _finite(x)).over(_so_far(w)) == row), trailing_sum(x, n, w, whole))
 
 
+#: When a sum over the last rows is there, by what rolled() knows of a row: its number, the values in the window and the values so far.
+RULES = {
+    "any": lambda row, n, here, so_far: here > 0,
+    "strict": lambda row, n, here, so_far: (row >= n) & (here > 0),
+    "complete": lambda row, n, here, so_far: here == n,
+    "poisoned": lambda row, n, here, so_far: (row >= n) & (so_far == row),
+}
+
+
+def rolled(df: DataFrame, x: Column, w: WindowSpec, **sums: tuple[int, str]) -> DataFrame:
+    """df with several sums of x at once: (rows, rule) by name, as trailing_sum (``any``), strict_sum and poisoned_sum give them.
+
+    Each of those takes the running sums anew, as does Spark; here they are taken once, and looked up n rows ago.
+    """
+    if any(n < 1 for n, _ in sums.values()):
+        raise ValueError("a window has one row at least")
+    x = _finite(x)
+    kept = {"_row": F.row_number().over(w), "_n": F.count(x).over(_so_far(w))}
+    for k, unit in enumerate(UNITS):
+        kept[f"_s{k}"] = F.coalesce(F.sum((x / unit).cast("long")).over(_so_far(w)), F.lit(0))
+        x = x % F.lit(unit)
+    within = {f"_{c}_{n}": F.col(c) - F.lag(c, n, 0).over(w) for n in {n for n, _ in sums.values()} for c in kept if c != "_row"}
+    wide = df.withColumns(kept).withColumns(within)
+    out = {}
+    for name, (n, rule) in sums.items():
+        total = F.lit(0.0)
+        for k, unit in enumerate(UNITS):
+            total = total + F.col(f"__s{k}_{n}") * F.lit(unit)
+        out[name] = F.when(RULES[rule](F.col("_row"), n, F.col(f"__n_{n}"), F.col("_n")), total)
+    return wide.withColumns(out).drop(*kept, *within)
+
+
 def run_length(condition: Column, w: WindowSpec) -> Column:
     """Rows in a row, up to this one, for which the condition held; a missing value ends a run."""
     up_to = w.rowsBetween(Window.unboundedPreceding, 0)

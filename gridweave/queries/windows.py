@@ -26,8 +26,8 @@ for _n in (7, 30, 90, 180, 365):
 
 @query(f"WITH {LCUBE} SELECT cell, day, CASE WHEN row_number() OVER ({_W}) >= 365 THEN sum(rain) OVER ({_W} ROWS BETWEEN 364 PRECEDING AND CURRENT ROW) END AS strict, CASE WHEN count(rain) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 THEN sum(rain) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS complete, CASE WHEN row_number() OVER ({_W}) >= 3 AND count(rain) OVER ({_W}) = row_number() OVER ({_W}) THEN sum(rain) OVER ({_W} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS poisoned FROM lcube")
 def strict_roll_365(spark, sf):
-    w, rain = W.along(), F.col("rain")
-    return lcube(spark, sf).select("cell", "day", W.strict_sum(rain, 365, w).alias("strict"), W.strict_sum(rain, 3, w, complete=True).alias("complete"), W.poisoned_sum(rain, 3, w).alias("poisoned"))
+    c = W.rolled(lcube(spark, sf), F.col("rain"), W.along(), strict=(365, "strict"), complete=(3, "complete"), poisoned=(3, "poisoned"))
+    return c.select("cell", "day", "strict", "complete", "poisoned")
 
 
 _ISLANDS = "row_number() OVER (PARTITION BY cell ORDER BY day)"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from gridweave.functions import calendar
-from gridweave.operators import aggregates, spatial
+from gridweave.operators import aggregates, spatial, windows
 from gridweave.plans import features, model
 from gridweave.queries import upkeep
 from gridweave.sources import sinks
@@ -39,6 +39,24 @@ def test_climatology_of_odd_rows(spark):
     assert sorted(((r.cell or 0, r.doy, r.year, r.rate) for r in got)) == [(0, 5, 2001, 0.0), (1, 5, 2001, 0.5), (1, 5, 2002, 0.5), (1, 6, 2001, 0.0), (2, 5, 2001, 0.0)]
 
 
+def test_several_sums_take_their_running_sums_once(spark, small, monkeypatch):
+    monkeypatch.setattr(calendar, "ROWS", 1000)
+    plan = entry.queries()["strict_roll_365"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sum(") == len(windows.UNITS) + 1  # and the cube's own
+
+
+def test_several_sums_are_those_taken_one_by_one(spark):
+    rng = np.random.default_rng(8)
+    odd = [None, float("nan"), float("inf"), -float("inf"), 1e30, -1e30, 1e-20, 0.0, -0.0]
+    rows = [(c, k, odd[rng.integers(9)] if rng.random() < (0, 0.2, 0.9)[c] else float(rng.normal())) for c in range(3) for k in range(60)] + [(None, k, float(k)) for k in range(5)] + [(7, 0, None), (8, 0, 2.0)]
+    df, x, w = spark.createDataFrame(rows, "cell int, day int, x double"), F.col("x"), windows.along()
+    sums = {f"{rule}_{n}": (n, rule) for n in (1, 3, 20, 100) for rule in windows.RULES}
+    one = {"any": windows.trailing_sum, "strict": windows.strict_sum, "complete": lambda *a: windows.strict_sum(*a, complete=True), "poisoned": windows.poisoned_sum}
+    by_one = df.withColumns({name: one[rule](x, n, w) for name, (n, rule) in sums.items()})
+    got = windows.rolled(df, x, w, **sums)
+    assert got.columns == by_one.columns and sorted(map(str, got.collect())) == sorted(map(str, by_one.collect()))
+
+
 def test_gap_free_of_odd_rows(spark):
     d = lambda k: date(2024, 1, k)
     rows = [(1, d(3), 1.0), (1, d(3), 2.0), (1, d(6), None), (2, None, 5.0), (2, d(2), 7.0), (3, None, 9.0), (None, d(4), 8.0), (4, d(8), 4.0)]
