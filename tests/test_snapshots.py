@@ -66,3 +66,37 @@ def test_writers_do_not_overwrite_each_other(spark, store):
     store.stale = 0.0
     assert store.put(change) == 4 and store.versions() == [1, 2, 4]
     assert not [f for f in os.listdir(f"{store.path}/manifests") if not f.endswith(".json") and not f.endswith(".crc")]
+
+
+def test_columns_in_buckets_are_joined_without_a_shuffle(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        s = Snapshots(spark, str(tmp_path / "it's"))
+        days = spark.range(300).select((F.col("id") % 30).cast("int").alias("day"), (F.col("id") / 30).cast("int").alias("cell"), F.col("id").cast("double").alias("a"), F.lit("x").alias("b"))
+        s.create(days, ["day", "cell"], buckets=3)
+        old = s.read(["a"])
+        s.put(s.read(["a"]).withColumn("a", (-F.col("a")).cast("string")))  # of another type than before
+        put = s.put(s.read(["b"]).select("day", "cell", F.lit(5).alias("d")))
+        new = s.read()
+        both = new.join(old.withColumnRenamed("a", "before"), ["day", "cell"])
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+        assert rows(both) == sorted((k % 30, k // 30, str(-float(k)), "x", 5, float(k)) for k in range(300))
+        # Rows that are appended are read with the others, as plain files, and a column that is replaced after them holds all.
+        s.append(spark.createDataFrame([(99, 0, "9.0", "y", 6)], "day int, cell int, a string, b string, d int"))
+        s.put(s.read(["d"]).withColumn("d", F.col("d") * 2))
+        assert rows(s.read())[-2:] == [(29, 9, "-299.0", "x", 10), (99, 0, "9.0", "y", 12)] and s.read().count() == 301
+        # Another session, whose catalog has no name of it, reads the same.
+        for t in spark.catalog.listTables(pattern="snapshot_*"):
+            spark.sql(f"DROP TABLE {t.name}")
+        assert rows(Snapshots(spark, s.path).read()) == rows(s.read()) and rows(s.read(version=put)) == rows(new)
+        assert len(s.vacuum()) == 1 and s.read().count() == 301
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_empty_table_in_buckets(spark, tmp_path):
+    s = Snapshots(spark, str(tmp_path / "t"))
+    s.create(spark.createDataFrame([], "day int, cell int, a double"), ["day", "cell"], buckets=2)
+    s.put(s.read(["a"]).withColumn("c", F.col("a") + 1))
+    assert s.read().columns == ["day", "cell", "a", "c"] and s.read().count() == 0
