@@ -93,6 +93,28 @@ def _served(x: list[int], height: list[int], place: list[int], nx: int) -> tuple
     return found, first
 
 
+#: Columns of a grid up to which each cell of a row is compared with all of the row's sites, row by row of a batch at once.
+NARROW = 64
+
+
+def _compared(x: np.ndarray, row: np.ndarray, kind: np.ndarray, height: np.ndarray, place: np.ndarray, nx: int) -> np.ndarray:
+    """Which site's place is nearest to each row's place ``x``, of equal distances the least; -1 without a site.
+
+    ``row`` numbers the rows of the grid from 0; sites (kind 0), at most one a
+    column, are in ``height``, squared distances along columns.
+    """
+    n, site = int(row[-1]) + 1, kind == 0
+    far = np.iinfo(np.int64).max // 4
+    high, own = np.full((nx, n), far), np.full((nx, n), -1)
+    high[x[site], row[site]], own[x[site], row[site]] = height[site], place[site]
+    found, least = np.full(len(x), -1), np.full(len(x), far)
+    for k in range(nx):
+        there, other = high[k][row] + (x - k) ** 2, own[k][row]
+        better = (other >= 0) & ((there < least) | ((there == least) & (other < found)))
+        found, least = np.where(better, other, found), np.where(better, there, least)
+    return found
+
+
 def nearest_events(df: DataFrame, grid: Grid, event: str = "is_fire", u: str = "wind_u", v: str = "wind_v", keys: tuple[str, ...] = ("day",), none_km: float | None = None) -> DataFrame:
     """(keys, cell, dist_km, exposure, nearest): exact distance to the nearest event cell, of ties the smallest cell.
 
@@ -124,7 +146,11 @@ def nearest_events(df: DataFrame, grid: Grid, event: str = "is_fire", u: str = "
             kind, x, at, y, number = (table.column(n).to_numpy() for n in ("_kind", "_x", "_at", "_y", "cell"))
             start = np.flatnonzero(_changes([table.column(k) for k in [*keys, "_y"]]))
             place = np.full(len(table), -1, np.int64)
-            for a, b in zip(start.tolist(), [*start[1:].tolist(), len(table)], strict=True):
+            if nx <= NARROW:
+                row = np.zeros(len(table), np.int64)
+                row[start[1:]] = 1
+                place = _compared(x.astype(np.int64), np.cumsum(row), kind, (at.astype(np.int64) - y) ** 2, at.astype(np.int64) * nx + x, nx)
+            for a, b in zip(start.tolist(), [*start[1:].tolist(), len(table)], strict=True) if nx > NARROW else ():
                 m = a + int(np.searchsorted(kind[a:b], 1))  # sites come first, from left to right
                 if m > a:
                     own = at[a:m].astype(np.int64) * nx + x[a:m]

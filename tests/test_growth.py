@@ -1,14 +1,18 @@
 """Steps that grew faster than their tables, or whose figures did."""
 
+import re
 from datetime import date, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from gridweave.functions import calendar
-from gridweave.operators import aggregates, spatial, windows
+from gridweave.grid import Grid
+from gridweave.operators import aggregates, recursive, spatial, windows
 from gridweave.plans import features, model
 from gridweave.queries import upkeep
 from gridweave.sources import sinks
@@ -162,3 +166,40 @@ def test_rows_of_cells_and_days_are_merged(spark):
     cube = spark.range(60).select((F.col("id") % 3).cast("int").alias("cell"), F.expr("date_add(date'2024-01-01', cast(id div 3 as int))").alias("day"), F.lit(0.1).alias("total_precipitation_mean"), F.lit(20.0).alias("t2m_max"))
     out = features.droughts(cube, features.annual_rain(cube))
     assert "SortMergeJoin" in plan_of(out) and out.count() == 60
+
+
+def test_a_history_is_dealt_out_once(spark, small, monkeypatch):
+    monkeypatch.setattr(calendar, "ROWS", 1000)
+    annual = spark.range(40).select(F.col("id").cast("int").alias("cell"), F.lit(500.0).alias("annual"))
+    plan = plan_of(features.history(upkeep._years(spark, small), annual))
+    assert plan.count("hashpartitioning(cell") == 2 and not re.search(r"hashpartitioning\((cell#\d+, day|part)", plan)  # the cube and the yearly rain
+
+
+def test_an_index_walked_with_its_rows_is_that_of_groups(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(c, date(2024, 1, 1) + timedelta(k), None if rng.random() < 0.2 else float(rng.choice([0.0, 3.0, 40.0])), None if rng.random() < 0.1 else float(rng.normal(20, 8)), 400.0 + c, [None, 90.0][c % 2], 4.0) for c in (*range(9), 300) for k in range(1 + 7 * c % 40)]
+    df = spark.createDataFrame(rows, "cell int, day date, rain double, tmax double, annual double, q0 double, wet0 double")
+    kept = lambda d: sorted((r.cell, r.day, r.q, r.wet) for r in d.collect())
+    x = [F.col(c) for c in df.columns[2:]]
+    assert str(kept(recursive.walked(df.repartition(5), *x))) == str(kept(recursive.drought(df, q0="q0", wet0="wet0")))
+    late = F.col("day") > F.lit("2024-01-10").cast("date")
+    assert str(kept(recursive.walked(df, *x).where(late))) == str(kept(recursive.drought(df, q0="q0", wet0="wet0").where(late)))  # days before are walked too
+    table = df.orderBy("cell", "day").toPandas()
+    number = table.groupby("cell").cumcount().to_numpy() + 1
+    sent = [pa.array(number), *(pa.array(table[c], from_pandas=True) for c in table.columns[2:])]
+    one = pa.concat_arrays(list(recursive._walk(iter([tuple(sent)]))))
+    monkeypatch.setattr(recursive, "ROWS", 6)
+    parts = list(recursive._walk(iter([tuple(a.slice(k, 4) for a in sent) for k in range(0, len(table), 4)])))
+    assert len(parts) > 3 and pa.concat_arrays(parts).equals(one)
+    with pytest.raises(ValueError, match="not in order"):
+        list(recursive._walk(iter([tuple(a.take(pa.array([1, 3])) for a in sent)])))
+
+
+def test_narrow_rows_have_the_same_nearest_events(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(d, c, int(rng.random() < (0, 0.02, 0.3)[d]), 1.0, None if rng.random() < 0.1 else 2.0) for d in range(3) for c in range(7 * 30) if rng.random() < 0.9]
+    df = spark.createDataFrame(rows, "day int, cell int, is_fire int, wind_u double, wind_v double")
+    grid = Grid(0.0, 0.0, 2000.0, -2000.0, 7, 30)
+    at_once = sorted(map(str, spatial.nearest_events(df, grid).collect()))
+    monkeypatch.setattr(spatial, "NARROW", 0)
+    assert sorted(map(str, spatial.nearest_events(df, grid).collect())) == at_once and len(at_once) == len(rows)
