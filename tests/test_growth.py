@@ -203,3 +203,34 @@ def test_narrow_rows_have_the_same_nearest_events(spark, monkeypatch):
     at_once = sorted(map(str, spatial.nearest_events(df, grid).collect()))
     monkeypatch.setattr(spatial, "NARROW", 0)
     assert sorted(map(str, spatial.nearest_events(df, grid).collect())) == at_once and len(at_once) == len(rows)
+
+
+def test_cells_of_a_group_are_taken_at_once():
+    rng = np.random.default_rng(6)
+    n = 900
+    of = lambda c, k: pd.DataFrame({"cell": c, "day": [date(2020, 1, 1) + timedelta(j) for j in range(k)], "rain_mean": np.where(rng.random(k) < 0.2, np.nan, rng.uniform(0, 1, k)), "tmax": np.where(rng.random(k) < 0.1, np.nan, 20.0), "annual": 500.0, "is_fire": np.where(rng.random(k) < 0.5, np.nan, rng.random(k) < 0.02), "NDVI": rng.uniform(0, 1, k), "LAI": rng.uniform(1, 2, k)}).assign(rain=lambda d: 24 * d.rain_mean)
+    cells = [of(c, k) for c, k in ((4, n), (9, 700), (200, 30))]
+
+    def run(parts, start=None):
+        made = jobs.CellFeatures()
+        made.init(Handle())
+        if start is not None:
+            made.handleInitialState((0,), start, None)
+        return pd.concat([f for p in parts for f in made.handleInputRows((0,), iter(p), None)]).sort_values(["cell", "day"]).reset_index(drop=True)
+
+    alone = pd.concat([run([[c]]) for c in cells]).reset_index(drop=True)
+    both = pd.concat(cells).sample(frac=1, random_state=1)
+    early = both["day"] < date(2021, 6, 1)  # later days are of two cells, which the first batch has too
+    assert set(both[early]["cell"]) == {4, 9, 200} and set(both[~early]["cell"]) == {4, 9}
+    got = run([[both[early][:400], both[early][400:]], [both[~early]]])
+    pd.testing.assert_frame_equal(got, alone)
+    assert alone.notna().any().all() and len(alone) == n + 730
+    # From a state whose days before are known by their sums.
+    empty = np.zeros(0)
+    start = pd.DataFrame([{"cell": 9, "q0": np.nan, "wet0": 3.0, "since0": 5, "rain": np.array([np.nan, 2.0]), "fire": np.array([0, 1]), "doy": np.array([1]), **{f"{c}{k}": np.array([x]) for k in range(3) for c, x in (("n", 2.0), ("mean", 0.5), ("dev", 0.02))}}, {"cell": 4, "q0": 7.0, "wet0": 0.0, "since0": 11, "rain": empty, "fire": empty, "doy": empty, **{f"{c}{k}": empty for k in range(3) for c in ("n", "mean", "dev")}}])
+    late = run([[pd.concat([c[:3] for c in cells])]], start)
+    first = late.groupby("cell").first()
+    rain = cells[1]["rain_mean"][0]
+    assert abs(first.precip_sum_7d[9] - (2.0 + (0 if np.isnan(rain) else rain))) < 1e-12
+    assert abs(first.ndvi_anomaly[9] - (cells[1]["NDVI"][0] - 0.5) / (0.1 + 1e-6)) < 1e-9
+    assert first.time_since_last_fire.tolist() == [12 if cells[0]["is_fire"][0] != 1 else 0, 6 if cells[1]["is_fire"][0] != 1 else 0, 1 if cells[2]["is_fire"][0] != 1 else 0]
