@@ -226,8 +226,7 @@ def test_cells_of_a_group_are_taken_at_once():
     pd.testing.assert_frame_equal(got, alone)
     assert alone.notna().any().all() and len(alone) == n + 730
     # From a state whose days before are known by their sums.
-    empty = np.zeros(0)
-    start = pd.DataFrame([{"cell": 9, "q0": np.nan, "wet0": 3.0, "since0": 5, "rain": np.array([np.nan, 2.0]), "fire": np.array([0, 1]), "doy": np.array([1]), **{f"{c}{k}": np.array([x]) for k in range(3) for c, x in (("n", 2.0), ("mean", 0.5), ("dev", 0.02))}}, {"cell": 4, "q0": 7.0, "wet0": 0.0, "since0": 11, "rain": empty, "fire": empty, "doy": empty, **{f"{c}{k}": empty for k in range(3) for c in ("n", "mean", "dev")}}])
+    start = pd.DataFrame([{"cell": 9, "q0": np.nan, "wet0": 3.0, "since0": 5, "held": 2, "numbers": np.array([np.nan, 2.0, 0.0, 1.0, 1.0, *[2.0, 0.5, 0.02] * 3])}, {"cell": 4, "q0": 7.0, "wet0": 0.0, "since0": 11, "held": 0, "numbers": np.zeros(0)}])
     late = run([[pd.concat([c[:3] for c in cells])]], start)
     first = late.groupby("cell").first()
     rain = cells[1]["rain_mean"][0]
